@@ -39,9 +39,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or directory exists on the Hadoop file system of its path."""
+    fs, target = _on_file_system(spark, path)
+    return fs.exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
-    """Remove a table directory through the Hadoop file system it lives on."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Remove a table directory."""
+    fs, target = _on_file_system(spark, path)
     return fs.delete(target, True)
+
+
+def _on_file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
