@@ -75,7 +75,7 @@ def _dots(parts: str) -> str:
 
 
 def _top(scored: str, k: int) -> str:
-    rank = "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)"
+    rank = "(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id))::int"
     return f"SELECT query_id, doc_id, score, rank FROM (SELECT *, {rank} AS rank FROM {scored}) WHERE rank <= {k}"
 
 
@@ -228,11 +228,10 @@ CRC_TABLE = (
 )
 
 
-def _buckets(num_buckets: int) -> str:
-    return (
-        f"WITH {CRC_TABLE}, {_with('SELECT 1 FROM stats')[len('WITH '):].rsplit('SELECT 1', 1)[0]}"
-        f", bucketed AS (SELECT term, df, ({_crc32('term')} % {num_buckets})::int AS bucket FROM stats, crc_table) "
-    ).replace("\n,", ",")
+def _with_buckets(num_buckets: int, select: str) -> str:
+    bucket = f"SELECT term, df, ({_crc32('term')} % {num_buckets})::int AS bucket FROM stats, crc_table"
+    whole = _with(f"{select} /* stats */")
+    return whole.replace("\n" + select, f",\n{CRC_TABLE},\nbucketed AS MATERIALIZED ({bucket})\n{select}")
 
 
 def _metric(name: str) -> str:
@@ -369,10 +368,14 @@ ORACLE: dict[str, str] = {
     ),
     "batch_eval": _with("SELECT query_id, text, avg_precision FROM metric JOIN q_raw USING (query_id)"),
     **{m: _metric(m) for m in METRICS},
-    "term_bucket": _buckets(124) + "SELECT term, bucket FROM bucketed",
-    "bucket_sizes": _buckets(NUM_BUCKETS)
-    + "SELECT bucket, count(*) AS terms, sum(df)::bigint AS postings FROM bucketed GROUP BY bucket",
-    "index_roundtrip": _buckets(NUM_BUCKETS)
-    + "SELECT 'body' AS field, bucket, term, doc_id, tf, dl FROM bucketed JOIN post USING (term) "
-    "JOIN len USING (doc_id)",
+    "term_bucket": _with_buckets(124, "SELECT term, bucket FROM bucketed"),
+    "bucket_sizes": _with_buckets(
+        NUM_BUCKETS,
+        "SELECT bucket, count(*) AS terms, sum(df)::bigint AS postings FROM bucketed GROUP BY bucket",
+    ),
+    "index_roundtrip": _with_buckets(
+        NUM_BUCKETS,
+        "SELECT 'body' AS field, bucket, term, doc_id, tf, dl "
+        "FROM bucketed JOIN post USING (term) JOIN len USING (doc_id)",
+    ),
 }

@@ -45,6 +45,19 @@ def rows_of_duck(con, sql: str) -> tuple[list[str], list[tuple]]:
     return sorted(names), sorted(rows, key=_key)
 
 
+# Spark types and the DuckDB types that hold the same values.
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(spark_df, con, sql: str) -> str | None:
+    want = dict(r[:2] for r in con.execute(f"DESCRIBE {sql}").fetchall())
+    off = {n: (t, want[n]) for n, t in spark_df.dtypes if SAME_TYPE.get(t) != want[n]}
+    return f"types {off}" if off else None
+
+
 def difference(spark_df, con, sql: str) -> str | None:
     """What differs between a query and its SQL, or None."""
     got_names, got = rows_of_spark(spark_df)
@@ -53,6 +66,9 @@ def difference(spark_df, con, sql: str) -> str | None:
         return f"columns {got_names} / {want_names}"
     if len(got) != len(want):
         return f"{len(got)} rows / {len(want)} rows"
+    types = type_difference(spark_df, con, sql)
+    if types:
+        return types
     for a, b in zip(got, want):
         if a != b:
             close = len(a) == len(b) and all(
