@@ -5,7 +5,7 @@ Layout below the index path::
     doc_terms/batch=N/                     doc_id, dl, one array of (term, tf) per field
     postings/batch=N/field=F/bucket=B/     term, doc_id, tf, dl sorted by term, doc_id
     term_stats/gen=N/field=F/bucket=B/     term, df, cf         sorted by term
-    corpus_stats/gen=N/                    n, total_len, num_buckets
+    corpus_stats/gen=N/                    n, total_len, num_buckets, fields
 
 ``corpus_stats`` is written last. A batch without it does not exist for readers,
 and a repeated write of a batch replaces what a failed one left behind.
@@ -25,12 +25,14 @@ from corpusq.sources.storage import delete_path, materialize
 
 NUM_BUCKETS = 124
 
+ANCHOR = "anchor"
+
 # At most this many terms become literals of a pushed-down filter.
 LITERAL_TERMS = 1_000
 
 POSTINGS_SCHEMA = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, batch INT, field STRING, bucket INT"
 TERM_STATS_SCHEMA = "term STRING, df BIGINT, cf BIGINT, gen INT, field STRING, bucket INT"
-CORPUS_STATS_SCHEMA = "n BIGINT, total_len BIGINT, num_buckets INT, gen INT"
+CORPUS_STATS_SCHEMA = "n BIGINT, total_len BIGINT, num_buckets INT, fields ARRAY<STRING>, gen INT"
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,7 @@ class Index:
     n: int
     total_len: int
     num_buckets: int
+    fields: tuple[str, ...]
     postings: DataFrame
     term_stats: DataFrame
     doc_terms: DataFrame
@@ -103,21 +106,22 @@ def write_index(
     spark = docs.sparkSession
     delete_index(spark, path)
     doc_terms = _write_doc_terms(P.document_terms(docs, fields, stop, length_field=length_field), path, 0)
-    rows = _analysed(doc_terms, fields, stop, lemmas, binary_tf)
+    batch = _Batch(spark, path, 0, num_buckets)
+    for field in fields:
+        rows = _analysed(doc_terms, field, stop, lemmas, binary_tf)
+        batch.write_postings(field, rows, min_df)
+        batch.write_term_stats(field, batch.term_stats(field))
     if anchors is not None:
-        rows = rows.unionByName(P.anchor_postings(anchors, stop))
-    if min_df > 0:
-        rows = P.frequent_terms_only(materialize(rows, "postings"), min_df)
-    _write_postings(rows, path, 0, num_buckets)
-    _write_term_stats(_batch_stats(spark, path, 0), path, 0)
-    _commit(_length_totals(doc_terms), path, 0, num_buckets)
+        batch.write_postings(ANCHOR, P.anchor_postings(anchors, stop, ANCHOR), min_df)
+        batch.write_term_stats(ANCHOR, batch.term_stats(ANCHOR))
+        fields = [*fields, ANCHOR]
+    batch.commit(_length_totals(doc_terms), fields)
     return open_index(spark, path)
 
 
 def append_documents(
     index: Index,
     docs: DataFrame,
-    fields: Sequence[str] = ("body",),
     *,
     stop: P.StopWords = STOP_WORDS,
     lemmas: DataFrame | None = None,
@@ -126,22 +130,27 @@ def append_documents(
 ) -> Index:
     """Add new documents. Only the batch is analysed; the statistics are sums.
 
-    The fields are those of documents: link texts would have to be added up with
+    An index with link texts is refused: those would have to be added up with
     stored postings of the same target, which takes a rebuild.
     """
-    spark, path, gen = docs.sparkSession, index.path, index.gen + 1
-    doc_terms = _write_doc_terms(P.document_terms(docs, fields, stop, length_field=length_field), path, gen)
-    _write_postings(_analysed(doc_terms, fields, stop, lemmas, binary_tf), path, gen, index.num_buckets)
-    keys = ["field", "bucket", "term"]
-    both = index.term_stats.select(*keys, "df", "cf").unionByName(_batch_stats(spark, path, gen))
-    merged = both.groupBy(*keys).agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
-    _write_term_stats(merged, path, gen)
-    added = _length_totals(doc_terms)
-    totals = added.select(
-        (F.col("n") + F.lit(index.n)).alias("n"), (F.col("total_len") + F.lit(index.total_len)).alias("total_len")
+    if ANCHOR in index.fields:
+        raise ValueError("an index with link texts has to be rebuilt")
+    spark, fields = docs.sparkSession, index.fields
+    batch = _Batch(spark, index.path, index.gen + 1, index.num_buckets)
+    analysed = P.document_terms(docs, fields, stop, length_field=length_field)
+    doc_terms = _write_doc_terms(analysed, index.path, batch.no)
+    for field in fields:
+        batch.write_postings(field, _analysed(doc_terms, field, stop, lemmas, binary_tf))
+        old = index.term_stats.where(F.col("field") == field).select("bucket", "term", "df", "cf")
+        both = old.unionByName(batch.term_stats(field))
+        merged = both.groupBy("bucket", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+        batch.write_term_stats(field, merged)
+    totals = _length_totals(doc_terms).select(
+        (F.col("n") + F.lit(index.n)).alias("n"),
+        (F.col("total_len") + F.lit(index.total_len)).alias("total_len"),
     )
-    _commit(totals, path, gen, index.num_buckets)
-    return open_index(spark, path)
+    batch.commit(totals, fields)
+    return open_index(spark, index.path)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
@@ -161,6 +170,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         n=last.n,
         total_len=last.total_len,
         num_buckets=last.num_buckets,
+        fields=tuple(last.fields),
         postings=postings.where(F.col("batch") <= last.gen).drop("batch"),
         term_stats=stats.drop("gen"),
         doc_terms=doc_terms.where(F.col("batch") <= last.gen).drop("batch"),
@@ -182,14 +192,52 @@ def bucket_sizes(index: Index, field: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class _Batch:
+    """Where one batch of documents goes.
+
+    Fields are written one by one below a path of their own: a constant or
+    nullable partition column would make the writer sort again, by partition
+    only, and the order by term would be lost.
+    """
+
+    spark: SparkSession
+    path: str
+    no: int
+    num_buckets: int
+
+    def write_postings(self, field: str, rows: DataFrame, min_df: int = 0) -> None:
+        if min_df > 0:
+            rows = P.frequent_terms_only(materialize(rows, "postings"), min_df)
+        laid_out = rows.drop("field").withColumn("bucket", term_bucket(F.col("term"), self.num_buckets))
+        _write_bucketed(laid_out, ["term", "doc_id"], self._postings_path(field))
+
+    def term_stats(self, field: str) -> DataFrame:
+        """``(bucket, term, df, cf)`` of the postings written for this batch."""
+        schema = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, bucket INT"
+        stored = self.spark.read.schema(schema).parquet(self._postings_path(field))
+        return P.term_statistics(stored, ["bucket", "term"])
+
+    def write_term_stats(self, field: str, stats: DataFrame) -> None:
+        _write_bucketed(stats, ["term"], f"{self.path}/term_stats/gen={self.no}/field={field}")
+
+    def commit(self, totals: DataFrame, fields: Sequence[str]) -> None:
+        row = totals.select(
+            "n",
+            "total_len",
+            F.lit(self.num_buckets).alias("num_buckets"),
+            F.array(*[F.lit(f) for f in fields]).alias("fields"),
+        )
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/corpus_stats/gen={self.no}")
+
+    def _postings_path(self, field: str) -> str:
+        return f"{self.path}/postings/batch={self.no}/field={field}"
+
+
 def _analysed(
-    doc_terms: DataFrame,
-    fields: Sequence[str],
-    stop: P.StopWords,
-    lemmas: DataFrame | None,
-    binary_tf: bool,
+    doc_terms: DataFrame, field: str, stop: P.StopWords, lemmas: DataFrame | None, binary_tf: bool
 ) -> DataFrame:
-    rows = P.postings_of(doc_terms, fields)
+    rows = P.postings_of(doc_terms, [field])
     if lemmas is not None:
         rows = P.lemma_postings(rows, lemmas, stop, binary_tf)
     elif binary_tf:
@@ -203,42 +251,20 @@ def _write_doc_terms(doc_terms: DataFrame, path: str, batch: int) -> DataFrame:
     return doc_terms.sparkSession.read.schema(doc_terms.schema).parquet(target)
 
 
-def _write_postings(rows: DataFrame, path: str, batch: int, num_buckets: int) -> None:
-    laid_out = rows.withColumn("bucket", term_bucket(F.col("term"), num_buckets))
-    _write_bucketed(laid_out, ["term", "doc_id"], f"{path}/postings/batch={batch}")
-
-
-def _batch_stats(spark: SparkSession, path: str, batch: int) -> DataFrame:
-    stored = spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings/batch={batch}")
-    return P.term_statistics(stored, ["field", "bucket", "term"])
-
-
-def _write_term_stats(stats: DataFrame, path: str, gen: int) -> None:
-    _write_bucketed(stats, ["term"], f"{path}/term_stats/gen={gen}")
-
-
 def _write_bucketed(rows: DataFrame, order: list[str], target: str) -> None:
-    """One directory per field and bucket, sorted inside the files.
+    """One directory per bucket, sorted inside the files.
 
     Rebalancing leaves the partition sizes to adaptive execution: a bucket that
     holds a very frequent term is split over many tasks, small ones are joined.
-    The field is made non-null because a nullable string partition column would
-    be rewritten on the way out and lose the sort order.
     """
     (
-        rows.withColumn("field", F.coalesce("field", F.lit("")))
-        .hint("rebalance", "field", "bucket")
-        .sortWithinPartitions("field", "bucket", *order)
+        rows.hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", *order)
         .write.mode("overwrite")
-        .partitionBy("field", "bucket")
+        .partitionBy("bucket")
         .parquet(target)
     )
 
 
 def _length_totals(doc_terms: DataFrame) -> DataFrame:
     return doc_terms.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total_len"))
-
-
-def _commit(totals: DataFrame, path: str, gen: int, num_buckets: int) -> None:
-    row = totals.withColumn("num_buckets", F.lit(num_buckets))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus_stats/gen={gen}")

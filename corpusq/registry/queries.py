@@ -247,7 +247,7 @@ def doc_norms(spark, sf):
 def index_append(spark, sf):
     docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
     base = ix.write_index(docs.where("lang <> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
-    grown = ix.append_documents(base, docs.where("lang = 'de'"), ["body"])
+    grown = ix.append_documents(base, docs.where("lang = 'de'"))
     n, total_len = (F.lit(v).cast("bigint") for v in (grown.n, grown.total_len))
     return grown.term_stats.select("term", "df", "cf", n.alias("n"), total_len.alias("total_len"))
 
