@@ -5,39 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusq.operators.joins import sized_join
 from corpusq.sources.storage import materialize
 
 # A page with more links than this has them spread over several tasks.
 LINKS_PER_SLOT = 100_000
 
-# Iterations between two written states.
-STEPS_PER_CUT = 3
-
 
 def pagerank(
-    links: DataFrame,
-    steps: int = 10,
-    damping: float = 0.85,
-    links_per_slot: int = LINKS_PER_SLOT,
-    steps_per_cut: int = STEPS_PER_CUT,
+    links: DataFrame, steps: int = 10, damping: float = 0.85, links_per_slot: int = LINKS_PER_SLOT
 ) -> DataFrame:
     """``(doc_id, pr)`` after a fixed number of steps over ``links(src, dst)``.
 
     Repeated links count once. Pages without links of their own give their rank
-    to all pages evenly. The state is written to the shared folder every few
-    steps, so that plans stay short and lost executors cost little.
+    to all pages evenly.
+
+    The links are laid out by source once and kept that way, so that a step moves
+    ranks and not links. The ranks, a row per page, are written to the shared
+    folder after every step: plans stay short, and a lost executor costs at most
+    the current step and its share of the laid-out links.
     """
-    edges = materialize(links.select("src", "dst").distinct(), "links")
+    spark = links.sparkSession
+    edges = materialize(links.select("src", "dst").distinct().withColumn("slot", F.lit(0)), "links")
     nodes = _nodes(edges, links_per_slot)
     total = nodes.count()
     if total == 0:
         return nodes.select("doc_id", F.lit(None).cast("double").alias("pr"))
-    slotted = _slotted(edges, nodes, links_per_slot)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slotted = _slotted(edges, nodes).repartition(partitions, "src", "slot").persist()
+    slotted.count()  # the layout of the kept links is known to the planner from now on
     state = nodes.withColumn("pr", F.lit(1.0 / total))
-    for step in range(1, steps + 1):
-        state = _step(state, slotted, total, damping)
-        if step % steps_per_cut == 0 and step < steps:
-            state = materialize(state, "ranks")
+    for _ in range(steps):
+        state = materialize(_step(state, slotted, total, damping), "ranks")
+    slotted.unpersist()
     return state.select("doc_id", "pr")
 
 
@@ -61,19 +61,20 @@ def _nodes(edges: DataFrame, links_per_slot: int) -> DataFrame:
     return materialize(degrees.withColumn("slots", slots), "pages")
 
 
-def _slotted(edges: DataFrame, nodes: DataFrame, links_per_slot: int) -> DataFrame:
+def _slotted(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges of pages with very many links are dealt out over the page's slots."""
     busy = nodes.where(F.col("slots") > 1).select(F.col("doc_id").alias("src"), "slots")
     if busy.isEmpty():
-        return edges.withColumn("slot", F.lit(0))
-    # The number of such pages is the number of links over the slot size at most.
-    dealt = edges.join(busy, "src", "left")
+        return edges
+    # There is at most one such page per slot's worth of links.
+    dealt = sized_join(edges, busy, ["src"], "left", spread="dst")
     slot = F.coalesce(F.pmod(F.hash("dst"), F.col("slots")), F.lit(0))
     return materialize(dealt.select("src", "dst", slot.alias("slot")), "links")
 
 
 def _step(state: DataFrame, slotted: DataFrame, total: int, damping: float) -> DataFrame:
     """One power iteration. Only pages with several slots are repeated."""
+    idle = state.agg(F.sum(F.when(F.col("links") == 0, F.col("pr")))).first()[0] or 0.0
     senders = (
         state.where(F.col("links") > 0)
         .withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
@@ -84,18 +85,6 @@ def _step(state: DataFrame, slotted: DataFrame, total: int, damping: float) -> D
         .groupBy(F.col("dst").alias("doc_id"))
         .agg(F.sum("share").alias("received"))
     )
-    idle = state.agg(F.coalesce(F.sum(F.when(F.col("links") == 0, F.col("pr"))), F.lit(0.0)).alias("idle"))
-    return (
-        state.drop("pr")
-        .join(received, "doc_id", "left")
-        .join(F.broadcast(idle))  # one row
-        .select(
-            "doc_id",
-            "links",
-            "slots",
-            (
-                F.lit((1.0 - damping) / total)
-                + F.lit(damping) * (F.coalesce("received", F.lit(0.0)) + F.col("idle") / F.lit(total))
-            ).alias("pr"),
-        )
-    )
+    to_all = (1.0 - damping + damping * idle) / total
+    pr = F.lit(to_all) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+    return state.drop("pr").join(received, "doc_id", "left").select("doc_id", "links", "slots", pr.alias("pr"))

@@ -45,11 +45,14 @@ def sized_join(
     spread by the hash of column ``spread`` and each row of ``small`` is repeated
     once per salt, so that a hot key is worked on by ``salts`` tasks. Any join
     type that keeps or filters rows of ``large`` gives the same rows both ways.
+    Where the keys of ``large`` are unique, ``salts=1`` makes it a plain join.
     """
     if small_fits is None:
         small_fits = fits_broadcast(small)
     if small_fits:
         return large.join(F.broadcast(small), on, how)
+    if salts == 1:
+        return large.join(small, on, how)
     salted_large = large.withColumn("_salt", F.pmod(F.hash(spread), F.lit(salts)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_large.join(salted_small, [*on, "_salt"], how).drop("_salt")
@@ -60,7 +63,9 @@ def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
     An outer join cannot broadcast the side it preserves, so the plain join would
     shuffle the whole table. Instead the wanted keys are broadcast to cut the
-    table down first. ``rows`` should be cheap to read twice.
+    table down first. ``rows`` should be cheap to read twice. With too many keys
+    to broadcast the join is a plain one, where adaptive execution splits the
+    partitions of keys that occur very often in ``rows``.
     """
     keys = rows.select(key).distinct()
     if not fits_broadcast(keys):

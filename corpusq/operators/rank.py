@@ -12,6 +12,7 @@ from corpusq.functions.text import STOP_WORDS
 from corpusq.functions.weights import bm25_saturation, half_even, idf_bm25, idf_smoothed
 from corpusq.operators import postings as P
 from corpusq.operators.index import Index
+from corpusq.operators.joins import SALTS, sized_join
 from corpusq.operators.match import QueryTerms, known_terms, matches, measured_terms
 
 BM25_PLACES = 4
@@ -28,9 +29,18 @@ class Bm25(NamedTuple):
 def top_k(scored: DataFrame, k: int, by: tuple[str, ...] = ("query_id",)) -> DataFrame:
     """The ``k`` best rows per group with their rank; ties by document id.
 
-    Every task cuts its share to ``k`` rows per group before the shuffle, so a
-    group brings at most ``k`` rows per task to where it is ranked.
+    Spark lets every task cut its share to ``k`` rows per group before the
+    shuffle, up to a limit on ``k``. Above it the groups are first cut in slices,
+    so that no task ever sorts all the candidates of a group.
     """
+    limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        slices = scored.withColumn("_slice", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+        scored = _ranked(slices, k, (*by, "_slice")).drop("rank", "_slice")
+    return _ranked(scored, k, by)
+
+
+def _ranked(scored: DataFrame, k: int, by: tuple[str, ...]) -> DataFrame:
     order = Window.partitionBy(*by).orderBy(F.desc("score"), "doc_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -50,17 +60,15 @@ def bm25_scores(
     them. A document of unknown length counts as empty.
     """
     terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
+    n, avg_dl = index.n, index.avg_dl
+    if doc_len is not None:
+        n, avg_dl = doc_len.agg(F.count("*"), F.avg("dl")).first()
     weighted = known_terms(index, terms, field).select(
-        "query_id", "term", (F.col("qtf") * idf_bm25(float(index.n), F.col("df"))).alias("weight")
+        "query_id", "term", (F.col("qtf") * idf_bm25(float(n), F.col("df"))).alias("weight")
     )
-    rows, n, avg_dl = matches(index, weighted, terms, field), index.n, index.avg_dl
+    rows = matches(index, weighted, terms, field)
     if doc_len is not None:
-        n, avg_dl = doc_len.agg(F.count("*"), F.avg("dl")).first()
-        weighted = known_terms(index, terms, field).select(
-            "query_id", "term", (F.col("qtf") * idf_bm25(float(n), F.col("df"))).alias("weight")
-        )
-        rows = matches(index, weighted, terms, field).drop("dl")
-        rows = rows.join(doc_len.select("doc_id", "dl"), "doc_id", "left")
+        rows = rows.drop("dl").join(doc_len.select("doc_id", "dl"), "doc_id", "left")
     length = F.coalesce("dl", F.lit(0))
     part = F.col("weight") * bm25_saturation(F.col("tf"), length, avg_dl, params.k1, params.b)
     return rows.groupBy("query_id", "doc_id").agg(half_even(F.sum(part), BM25_PLACES).alias("score"))
@@ -149,17 +157,14 @@ def tfidf_scores(
     score = F.col("dot")
     if norms is not None:
         query_norms = wanted.groupBy("query_id").agg(F.sqrt(F.sum("square")).alias("query_norm"))
-        dots = sized_by_terms(dots, query_norms, terms).join(norms.select("doc_id", "weight_norm"), "doc_id")
+        # One row per query, so small whenever the query terms are.
+        dots = sized_join(dots, query_norms, ["query_id"], spread="doc_id", small_fits=terms.small)
+        dots = dots.join(norms.select("doc_id", "weight_norm"), "doc_id")
         size = F.col("query_norm") * F.col("weight_norm")
         score = F.when(size > 0, F.col("dot") / size).otherwise(0.0)
     return dots.select("query_id", "doc_id", half_even(score, TFIDF_PLACES).alias("score"))
 
 
-def sized_by_terms(rows: DataFrame, per_query: DataFrame, terms: QueryTerms) -> DataFrame:
-    """Attach one row per query; it is small whenever the query terms are."""
-    return P.sized_join(rows, per_query, ["query_id"], spread="doc_id", small_fits=terms.small)
-
-
 def tfidf(
     index: Index,
     queries: DataFrame,

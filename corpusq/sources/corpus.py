@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusq.operators.joins import sized_join
 from corpusq.sources.storage import fresh_path
 
 
@@ -34,11 +35,11 @@ def unpivot_fields(corpus: DataFrame, fields: Sequence[str] = ("title", "body"))
 def select_documents(corpus: DataFrame, ids: DataFrame, path: str | None = None) -> DataFrame:
     """Documents whose id is listed, written as parquet and read back.
 
-    The strategy of the join is left to Spark: it broadcasts the id list when its
-    size allows.
+    A list of moderate size is broadcast, so that the texts stay where they are.
     """
     path = path or fresh_path(corpus.sparkSession, "selected")
-    corpus.join(ids.select("doc_id"), "doc_id", "left_semi").write.mode("errorifexists").parquet(path)
+    kept = sized_join(corpus, ids.select("doc_id"), ["doc_id"], "left_semi", spread="doc_id", salts=1)
+    kept.write.mode("errorifexists").parquet(path)
     return corpus.sparkSession.read.schema(corpus.schema).parquet(path)
 
 

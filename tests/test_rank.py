@@ -94,6 +94,14 @@ def test_top_k_ranks_by_score_then_id(spark):
     assert rows(rank.top_k(scored, 2), "query_id", "doc_id", "rank") == {(1, 4, 1), (1, 3, 2), (2, 1, 1)}
 
 
+def test_large_k_gives_the_same_ranking(spark):
+    scored = spark.range(5000).select(
+        F.lit(1).alias("query_id"), F.col("id").alias("doc_id"), (F.col("id") % 97).cast("double").alias("score")
+    )
+    plain = rows(rank._ranked(scored, 2500, ("query_id",)), "doc_id", "score", "rank")
+    assert rows(rank.top_k(scored, 2500), "doc_id", "score", "rank") == plain and len(plain) == 2500
+
+
 def test_queries_without_known_terms_give_no_rows(index, queries):
     found = {q for (q,) in rows(rank.bm25(index, queries), "query_id")}
     assert found == {10, 11, 14}
