@@ -20,7 +20,6 @@ from corpusq.operators.index import write_index
 from corpusq.operators.postings import kept_token_rows
 from corpusq.plans.search import search
 from corpusq.registry import fixtures as fx
-from corpusq.sources.corpus import titles
 from corpusq.sources.storage import delete_path, fresh_path
 
 RUNS = 3
@@ -65,7 +64,7 @@ def main() -> None:
     links = fx.anchors(spark, sf)
     index, pages = fx.documents_index(spark, sf), fx.pages_index(spark, sf)
     norms, qrels, page_rank = fx.norms(spark, sf), fx.qrels(spark, sf), fx.page_rank(spark, sf)
-    views = fx.page_views(spark, sf)
+    views, titles = fx.page_views(spark, sf), fx.titles(spark, sf)
     works = {
         "tokenize": lambda: run(kept_token_rows(docs, "body")),
         "index_build_body": lambda: build(docs, ["body"]),
@@ -74,7 +73,7 @@ def main() -> None:
         "tfidf_dot_top100": lambda: run(rank.tfidf(index, queries)),
         "tfidf_cosine_top100": lambda: run(rank.tfidf(index, queries, norms=norms)),
         "title_match_top100": lambda: run(rank.term_match(pages, queries, "title")),
-        "search_top40": lambda: run(search(pages, queries, page_rank, views, titles(fx.pages(spark, sf)))),
+        "search_top40": lambda: run(search(pages, queries, page_rank, views, titles)),
         "evaluate": lambda: run(evaluate(rank.bm25(index, queries, "body", body_bm25), qrels)),
         "pagerank_5_steps": lambda: run(graph.pagerank(fx.links(spark, sf), 5)),
         "page_views_monthly": lambda: run(graph.monthly_page_views(fx.visits(spark, sf))),

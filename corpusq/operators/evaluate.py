@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.functions.weights import half_even
@@ -34,19 +34,23 @@ def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int =
     Average precision divides by the hits found, as its flat variant does.
     """
     sizes = qrels.select("query_id", "doc_id").distinct().groupBy("query_id").agg(F.count("*").alias("relevant"))
-    found = relevant_hits(results, qrels).join(sizes, "query_id")
-    so_far = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
-    in_k = F.col("rank") <= k
     hits = (
-        found.withColumn("so_far", so_far)
+        relevant_hits(results, qrels)
+        .join(sizes, "query_id")
         .groupBy("query_id")
         .agg(
-            F.count_if(in_k).alias("hits_k"),
+            F.count_if(F.col("rank") <= k).alias("hits_k"),
             F.count_if(F.col("rank") <= f_cutoff).alias("hits_f"),
             F.count_if(F.col("rank") <= F.col("relevant")).alias("hits_r"),
-            F.avg(F.when(in_k, F.col("so_far") / F.col("rank"))).alias("mean_precision"),
+            # At most k ranks per query.
+            F.sort_array(F.collect_list(F.when(F.col("rank") <= k, F.col("rank")))).alias("hit_ranks"),
         )
     )
+    precisions = F.transform("hit_ranks", lambda rank, i: (i + 1) / rank)
+    mean_precision = F.when(
+        F.size("hit_ranks") > 0, F.aggregate(precisions, F.lit(0.0), lambda a, p: a + p) / F.size("hit_ranks")
+    )
+    hits = hits.select("*", mean_precision.alias("mean_precision")).drop("hit_ranks")
     counts = sizes.join(hits, "query_id", "left").fillna(0)
     recall_f = half_even(F.col("hits_f") / F.col("relevant"), PLACES)
     precision_f = half_even(F.col("hits_f") / F.lit(f_cutoff), PLACES)

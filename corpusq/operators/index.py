@@ -163,7 +163,8 @@ def open_index(spark: SparkSession, path: str) -> Index:
     )
     postings = spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings")
     stats = spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats/gen={last.gen}")
-    doc_terms = spark.read.parquet(f"{path}/doc_terms")
+    counts = "".join(f", `{f}` ARRAY<STRUCT<term: STRING, tf: BIGINT>>" for f in last.fields if f != ANCHOR)
+    doc_terms = spark.read.schema(f"doc_id BIGINT, dl BIGINT{counts}, batch INT").parquet(f"{path}/doc_terms")
     return Index(
         path=path,
         gen=last.gen,

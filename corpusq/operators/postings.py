@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from corpusq.functions.text import STOP_WORDS, kept_tokens, run_starts, runs_to_counts, tokens
 from corpusq.functions.weights import idf, idf_smoothed
@@ -55,13 +56,20 @@ def document_terms(
     Each field column becomes ``array<struct<term, tf>>``; ``dl`` is the number of
     kept tokens of ``length_field`` (the last of ``fields`` unless named). Each
     field is tokenised once and nothing is shuffled, save for an input that
-    ``is_scan`` of a few splits.
+    ``is_scan`` of a few splits. A field may also be a list of tokens, which are
+    counted as they are.
     """
     length_field = length_field or fields[-1]
-    words, table = _stop_parts(stop)
     docs = docs.select(id_col, *fields)
+    given = {f for f in fields if isinstance(docs.schema[f].dataType, ArrayType)}
+    words, table = _stop_parts([] if given == set(fields) else stop)
     docs = spread(docs, id_col) if is_scan else docs
-    wide = docs.select(id_col, *[F.sort_array(kept_tokens(F.col(f), words)).alias(f) for f in fields])
+
+    def kept(f: str) -> Column:
+        none = F.array().cast("array<string>")
+        return F.coalesce(f, none) if f in given else kept_tokens(F.col(f), words)
+
+    wide = docs.select(id_col, *[F.sort_array(kept(f)).alias(f) for f in fields])
     wide = wide.select("*", *[run_starts(F.col(f)).alias(f"{f}_starts") for f in fields])
     counted = wide.select(
         id_col,

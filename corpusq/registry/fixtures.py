@@ -18,8 +18,8 @@ from corpusq.operators.index import Index, open_index, write_index
 from corpusq.operators.joins import sized_join, spread
 from corpusq.operators.match import holding_all_terms
 from corpusq.operators.numbering import number_values
-from corpusq.sources.corpus import project_anchors, read_corpus
-from corpusq.sources.storage import fresh_path, path_exists
+from corpusq.sources.corpus import project_anchors, project_field, read_corpus
+from corpusq.sources.storage import fresh_path, path_exists, version_of
 
 NUM_BUCKETS = 16
 PAGERANK_STEPS = 5
@@ -136,7 +136,20 @@ def visits(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_views(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, views)`` over all months."""
-    return graph.total_page_views(graph.monthly_page_views(visits(spark, sf)))
+
+    def build(path: str) -> None:
+        graph.total_page_views(graph.monthly_page_views(visits(spark, sf))).write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf, "page-views", ["events"], build))
+
+
+def titles(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, title)`` of the pages."""
+
+    def build(path: str) -> None:
+        project_field(pages(spark, sf), "title").write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf, "titles", ["pages"], build))
 
 
 def lemmas(index: Index) -> DataFrame:
@@ -148,21 +161,10 @@ def lemmas(index: Index) -> DataFrame:
 
 def stored(spark: SparkSession, sf: str, name: str, inputs: list[str], build: Callable[[str], None]) -> str:
     """Path of a derived table, built when its inputs are new or it is gone."""
-    versions = tuple(_version(spark, sf, i) for i in inputs)
+    versions = tuple(version_of(spark, f"{sf}/{i}.parquet") for i in inputs)
     key = (spark.sparkContext.applicationId, sf, name, versions)
     if key not in _stored or not path_exists(spark, _stored[key]):
         path = fresh_path(spark, name)
         build(path)
         _stored[key] = path
     return _stored[key]
-
-
-def _version(spark: SparkSession, sf: str, name: str) -> tuple:
-    """Number, size and last change of a table's files; reads no column."""
-    m = "_metadata"
-    files = (
-        table(spark, sf, name)
-        .select(f"{m}.file_path", f"{m}.file_size", f"{m}.file_modification_time")
-        .distinct()
-    )
-    return tuple(files.agg(F.count("*"), F.sum("file_size"), F.max("file_modification_time")).first())

@@ -287,6 +287,7 @@ ORACLE: dict[str, str] = {
         f"SELECT doc_id, {_half_even('norm', 6)} AS norm, {_half_even('weight_norm', 6)} AS weight_norm FROM norm"
     ),
     "index_append": _with("SELECT term, df, cf, n, total_len FROM stats CROSS JOIN total"),
+    "index_append_tokens": _with("SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id)"),
     "query_tf": _with("SELECT query_id, term, qtf, qlen FROM q"),
     "sparse_rows": _with(
         f"SELECT doc_id, term_idx // {BLOCK} AS block, "

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusq.functions import typed
-from corpusq.functions.text import term_bucket
+from corpusq.functions.text import kept_tokens, term_bucket
 from corpusq.functions.weights import half_even, idf, idf_bm25
 from corpusq.operators import evaluate as E
 from corpusq.operators import fuse, graph, match, rank
@@ -252,6 +252,17 @@ def index_append(spark, sf):
     return grown.term_stats.select("term", "df", "cf", n.alias("n"), total_len.alias("total_len"))
 
 
+@register
+def index_append_tokens(spark, sf):
+    docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
+    base = ix.write_index(docs.where("lang <> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
+    batch = docs.where("lang = 'de'").select("doc_id", kept_tokens(F.col("body")).alias("tokens"))
+    file = fresh_path(spark, "tokens-json")
+    T.write_token_lists(batch, file)
+    grown = ix.append_documents(base, T.read_token_lists(spark, file).withColumnRenamed("tokens", "body"))
+    return grown.postings.select("term", "doc_id", "tf", "dl")
+
+
 @register
 def bucket_sizes(spark, sf):
     return ix.bucket_sizes(fx.documents_index(spark, sf), "body")
@@ -383,13 +394,12 @@ def anchor_distinct(spark, sf):
 
 @register
 def search_body(spark, sf):
-    return S.search_body(fx.pages_index(spark, sf), fx.queries(spark, sf), C.titles(fx.pages(spark, sf)))
+    return S.search_body(fx.pages_index(spark, sf), fx.queries(spark, sf), fx.titles(spark, sf))
 
 
 @register
 def attach_titles(spark, sf):
-    index, titled = fx.pages_index(spark, sf), C.titles(fx.pages(spark, sf))
-    return S.search_anchor(index, fx.queries(spark, sf), titled)
+    return S.search_anchor(fx.pages_index(spark, sf), fx.queries(spark, sf), fx.titles(spark, sf))
 
 
 @register
@@ -407,7 +417,7 @@ def search(spark, sf):
         fx.queries(spark, sf),
         fx.page_rank(spark, sf),
         fx.page_views(spark, sf),
-        C.titles(fx.pages(spark, sf)),
+        fx.titles(spark, sf),
     )
 
 

@@ -45,6 +45,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def version_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Size, number of files and time of change below a path."""
+    fs, target = _on_file_system(spark, path)
+    summary = fs.getContentSummary(target)
+    return summary.getLength(), summary.getFileCount(), fs.getFileStatus(target).getModificationTime()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a table directory."""
     fs, target = _on_file_system(spark, path)

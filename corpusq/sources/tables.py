@@ -11,6 +11,7 @@ from corpusq.sources.storage import fresh_path
 BLOCK_SPAN = 65_536
 
 JUDGMENTS = "MAP<STRING, ARRAY<BIGINT>>"
+TOKEN_LISTS = "MAP<STRING, ARRAY<STRING>>"
 
 
 def read_pagerank(spark: SparkSession, path: str) -> DataFrame:
@@ -57,3 +58,15 @@ def write_qrels(qrels: DataFrame, path: str) -> None:
     )
     lines = blocks.select(F.to_json(F.create_map("query_text", "ids")).alias("value"))
     lines.write.mode("errorifexists").text(path)
+
+
+def read_token_lists(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """``(doc_id, tokens)`` from JSON maps of document id to its tokens, read as judgments are."""
+    maps = spark.read.text(path, wholetext=multiline).select(F.from_json("value", TOKEN_LISTS).alias("m"))
+    return maps.select(F.explode("m").alias("id", "tokens")).select(F.col("id").cast("bigint").alias("doc_id"), "tokens")
+
+
+def write_token_lists(docs: DataFrame, path: str) -> None:
+    """Write ``(doc_id, tokens)`` as lines of JSON maps, one document per line."""
+    line = F.to_json(F.create_map(F.col("doc_id").cast("string"), "tokens"))
+    docs.select(line.alias("value")).write.mode("errorifexists").text(path)
