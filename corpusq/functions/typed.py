@@ -66,6 +66,15 @@ def typed_tokens(text: Column) -> Column:
     return F.transform(found, lambda m: F.struct(m["token"].alias("token"), _class_of(m).alias("cls")))
 
 
+def class_counts(found: Column) -> list[Column]:
+    """One column per class: how many typed tokens are of it."""
+    return [_count_of(found, name).alias(name) for name in CLASSES]
+
+
+def _count_of(found: Column, name: str) -> Column:
+    return F.size(F.filter(found, lambda t: t["cls"] == name)).cast("bigint")
+
+
 def _class_of(match: Column) -> Column:
     token = match["token"]
     return (

@@ -171,8 +171,7 @@ def typed_tokens(spark, sf):
 def token_class_counts(spark, sf):
     docs = spread(fx.documents(spark, sf).select("doc_id", "body"), "doc_id")
     found = docs.select("doc_id", typed.typed_tokens(F.col("body")).alias("found"))
-    counts = [F.size(F.filter("found", lambda t, c=c: t["cls"] == c)).alias(c) for c in typed.CLASSES]
-    return found.select("doc_id", *counts)
+    return found.select("doc_id", *typed.class_counts(F.col("found")))
 
 
 @register

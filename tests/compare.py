@@ -101,7 +101,7 @@ def main(sf: str, only: list[str]) -> None:
             if name in oracle:
                 result = difference(df, con, oracle[name]) or f"same, {df.count()} rows"
             else:
-                result = f"no SQL, {df.count()} rows"
+                result = f"no SQL, {len(df.collect())} rows"
         except Exception as error:  # report and go on
             result = f"FAILED {type(error).__name__}: {str(error)[:400]}"
         print(f"{name:26s} {time.time() - start:6.2f}s  {result}", flush=True)

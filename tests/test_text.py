@@ -150,3 +150,13 @@ def test_typed_examples(spark):
         "Call": "WORD", "Mar 26, 2020": "DATE", "at": "WORD", "10:30:05": "TIME", "for": "WORD",
         "12%": "PERCENT", "of": "WORD", "-7": "NUMBER",
     }
+
+
+def test_class_counts(spark):
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = docs.select("text", typed.typed_tokens(F.col("text")).alias("found"))
+    for row in found.select("text", *typed.class_counts(F.col("found"))).collect():
+        counts = Counter(cls for _, cls in python_typed(row.text))
+        assert {c: row[c] for c in typed.CLASSES} == {c: counts[c] for c in typed.CLASSES}
