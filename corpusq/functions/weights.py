@@ -15,6 +15,25 @@ def half_even(value: Column, places: int) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
+def round_exact(value: Column, places: int) -> Column:
+    """Round a double as the decimal number it stands for, ties to even.
+
+    The scaled value may only look like a tie: multiplying has rounded it. Then
+    the part lost in the product, worked out from the two halves of the
+    value, tells on which side the true value lies.
+    """
+    scale = F.lit(float(10**places))
+    scaled = value * scale
+    wide = value * F.lit(134217729.0)  # 2**27 + 1 splits a double in halves
+    high = wide - (wide - value)
+    lost = (high * scale - scaled) + (value - high) * scale
+    tie = scaled - F.floor(scaled) == 0.5
+    whole = (
+        F.when(tie & (lost > 0), F.ceil(scaled)).when(tie & (lost < 0), F.floor(scaled)).otherwise(F.rint(scaled))
+    )
+    return whole / scale
+
+
 def idf(n: Column | float, df: Column) -> Column:
     """``ln(n / df)``."""
     return F.log(F.lit(n) / df)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.functions.weights import half_even
+from corpusq.functions.weights import round_exact
 
 PLACES = 3
 F_SCORE_CUTOFF = 100
@@ -52,17 +52,17 @@ def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int =
     )
     hits = hits.select("*", mean_precision.alias("mean_precision")).drop("hit_ranks")
     counts = sizes.join(hits, "query_id", "left").fillna(0)
-    recall_f = half_even(F.col("hits_f") / F.col("relevant"), PLACES)
-    precision_f = half_even(F.col("hits_f") / F.lit(f_cutoff), PLACES)
-    precision_k = half_even(F.col("hits_k") / F.lit(k), PLACES)
+    recall_f = round_exact(F.col("hits_f") / F.col("relevant"), PLACES)
+    precision_f = round_exact(F.col("hits_f") / F.lit(f_cutoff), PLACES)
+    precision_k = round_exact(F.col("hits_k") / F.lit(k), PLACES)
     both = recall_f + precision_f
     return counts.select(
         "query_id",
-        half_even(F.col("hits_k") / F.col("relevant"), PLACES).alias("recall_at_k"),
+        round_exact(F.col("hits_k") / F.col("relevant"), PLACES).alias("recall_at_k"),
         precision_k.alias("precision_at_k"),
         F.when(both == 0, 0.0).otherwise(2 * recall_f * precision_f / both).alias("f_score"),
-        half_even(F.col("hits_r") / F.col("relevant"), PLACES).alias("r_precision"),
-        half_even(F.col("mean_precision"), PLACES).alias("avg_precision"),
+        round_exact(F.col("hits_r") / F.col("relevant"), PLACES).alias("r_precision"),
+        round_exact(F.col("mean_precision"), PLACES).alias("avg_precision"),
         F.when(F.col("hits_k") > 0, precision_k).otherwise(0.0).alias("avg_precision_flat"),
     )
 

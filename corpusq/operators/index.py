@@ -13,9 +13,11 @@ and a repeated write of a batch replaces what a failed one left behind.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,14 +109,17 @@ def write_index(
     delete_index(spark, path)
     doc_terms = _write_doc_terms(P.document_terms(docs, fields, stop, length_field=length_field), path, 0)
     batch = _Batch(spark, path, 0, num_buckets)
-    for field in fields:
-        rows = _analysed(doc_terms, field, stop, lemmas, binary_tf)
+
+    def write_field(field: str) -> None:
+        if field == ANCHOR:
+            rows = P.anchor_postings(anchors, stop, ANCHOR)
+        else:
+            rows = _analysed(doc_terms, field, stop, lemmas, binary_tf)
         batch.write_postings(field, rows, min_df)
         batch.write_term_stats(field, batch.term_stats(field))
-    if anchors is not None:
-        batch.write_postings(ANCHOR, P.anchor_postings(anchors, stop, ANCHOR), min_df)
-        batch.write_term_stats(ANCHOR, batch.term_stats(ANCHOR))
-        fields = [*fields, ANCHOR]
+
+    fields = [*fields, ANCHOR] if anchors is not None else fields
+    _each(spark, write_field, fields)
     batch.commit(_length_totals(doc_terms), fields)
     return open_index(spark, path)
 
@@ -139,12 +144,15 @@ def append_documents(
     batch = _Batch(spark, index.path, index.gen + 1, index.num_buckets)
     analysed = P.document_terms(docs, fields, stop, length_field=length_field)
     doc_terms = _write_doc_terms(analysed, index.path, batch.no)
-    for field in fields:
+
+    def write_field(field: str) -> None:
         batch.write_postings(field, _analysed(doc_terms, field, stop, lemmas, binary_tf))
         old = index.term_stats.where(F.col("field") == field).select("bucket", "term", "df", "cf")
         both = old.unionByName(batch.term_stats(field))
         merged = both.groupBy("bucket", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
         batch.write_term_stats(field, merged)
+
+    _each(spark, write_field, fields)
     totals = _length_totals(doc_terms).select(
         (F.col("n") + F.lit(index.n)).alias("n"),
         (F.col("total_len") + F.lit(index.total_len)).alias("total_len"),
@@ -267,5 +275,11 @@ def _write_bucketed(rows: DataFrame, order: list[str], target: str) -> None:
     )
 
 
+def _each(spark: SparkSession, work: Callable[[str], None], fields: Sequence[str]) -> None:
+    """Write the fields side by side; each is a few jobs that leave cores idle at their end."""
+    with ThreadPoolExecutor(len(fields)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(work), fields))
+
+
 def _length_totals(doc_terms: DataFrame) -> DataFrame:
     return doc_terms.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total_len"))

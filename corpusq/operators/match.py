@@ -13,6 +13,10 @@ from corpusq.operators.index import LITERAL_TERMS, Index
 from corpusq.operators.joins import fits_broadcast, sized_join
 
 
+# At most this many query terms are fetched to see how many there are.
+FETCH_ROWS = 20_000
+
+
 @dataclass(frozen=True)
 class QueryTerms:
     """A batch of tokenised queries and what is known about its size.
@@ -42,10 +46,11 @@ def query_terms(queries: DataFrame, stop: P.StopWords = STOP_WORDS) -> DataFrame
 def measured_terms(queries: DataFrame, stop: P.StopWords = STOP_WORDS) -> QueryTerms:
     """Query terms with their size measured: one bounded fetch, a count if it overflows."""
     rows = query_terms(queries, stop)
-    head = rows.select("term").limit(LITERAL_TERMS + 1).collect()
-    if len(head) <= LITERAL_TERMS:
-        return QueryTerms(rows, tuple(sorted({r.term for r in head})), True)
-    return QueryTerms(rows, None, fits_broadcast(rows))
+    head = rows.select("term").limit(FETCH_ROWS + 1).collect()
+    if len(head) > FETCH_ROWS:
+        return QueryTerms(rows, None, fits_broadcast(rows))
+    terms = {r.term for r in head}
+    return QueryTerms(rows, tuple(sorted(terms)) if len(terms) <= LITERAL_TERMS else None, True)
 
 
 def known_terms(index: Index, terms: QueryTerms, field: str) -> DataFrame:

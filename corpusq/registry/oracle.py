@@ -25,6 +25,20 @@ def _half_even(value: str, places: int) -> str:
     return f"round_even(({value}) * {scale}, 0) / {scale}"
 
 
+def _exact(value: str, places: int) -> str:
+    """A double rounded as the decimal number it stands for; ``value`` is a column."""
+    scale = f"{10**places}::double"
+    scaled = f"({value} * {scale})"
+    wide = f"({value} * 134217729::double)"
+    high = f"({wide} - ({wide} - {value}))"
+    lost = f"(({high} * {scale} - {scaled}) + ({value} - {high}) * {scale})"
+    tie = f"{scaled} - floor({scaled}) = 0.5::double"
+    return (
+        f"CASE WHEN {tie} AND {lost} > 0 THEN ceil({scaled}) WHEN {tie} AND {lost} < 0 THEN floor({scaled}) "
+        f"ELSE round_even({scaled}, 0) END / {scale}"
+    )
+
+
 def _counts(source: str, key: str, column: str) -> str:
     return (
         f"SELECT term, {key}, count(*) AS tf FROM (SELECT {key}, {_tokens(column)} AS term FROM {source}) "
@@ -129,15 +143,17 @@ CTES = {
         "avg(so_far::double / rank) FILTER (rank <= 40) AS mean_precision FROM (SELECT *, row_number() OVER "
         "(PARTITION BY query_id ORDER BY rank) AS so_far FROM hit) JOIN size USING (query_id) GROUP BY query_id"
     ),
-    "scored": (
-        f"SELECT query_id, {_half_even('coalesce(hits_k, 0)::double / relevant', 3)} AS recall_at_k, "
-        f"{_half_even('coalesce(hits_k, 0)::double / 40', 3)} AS precision_at_k, "
-        f"{_half_even('coalesce(hits_f, 0)::double / relevant', 3)} AS r100, "
-        f"{_half_even('coalesce(hits_f, 0)::double / 100', 3)} AS p100, "
-        f"{_half_even('coalesce(hits_r, 0)::double / relevant', 3)} AS r_precision, "
-        f"{_half_even('coalesce(mean_precision, 0)', 3)} AS avg_precision "
+    "share": (
+        "SELECT query_id, coalesce(hits_k, 0)::double / relevant AS rk, coalesce(hits_k, 0)::double / 40 AS pk, "
+        "coalesce(hits_f, 0)::double / relevant AS rf, coalesce(hits_f, 0)::double / 100 AS pf, "
+        "coalesce(hits_r, 0)::double / relevant AS rr, coalesce(mean_precision, 0) AS ap "
         "FROM size LEFT JOIN found USING (query_id)"
     ),
+    "scored": (
+        f"SELECT query_id, {_exact('rk', 3)} AS recall_at_k, {_exact('pk', 3)} AS precision_at_k, "
+        f"{_exact('rf', 3)} AS r100, {_exact('pf', 3)} AS p100, {_exact('rr', 3)} AS r_precision, "
+        f"{_exact('ap', 3)} AS avg_precision FROM share"
+    ),
     "metric": (
         "SELECT query_id, recall_at_k, precision_at_k, "
         "CASE WHEN r100 + p100 = 0 THEN 0 ELSE 2 * r100 * p100 / (r100 + p100) END AS f_score, "

@@ -172,7 +172,7 @@ def test_long_query_batches_match_like_short_ones(spark, monkeypatch):
         return terms, known, match.matches(index, known.drop("qlen"), terms, "body")
 
     want = sorted(found()[2].select("query_id", "term", "doc_id", "tf", "df").collect())
-    monkeypatch.setattr(match, "LITERAL_TERMS", 3)
+    monkeypatch.setattr(match, "FETCH_ROWS", 3)
     monkeypatch.setattr(match, "fits_broadcast", lambda df: False)
     terms, known, rows = found()
     assert terms.terms is None and not terms.small
@@ -187,6 +187,17 @@ def test_term_lookup_prunes_the_scan(spark):
     assert f"= {bucket})" in plan[plan.index("PartitionFilters") :]
 
 
+def test_few_query_terms_prune_the_scan(spark):
+    from corpusq.operators.rank import bm25
+
+    query = spark.createDataFrame([(1, "there onen with")], "query_id BIGINT, text STRING")
+    plan = plan_of(bm25(fx.documents_index(spark, SF), query))
+    scan = plan[plan.index("/postings") :]
+    buckets = sorted({term_bucket_of(t, fx.NUM_BUCKETS) for t in ("onen",)})
+    assert f"= {buckets[0]})" in scan[: scan.index("PushedFilters")]
+    assert "EqualTo(term,onen)" in scan
+
+
 def test_ranking_reads_no_text_and_runs_no_python(spark):
     from corpusq.operators.rank import bm25
 

@@ -241,6 +241,15 @@ def test_metrics(spark):
     assert means.recall_at_k == pytest.approx(sum(got[q]["recall_at_k"] for q in true) / len(true))
 
 
+def test_rounding_is_that_of_exact_decimals(spark):
+    from corpusq.functions.weights import round_exact
+
+    ratios = [(a / b,) for b in range(1, 201) for a in range(b + 1)]
+    df = spark.createDataFrame(ratios, "x DOUBLE")
+    wrong = [(x, y) for x, y in df.select("x", round_exact(F.col("x"), 3)).collect() if y != round(x, 3)]
+    assert wrong == []
+
+
 def test_batch_evaluation(spark, index, queries):
     qrels = spark.createDataFrame([(10, 2), (13, 1)], "query_id BIGINT, doc_id BIGINT")
     scored = S.batch_evaluation(rank.bm25(index, queries), qrels, queries)
