@@ -39,8 +39,7 @@ def merge_fields(
         weight = F.when(F.col("field") == field, F.lit(share)).otherwise(weight)
     merged = ranked.groupBy("query_id", "doc_id").agg(F.sum(weight * F.col("score")).alias("text_score"))
     merged = materialize(merged, "merged")
-    merged = lookup(merged, page_rank.select("doc_id", "pr"), "doc_id")
-    merged = lookup(merged, page_views.select("doc_id", "views"), "doc_id")
+    merged = lookup(merged, "doc_id", page_rank.select("doc_id", "pr"), page_views.select("doc_id", "views"))
     score = (
         F.col("text_score")
         + F.lit(rank_weight) * boost(F.coalesce("pr", F.lit(0.0)))
@@ -52,7 +51,7 @@ def merge_fields(
 
 def attach_titles(results: DataFrame, titles: DataFrame) -> DataFrame:
     """Results with the title of each document, null where it has none."""
-    return lookup(materialize(results, "results"), titles.select("doc_id", "title"), "doc_id")
+    return lookup(materialize(results, "results"), "doc_id", titles.select("doc_id", "title"))
 
 
 def lookup_values(
@@ -64,7 +63,7 @@ def lookup_values(
     one row per wanted id, with ``default`` where the table has none; otherwise
     ids without a value, or with the value 0, are left out.
     """
-    found = lookup(requests, table.select("doc_id", value), "doc_id")
+    found = lookup(requests, "doc_id", table.select("doc_id", value))
     if not aligned:
         found = found.where(F.col(value) != 0)
     elif default is not None:

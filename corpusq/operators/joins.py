@@ -58,17 +58,18 @@ def sized_join(
     return salted_large.join(salted_small, [*on, "_salt"], how).drop("_salt")
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Attach a large keyed table to a few rows, keeping rows without a partner.
+def lookup(rows: DataFrame, key: str, *tables: DataFrame) -> DataFrame:
+    """Attach large keyed tables to a few rows, keeping rows without a partner.
 
     An outer join cannot broadcast the side it preserves, so the plain join would
-    shuffle the whole table. Instead the wanted keys are broadcast to cut the
-    table down first. ``rows`` should be cheap to read twice. With too many keys
-    to broadcast the join is a plain one, where adaptive execution splits the
-    partitions of keys that occur very often in ``rows``.
+    shuffle the whole table. Instead the wanted keys are broadcast to cut every
+    table down first. ``rows`` should be cheap to read several times. With too many
+    keys to broadcast the joins are plain ones, where adaptive execution splits
+    the partitions of keys that occur very often in ``rows``.
     """
     keys = rows.select(key).distinct()
-    if not fits_broadcast(keys):
-        return rows.join(table, key, "left")
-    wanted = table.join(F.broadcast(keys), key, "left_semi")
-    return rows.join(wanted, key, "left")
+    small = fits_broadcast(rows) or fits_broadcast(keys)
+    for table in tables:
+        wanted = table.join(F.broadcast(keys), key, "left_semi") if small else table
+        rows = rows.join(wanted, key, "left")
+    return rows

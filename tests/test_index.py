@@ -158,9 +158,9 @@ def test_salted_join_gives_the_broadcast_rows(spark):
 def test_lookup_without_broadcast_gives_the_same_rows(spark, monkeypatch):
     rows = spark.createDataFrame([(1, 5), (2, 6), (3, 99)], "query_id INT, doc_id BIGINT")
     table = spark.range(10).select(F.col("id").alias("doc_id"), (F.col("id") * 2).alias("v"))
-    small = sorted(joins.lookup(rows, table, "doc_id").collect(), key=str)
+    small = sorted(joins.lookup(rows, "doc_id", table).collect(), key=str)
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    assert sorted(joins.lookup(rows, table, "doc_id").collect(), key=str) == small
+    assert sorted(joins.lookup(rows, "doc_id", table).collect(), key=str) == small
 
 
 def test_long_query_batches_match_like_short_ones(spark, monkeypatch):
