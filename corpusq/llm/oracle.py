@@ -1,3 +1,14 @@
 """DuckDB SQL of the dealt operators, where SQL can express them."""
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op9_warc_splits": """
+        with payloads as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+        ), newest as (
+            select payload_digest, max(page_id) as page_id from payloads where payload_bytes >= 1000 group by payload_digest
+        )
+        select p.page_id, p.payload_bytes, p.payload_digest,
+            case when n.page_id > p.page_id then 'revisit' else 'response' end as record_type,
+            case when n.page_id > p.page_id then n.page_id end as refers_to
+        from payloads p left join newest n on n.payload_digest = p.payload_digest and p.payload_bytes >= 1000""",
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusq.llm import compression, quality
+from corpusq.llm import compression, packing, quality, tokens, warc
 from corpusq.llm.texts import read_table
 
 QUERIES = {}
@@ -20,6 +20,26 @@ def op1_compression_bands(spark, sf):
     return compression.compression_rules(read_table(spark, sf, "documents"), ["doc_id"])
 
 
+SEQUENCE_TOKENS = 2048
+
+
+@register
+def op8_certified_packing(spark, sf):
+    pieces = tokens.token_pieces(read_table(spark, sf, "documents"), ["doc_id"], SEQUENCE_TOKENS)
+    return packing.pack(pieces, SEQUENCE_TOKENS)
+
+
+@register
+def op9_warc_splits(spark, sf):
+    manifest = warc.write_archives(read_table(spark, sf, "pages"), warc.archive_folder(spark))
+    records = warc.read_archives(manifest)
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
+    number = lambda c: F.when(page(c) != "", page(c)).cast("long")
+    return records.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to_id").alias("refers_to"),
+    )
+
+
 @register
 def op10_subword_quality(spark, sf):
     docs = read_table(spark, sf, "documents")
