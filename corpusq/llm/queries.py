@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusq.llm import compression, packing, quality, tokens, warc
+from corpusq.llm import compression, kdtree, packing, pii, quality, secret_scan, tokens, warc
 from corpusq.llm.texts import read_table
 
 QUERIES = {}
@@ -20,6 +20,26 @@ def op1_compression_bands(spark, sf):
     return compression.compression_rules(read_table(spark, sf, "documents"), ["doc_id"])
 
 
+SHARDS = 8
+
+
+@register
+def op3_kd_tree(spark, sf):
+    placed = kdtree.kd_shards(read_table(spark, sf, "documents"), SHARDS)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@register
+def op5_crf_secrets(spark, sf):
+    return secret_scan.scan_secrets(read_table(spark, sf, "documents"), ["doc_id"])
+
+
+@register
+def op7_crf_pii(spark, sf):
+    return pii.find_pii(read_table(spark, sf, "documents"), ["doc_id"])
+
+
 SEQUENCE_TOKENS = 2048
 
 
