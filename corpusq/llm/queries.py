@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusq.llm import compression, kdtree, packing, pii, quality, secret_scan, tokens, warc
+from corpusq.llm import compression, decontaminate, kdtree, licenses, packing, pii, quality, secret_scan, tokens, warc
 from corpusq.llm.texts import read_table
 
 QUERIES = {}
@@ -20,6 +20,11 @@ def op1_compression_bands(spark, sf):
     return compression.compression_rules(read_table(spark, sf, "documents"), ["doc_id"])
 
 
+@register
+def op2_simhash_windows(spark, sf):
+    return decontaminate.contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"), ["doc_id"])
+
+
 SHARDS = 8
 
 
@@ -30,6 +35,11 @@ def op3_kd_tree(spark, sf):
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+@register
+def op4_license_alignment(spark, sf):
+    return licenses.scan_licenses(read_table(spark, sf, "documents"), ["doc_id"])
+
+
 @register
 def op5_crf_secrets(spark, sf):
     return secret_scan.scan_secrets(read_table(spark, sf, "documents"), ["doc_id"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -123,6 +124,41 @@ class WordHashes(dict):
             self.clear()
 
 
+#: Letters and digits, without marks.
+PLAIN_WORD = re.compile(r"[^\W_]+")
+
+
+class PlainHashes(WordHashes):
+    """As ``WordHashes``, blind to case."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        return value
+
+    def of_text(self, text: str) -> np.ndarray:
+        return self.of(PLAIN_WORD.findall(text))
+
+
+class Lookup:
+    """Sorted 64-bit keys with a bitmap ahead: where in some values one of the keys occurs."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.unique(keys)
+        self.map = np.zeros(2**self.BITS, bool)
+        self.map[self.keys >> np.uint64(64 - self.BITS)] = True
+
+    def hits(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``values``, and in ``keys``."""
+        at = np.flatnonzero(self.map[values >> np.uint64(64 - self.BITS)])
+        if len(at) == 0:
+            return at, at
+        where = np.minimum(np.searchsorted(self.keys, values[at]), len(self.keys) - 1)
+        same = self.keys[where] == values[at]
+        return at[same], where[same]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     values = values ^ (values >> np.uint64(33))
