@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from corpusq.llm.texts import flat_map_texts
 
 # Remembered words of a task (about 200 bytes each).
-CACHE = 700_000
+CACHE = 1_200_000
 
 _PLAIN = re.compile(r"([^\W\d_]+)([^\w\s']*)")
 _loaded: dict[str, WordTokens] = {}
@@ -36,9 +36,15 @@ class WordTokens:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For runs of letters in lower case nothing is left to normalise or to split but the blanks between them.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         end = model["end_of_word_suffix"]
@@ -54,43 +60,45 @@ class WordTokens:
         if len(self.cores) > CACHE:
             self.cores = {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        new = {w for words in split for w in set(words) if w not in known}
+        known, new = self.words, set()
+        for words in split:
+            new.update(words)
+        new -= known.keys()
         if new:
             self._learn(list(new))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def _learn(self, words: list[str]) -> None:
-        plain, odd, cores = [], [], {}
+        known, odd = self.words, set()
+        plain, cores, tails = [], [], []  # no tuples: they would set off garbage collections over all known words
         for w in words:
-            m = _PLAIN.fullmatch(w) if max(w) < "Ā" else None
+            m = _PLAIN.fullmatch(w) if w.isascii() or max(w) < "Ā" else None
             if m:
-                core, tail = m[1].lower(), m[2]
-                plain.append((w, core, tail))
-                if core not in self.cores:
-                    cores[core] = None
-                if tail not in self.words:
-                    odd.append(tail)
+                plain.append(w)
+                cores.append(m[1].lower())
+                tails.append(m[2])
             else:
-                odd.append(w)
-        self._learn_cores(list(cores))
-        odd = list(dict.fromkeys(odd))
+                odd.add(w)
+        self._learn_cores(list(set(cores) - self.cores.keys()))
+        odd = list(odd.union(tails) - known.keys())
         for w, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False) if odd else []):
-            self.words[w] = np.array(found.ids, "<u4").tobytes()
-        for w, core, tail in plain:
-            self.words[w] = self.cores[core] + self.words[tail]
+            known[w] = np.array(found.ids, "<u4").tobytes()
+        ids = self.cores
+        for w, core, tail in zip(plain, cores, tails):
+            known[w] = ids[core] + known[tail] if tail else ids[core]
 
     def _learn_cores(self, cores: list[str]) -> None:
         """A run of letters is one unit of the tokenizer and ends with a token that closes a word."""
         for k in range(0, len(cores), 5000):
             part = cores[k : k + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
+            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(ends) == len(part):
-                pieces = [x.tobytes() for x in np.split(ids, ends[:-1])]
+                raw = ids.tobytes()
+                self.cores.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
             else:
-                pieces = [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self.cores.update(zip(part, pieces))
+                found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self.cores.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
 
 
 def word_tokens(path: str) -> WordTokens:
