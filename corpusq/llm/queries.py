@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusq.llm import compression, decontaminate, kdtree, licenses, packing, pii, quality, secret_scan, tokens, warc
+from corpusq.llm import compression, decontaminate, kdtree, licenses, near_duplicates, packing, pii, quality, secret_scan, tokens, warc
 from corpusq.llm.texts import read_table
 
 QUERIES = {}
@@ -45,6 +45,11 @@ def op5_crf_secrets(spark, sf):
     return secret_scan.scan_secrets(read_table(spark, sf, "documents"), ["doc_id"])
 
 
+@register
+def op6_weighted_minhash(spark, sf):
+    return near_duplicates.near_duplicates(read_table(spark, sf, "documents"))
+
+
 @register
 def op7_crf_pii(spark, sf):
     return pii.find_pii(read_table(spark, sf, "documents"), ["doc_id"])
