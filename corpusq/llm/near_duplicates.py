@@ -236,23 +236,58 @@ def _labels(docs: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame:
     links = compared.where(F.col("similarity") >= s.similar).select("a", "b")
     labels = connected(links)
     # Links across classes that no centre has shown.
-    placed = members.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    placed = members.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("label", "key").alias("label"))
     split = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
     placed = placed.join(split, "bucket").join(texts.select("key", "samples"), "key")
-    placed = materialize(placed, "placed")
-    left, right = (placed.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("key", "label", "samples")]) for side in "ab")
-    across = left.join(right, "bucket").where(
-        (F.col("a_key") < F.col("b_key")) & (F.col("a_label") != F.col("b_label")) & (_matches("a_samples", "b_samples", s) >= s.least_matches)
-    )
-    rest = across.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
+    across = materialize(_across(placed, s), "across")
+    rest = across.distinct().join(compared, ["a", "b"], "left_anti")
     more = materialize(_verified(rest, pool, sent), "compared").where(F.col("similarity") >= s.similar).select("a", "b")
     return connected(materialize(links.unionAll(more), "links"))
 
 
-def _matches(left: str, right: str, s: Settings) -> Column:
-    """Equal samples of two texts, 16 bits each: chance adds 64 / 65,536."""
-    at = F.sequence(F.lit(0), F.lit(s.samples - 1))
-    return F.size(F.filter(at, lambda k: F.col(left).substr(k * 2 + 1, F.lit(2)) == F.col(right).substr(k * 2 + 1, F.lit(2))))
+def _across(placed: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of one bucket and different labels whose samples agree often enough for a link.
+
+    A bucket is dealt out in blocks of bounded size; every two blocks of a bucket
+    meet in one row, where all their samples are compared at once.
+    """
+    blocks = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / BLOCK_TEXTS)).cast("int"))
+    blocks = blocks.groupBy("bucket", "block").agg(F.collect_list(F.struct("key", "label", "samples")).alias("texts"))
+    blocks = materialize(blocks, "blocks")
+    left, right = (blocks.select("bucket", F.col("block").alias(f"block_{side}"), F.col("texts").alias(f"texts_{side}")) for side in "ab")
+    met = left.join(right, "bucket").where("block_a <= block_b").select("texts_a", "texts_b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [_flat(batch.column(k), s) for k in (0, 1)]
+            found = []
+            for k in range(batch.num_rows):
+                (key_a, label_a, drawn_a), (key_b, label_b, drawn_b) = (
+                    tuple(x[ends[k] : ends[k + 1]] for x in columns) for ends, columns in sides
+                )
+                same = (drawn_a[:, None, :] == drawn_b[None, :, :]).sum(2)
+                i, j = np.nonzero((same >= s.least_matches) & (label_a[:, None] != label_b[None, :]))
+                if len(i):
+                    found.append((key_a[i], key_b[j]))
+            if found:
+                a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+                pairs = sorted({(min(x), max(x)) for x in zip(map(bytes, a), map(bytes, b))})
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return met.mapInArrow(compare, "a binary, b binary")
+
+
+# Texts of a block: two of them with their keys, labels and samples take under 100 kB.
+BLOCK_TEXTS = 200
+
+
+def _flat(column: pa.ListArray, s: Settings) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Ends of the lists, and their keys, labels and samples as arrays."""
+    texts = column.flatten()
+    ends = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
+    joined = [b"".join(texts.field(name).to_pylist()) for name in ("key", "label", "samples")]
+    keys, labels = (np.frombuffer(raw, "V16") for raw in joined[:2])
+    return ends, (keys, labels, np.frombuffer(joined[2], "<u2").reshape(-1, s.samples))
 
 
 def _verified(pairs: DataFrame, pool: DataFrame, sent) -> DataFrame:
