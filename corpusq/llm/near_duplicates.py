@@ -238,56 +238,142 @@ def _labels(docs: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame:
     # Links across classes that no centre has shown.
     placed = members.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("label", "key").alias("label"))
     split = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    placed = placed.join(split, "bucket").join(texts.select("key", "samples"), "key")
-    across = materialize(_across(placed, s), "across")
-    rest = across.distinct().join(compared, ["a", "b"], "left_anti")
-    more = materialize(_verified(rest, pool, sent), "compared").where(F.col("similarity") >= s.similar).select("a", "b")
-    return connected(materialize(links.unionAll(more), "links"))
+    placed = placed.join(split, "bucket").join(texts.select("key", "samples", "bands"), "key")
+    placed = materialize(placed, "placed")
+    blocks = _blocks(placed, F.ceil(F.col("n") / BLOCK_TEXTS))
+    hopeful = materialize(_met(blocks, "bucket bigint, key binary", lambda: _hopeful(s)).distinct(), "hopeful")
+    # Only texts with such a partner are read, again in blocks of bounded size.
+    sized = hopeful.join(placed.drop("n"), ["bucket", "key"]).join(pool, "key")
+    total = sized.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    blocks = _blocks(sized.join(total, "bucket"), F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)), "text")
+    more = _met(blocks, "a binary, b binary", lambda: _linked(sent.value))
+    return connected(materialize(links.unionAll(more.distinct()), "links"))
 
 
-def _across(placed: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of one bucket and different labels whose samples agree often enough for a link.
+# Texts of a block, and their bytes: what a task holds is two blocks.
+BLOCK_TEXTS, BLOCK_BYTES = 200, 4 * 2**20
 
-    A bucket is dealt out in blocks of bounded size; every two blocks of a bucket
-    meet in one row, where all their samples are compared at once.
-    """
-    blocks = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / BLOCK_TEXTS)).cast("int"))
-    blocks = blocks.groupBy("bucket", "block").agg(F.collect_list(F.struct("key", "label", "samples")).alias("texts"))
-    blocks = materialize(blocks, "blocks")
+
+def _blocks(members: DataFrame, parts: Column, *more: str) -> DataFrame:
+    """The members of each bucket in blocks."""
+    block = F.pmod(F.xxhash64("key"), F.greatest(parts, F.lit(1))).cast("int")
+    one = F.struct("key", "label", "samples", F.col("bands"), *more)
+    return materialize(members.withColumn("block", block).groupBy("bucket", "block").agg(F.collect_list(one).alias("texts")), "blocks")
+
+
+def _met(blocks: DataFrame, schema: str, make) -> DataFrame:
+    """Every two blocks of a bucket in one row, handed to what ``make`` returns; it yields rows."""
     left, right = (blocks.select("bucket", F.col("block").alias(f"block_{side}"), F.col("texts").alias(f"texts_{side}")) for side in "ab")
-    met = left.join(right, "bucket").where("block_a <= block_b").select("texts_a", "texts_b")
+    met = left.join(right, "bucket").where("block_a <= block_b").select("bucket", (F.col("block_a") == F.col("block_b")).alias("same"), "texts_a", "texts_b")
+    fields = [part.split() for part in schema.split(", ")]
+    types = pa.schema([(name, {"bigint": pa.int64(), "binary": pa.binary()}[kind]) for name, kind in fields])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
         for batch in batches:
-            sides = [_flat(batch.column(k), s) for k in (0, 1)]
-            found = []
+            rows = set()
             for k in range(batch.num_rows):
-                (key_a, label_a, drawn_a), (key_b, label_b, drawn_b) = (
-                    tuple(x[ends[k] : ends[k + 1]] for x in columns) for ends, columns in sides
-                )
-                same = (drawn_a[:, None, :] == drawn_b[None, :, :]).sum(2)
-                i, j = np.nonzero((same >= s.least_matches) & (label_a[:, None] != label_b[None, :]))
-                if len(i):
-                    found.append((key_a[i], key_b[j]))
-            if found:
-                a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-                pairs = sorted({(min(x), max(x)) for x in zip(map(bytes, a), map(bytes, b))})
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
-
-    return met.mapInArrow(compare, "a binary, b binary")
-
-
-# Texts of a block: two of them with their keys, labels and samples take under 100 kB.
-BLOCK_TEXTS = 200
-
-
-def _flat(column: pa.ListArray, s: Settings) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """Ends of the lists, and their keys, labels and samples as arrays."""
-    texts = column.flatten()
-    ends = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
-    joined = [b"".join(texts.field(name).to_pylist()) for name in ("key", "label", "samples")]
-    keys, labels = (np.frombuffer(raw, "V16") for raw in joined[:2])
-    return ends, (keys, labels, np.frombuffer(joined[2], "<u2").reshape(-1, s.samples))
+                rows.update(work(*(batch.column(c)[k] for c in range(4))))
+            if rows:
+                columns = [pa.array(c, t) for c, t in zip(zip(*sorted(rows)), types.types)]
+                yield pa.RecordBatch.from_arrays(columns, schema=types)
+
+    return met.mapInArrow(run, schema)
+
+
+class _Block:
+    """Keys, labels, samples and bands of the texts of a block, as arrays."""
+
+    def __init__(self, texts: pa.ListScalar, s: Settings):
+        self.rows = texts.values
+        column = lambda name: b"".join(self.rows.field(name).to_pylist())
+        self.keys = self.rows.field("key").to_pylist()
+        self.labels = np.frombuffer(column("label"), "V16")
+        self.samples = np.frombuffer(column("samples"), "<u2").reshape(-1, s.samples)
+        self.bands = np.array(self.rows.field("bands").to_pylist(), np.int64).reshape(-1, s.bands)
+
+
+def _candidates(bucket: int, same: bool, a: _Block, b: _Block, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels with samples enough in common, in the first bucket that they share only."""
+    agree = (a.samples[:, None, :] == b.samples[None, :, :]).sum(2)
+    wanted = (agree >= s.least_matches) & (a.labels[:, None] != b.labels[None, :])
+    i, j = np.nonzero(np.triu(wanted, 1) if same else wanted)
+    shared = a.bands[i] == b.bands[j]
+    first = a.bands[i, shared.argmax(1)] == bucket if len(i) else np.zeros(0, bool)
+    return i[first], j[first]
+
+
+def _hopeful(s: Settings):
+    def work(bucket, same, texts_a, texts_b):
+        a, b = _Block(texts_a, s), _Block(texts_b, s)
+        i, j = _candidates(bucket.as_py(), same.as_py(), a, b, s)
+        return [(bucket.as_py(), a.keys[k]) for k in set(i.tolist())] + [(bucket.as_py(), b.keys[k]) for k in set(j.tolist())]
+
+    return work
+
+
+def _linked(weights: Weights):
+    s, bags = weights.settings, Bags(weights)
+
+    def work(bucket, same, texts_a, texts_b):
+        a, b = _Block(texts_a, s), _Block(texts_b, s)
+        i, j = _candidates(bucket.as_py(), same.as_py(), a, b, s)
+        if len(i) == 0:
+            return []
+        left = {k: bags.bag(a.rows.field("text")[k].as_py()) for k in set(i.tolist())}
+        right = {k: bags.bag(b.rows.field("text")[k].as_py()) for k in set(j.tolist())}
+        bags.hashes.trim()
+        near = all_jaccard(left, right, i, j) >= s.similar
+        return [tuple(sorted((a.keys[x], b.keys[y]))) for x, y in zip(i[near].tolist(), j[near].tolist())]
+
+    return work
+
+
+def all_jaccard(left: dict[int, tuple], right: dict[int, tuple], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The weighted Jaccard similarity of the pairs (i, j) of two sets of bags.
+
+    The sums of smaller weights come from products of matrices, by stretches of
+    shingles and by the few different weights that a shingle has.
+    """
+    if len(i) < 400:
+        return np.array([weighted_jaccard(left[x], right[y]) for x, y in zip(i.tolist(), j.tolist())])
+    place = [{k: n for n, k in enumerate(side)} for side in (left, right)]
+    sides = []
+    for side in (left, right):
+        owner, gram, weight = [], [], []
+        for n, (grams, weights) in enumerate(side.values()):
+            owner.append(np.full(len(grams), n))
+            gram.append(grams)
+            weight.append(weights)
+        sides.append([np.concatenate(x) for x in (owner, gram, weight)])
+    known, code = np.unique(np.concatenate((sides[0][1], sides[1][1])), return_inverse=True)
+    codes = np.split(code, [len(sides[0][1])])
+    low = np.zeros((len(left), len(right)))
+    for start in range(0, len(known), 8192):
+        parts = []
+        for (owner, _, weight), at, n in zip(sides, codes, (len(left), len(right))):
+            inside = (at >= start) & (at < start + 8192)
+            dense = np.zeros((n, min(8192, len(known) - start)))
+            dense[owner[inside], at[inside] - start] = weight[inside]
+            parts.append(dense)
+        both = parts[0].any(0) & parts[1].any(0)
+        x, y = parts[0][:, both], parts[1][:, both]
+        # The smaller of two weights, level by level of the weights that occur: a step counts where both reach it.
+        floor = np.zeros(x.shape[1])
+        while len(floor):
+            above_x, above_y = x > floor * (1 + 1e-12), y > floor * (1 + 1e-12)
+            step = np.minimum(np.where(above_x, x, np.inf).min(0), np.where(above_y, y, np.inf).min(0))
+            live = np.isfinite(step) & above_x.any(0) & above_y.any(0)
+            if not live.any():
+                break
+            gain = np.where(live, step, 0.0) - np.where(live, floor, 0.0)
+            low += (above_x * gain) @ above_y.T.astype(float)
+            floor = np.where(live, step, np.inf)
+    a, b = (np.array([place[k][x] for x in at.tolist()]) for k, at in ((0, i), (1, j)))
+    mass = [np.array([w.sum() for _, w in side.values()]) for side in (left, right)]
+    both = low[a, b]
+    high = mass[0][a] + mass[1][b] - both
+    return np.where(high > 0, both / np.where(high > 0, high, 1), 0.0)
 
 
 def _verified(pairs: DataFrame, pool: DataFrame, sent) -> DataFrame:
