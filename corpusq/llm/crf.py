@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import bisect
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,8 +50,8 @@ class Model:
     move: np.ndarray  # labels x labels
     start: np.ndarray
 
-    def own_ids(self, word: str) -> list[int]:
-        return [xxhash.xxh32_intdigest(f) % self.features.buckets for f in self.features.own(word)]
+    def ids(self, own: Iterable[str]) -> list[int]:
+        return [xxhash.xxh32_intdigest(f) % self.features.buckets for f in own]
 
 
 def allowed(labels: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +78,7 @@ def train(rows: list[tuple[list[str], list[str], int]], features: Features, epoc
         classes = [0, *map(features.word_class, words), 0]
         for t, word in enumerate(words):
             gold[r, t] = labels[tags[t]]
-            own = probe.own_ids(word) + [offsets[1] + classes[t], offsets[2] + classes[t + 2], offsets[3] + kind]
+            own = probe.ids(features.own(word)) + [offsets[1] + classes[t], offsets[2] + classes[t + 2], offsets[3] + kind]
             ids += own
             cell += [r * wide + t] * len(own)
     ids, cell = np.array(ids), np.array(cell)
@@ -175,6 +175,7 @@ class Decoder:
 
     def begin(self) -> None:
         self.number = _Numbers()
+        self.vectors: dict[tuple[str, ...], np.ndarray] = {}
         self.own, self.kind = np.zeros((1024, self.states)), np.zeros(1024, np.int64)
 
     def learn(self) -> None:
@@ -183,9 +184,13 @@ class Decoder:
         if n > len(self.kind):
             self.own = np.resize(self.own, (2 * n, self.states))
             self.kind = np.resize(self.kind, 2 * n)
+        own, kind, vectors = self.model.features.own, self.model.features.word_class, self.vectors
         for k, word in enumerate(new, n - len(new)):
-            self.own[k] = self.model.own[self.model.own_ids(word)].sum(0)
-            self.kind[k] = self.model.features.word_class(word)
+            features = tuple(own(word))
+            if features not in vectors:
+                vectors[features] = self.model.own[self.model.ids(features)].sum(0)
+            self.own[k] = vectors[features]
+            self.kind[k] = kind(word)
 
     def spans(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
         """(kind, start, end) of each text, by start; positions in characters."""

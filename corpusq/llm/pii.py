@@ -96,7 +96,7 @@ def _hint(word: str) -> int:
 
 def own_features(word: str) -> list[str]:
     core = word.strip(_STRIP)
-    if not any("0" <= c <= "9" for c in core[:60]):
+    if core.isalpha() or not any("0" <= c <= "9" for c in core[:60]):
         return ["bias", "no digit", f"hint={_hint(word)}", f"open={word[:1] == '('}"]
     digits = sum("0" <= c <= "9" for c in core[:60])
     shape = _shape(core)
@@ -114,7 +114,7 @@ def word_class(word: str) -> int:
     if h := _hint(word):
         return h
     core = word.strip(_STRIP)[:40]
-    if not any("0" <= c <= "9" for c in core):
+    if core.isalpha() or not any("0" <= c <= "9" for c in core):
         return 9
     plain = re.sub(r"[A-Z]", "X", re.sub(r"[0-9]", "9", core))
     return _CLASSES.get(plain, 8)

@@ -58,12 +58,16 @@ def _bits(word: str) -> float:
 
 def _hint(word: str) -> str | None:
     low = word.lower().strip(_QUOTES + ":=")
+    if not low.endswith(_HINTS):
+        return None
     return next((h for h in _HINTS if low.endswith(h)), None)
 
 
 def own_features(word: str) -> list[str]:
     core = word.strip(_QUOTES)
-    upper, lower, digit = (any(f(c) for c in core[:200]) for f in (str.isupper, str.islower, str.isdigit))
+    head = core[:200]
+    upper, lower = head != head.lower(), head != head.upper()
+    digit = not head.isalpha() and any(map(str.isdigit, head))
     mixed = sum(a.isdigit() != b.isdigit() for a, b in zip(core[:60], core[1:60])) if digit else 0
     size = min(len(core), 64).bit_length() if len(core) < 20 else 5 + len(core) // 20 if len(core) < 100 else 10
     found = ["bias", f"size={size}", f"case={upper:d}{lower:d}{digit:d}", f"mixed={min(mixed, 6)}"]
