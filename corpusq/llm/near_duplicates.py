@@ -175,10 +175,11 @@ def first_of_class(docs: DataFrame, settings: Settings = Settings(), id_: str =
     first = rows.groupBy("class_id").agg(F.min_by(F.struct("id", "key", "__rows"), F.struct("id", "key")).alias("x")).select("x.*")
     first = materialize(first.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "__rows"), "first")
     known = F.col(id_).isNotNull() & F.col(text).isNotNull()
-    marked = docs.where(known).withColumn("__text_key", text_key(text))
-    kept = marked.join(first, (F.col(id_) == F.col("__id")) & (F.col("__text_key") == F.col("__key")))
-    once = kept.where("__rows = 1").select(docs.columns)
-    repeated = kept.where("__rows > 1").dropDuplicates(["__id"]).select(docs.columns)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__doc")
+    marked = docs.where(known).select(whole, F.col(id_).alias("__at"), text_key(text).alias("__text_key"))
+    kept = marked.join(first, (F.col("__at") == F.col("__id")) & (F.col("__text_key") == F.col("__key")))
+    once = kept.where("__rows = 1").select("__doc.*")
+    repeated = kept.where("__rows > 1").dropDuplicates(["__id"]).select("__doc.*")
     return once.unionAll(repeated).unionAll(docs.where(~known))
 
 

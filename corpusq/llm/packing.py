@@ -21,6 +21,8 @@ from corpusq.sources.storage import materialize
 # Pieces of a partition: what one task holds and sorts at a time.
 PER_PARTITION = 4096
 ROUNDS = 4
+
+ADDED = ("sequence_id", "offset", "sequence_fill", "partition_bins", "partition_bound", "__part", "__bin", "__least", "__open")
 _BINS = 2**20
 
 
@@ -80,9 +82,9 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", per_partition
     the certificate of the partition a sequence was made in: partition_bins,
     partition_bound (equal: proven optimal). Lengths must be 1 to ``capacity``;
     rows without a length are an error. Repeated rows are packed each; an empty
-    table gives no rows.
+    table gives no rows. Columns of the names that are added give way to them.
     """
-    pieces = materialize(pieces, "pieces")
+    pieces = materialize(pieces.drop(*(c for c in ADDED if c != length)), "pieces")
     n = pieces.count()
     schema = StructType([f for f in pieces.schema.fields]).add("__part", "long").add("__bin", "long").add("offset", "long")
     schema = schema.add("sequence_fill", "long").add("partition_bins", "long").add("partition_bound", "long")

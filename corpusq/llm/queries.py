@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusq.llm import compression, decontaminate, kdtree, licenses, near_duplicates, packing, pii, quality, secret_scan, tokens, warc
-from corpusq.llm.texts import read_table
+from corpusq.llm.texts import read_table, share_code
 
 QUERIES = {}
 
 
 def register(run):
-    QUERIES[run.__name__] = run
+    def query(spark, sf):
+        share_code(spark)
+        return run(spark, sf)
+
+    QUERIES[run.__name__] = query
     return run
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,15 @@ _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies; a cluster without that path has it installed or sent by --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -36,8 +47,11 @@ def map_texts(
     """Columns computed from whole texts, behind the kept columns; one row per input row.
 
     ``make`` runs once per task and returns a function from texts to named
-    columns. Null texts arrive as "". ``schema`` names and types the new columns.
+    columns. Null texts arrive as "". ``schema`` names and types the new columns; a
+    kept column of the same name gives way.
     """
+    share_code(docs.sparkSession)
+    keep = _beside(keep, schema)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     added = StructType.fromDDL(schema)
     out = StructType(rows.schema.fields[: len(keep)] + added.fields)
@@ -63,6 +77,8 @@ def flat_map_texts(
     text: str = "text",
 ) -> DataFrame:
     """As ``map_texts``, with any number of rows per text: the function also returns each row's text number."""
+    share_code(docs.sparkSession)
+    keep = _beside(keep, schema)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     added = StructType.fromDDL(schema)
     out = StructType(rows.schema.fields[: len(keep)] + added.fields)
@@ -82,6 +98,11 @@ def flat_map_texts(
     return rows.mapInArrow(run, out)
 
 
+def _beside(keep: list[str], schema: str) -> list[str]:
+    new = StructType.fromDDL(schema).names
+    return [c for c in keep if c not in new]
+
+
 def _calls(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     column = batch.column(batch.num_columns - 1)
     start, texts, chars = 0, [], 0
