@@ -40,11 +40,19 @@ def fingerprints(grams: np.ndarray, weights: np.ndarray, starts: np.ndarray, siz
     return np.packbits(on, axis=1, bitorder="little").view("<u2")
 
 
-def similarity(left: np.ndarray, right: np.ndarray, weight) -> float:
-    """Weighted Jaccard similarity of two bags of shingles."""
-    a, b = _counted(left), _counted(right)
-    low = sum(min(n, b.get(g, 0)) * weight(g) for g, n in a.items())
-    high = sum(max(a.get(g, 0), b.get(g, 0)) * weight(g) for g in a.keys() | b.keys())
+def shingle_weights(words: list[str], size: int) -> np.ndarray:
+    """A shingle weighs as many letters and digits as it has, as long words say more than short ones."""
+    ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))
+    width = min(size, len(words))
+    return (ends[width:] - ends[: len(ends) - width]).astype(np.float64)
+
+
+def similarity(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two bags of shingles, given with their weights."""
+    a, b = (_counted(grams) for grams, _ in (left, right))
+    weight = dict(zip(left[0].tolist(), left[1].tolist())) | dict(zip(right[0].tolist(), right[1].tolist()))
+    low = sum(min(n, b.get(g, 0)) * weight[g] for g, n in a.items())
+    high = sum(max(a.get(g, 0), b.get(g, 0)) * weight[g] for g in a.keys() | b.keys())
     return low / high if high else 0.0
 
 
@@ -54,38 +62,30 @@ def _counted(grams: np.ndarray) -> dict[int, int]:
 
 
 class Items:
-    """Items by their shingles and by the blocks of their fingerprints.
-
-    A shingle weighs 1 / (number of items that have it), so what items share counts less.
-    """
+    """Items by their shingles and by the blocks of their fingerprints."""
 
     def __init__(self, items: list[tuple[int, str]], similar: float):
         hashes = PlainHashes()
         self.similar = similar
-        self.ids, self.grams, self.words = [], [], []
-        where, shared = defaultdict(list), defaultdict(int)
+        self.ids, self.bags, self.words = [], [], []
+        where = defaultdict(list)
         for item_id, text in items:
-            words = hashes.of_text(text or "")
-            if len(words) == 0:
+            words = PLAIN_WORD.findall(text or "")
+            if not words:
                 continue
-            grams = shingles(words, SIZE)
+            grams = shingles(hashes.of(words), SIZE)
             for place, g in enumerate(grams.tolist()):
                 where[g].append((len(self.ids), place))
-            for g in set(grams.tolist()):
-                shared[g] += 1
             self.ids.append(item_id)
-            self.grams.append(grams)
+            self.bags.append((grams, shingle_weights(words, SIZE)))
             self.words.append(len(words))
-        self.shared = dict(shared)
         self.by_size: dict[int, tuple] = {}
         # Items under SIZE words have shingles of their own length.
         for size in {min(SIZE, n) for n in self.words}:
             keys = np.array([g for g, at in where.items() if min(SIZE, self.words[at[0][0]]) == size], np.uint64)
             lookup = Lookup(keys)
             self.by_size[size] = lookup, [where[int(k)] for k in lookup.keys]
-        prints = [
-            fingerprints(g, np.array([self.weight(x) for x in g.tolist()]), np.zeros(1, np.int64), len(g))[0] for g in self.grams
-        ]
+        prints = [fingerprints(grams, weights, np.zeros(1, np.int64), len(grams))[0] for grams, weights in self.bags]
         self.prints = np.array(prints, np.uint16).reshape(-1, BLOCKS)
         reach = [0] + [sum(1 << b for b in c) for n in range(1, RADIUS // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), n)]
         near = self.prints[:, :, None] ^ np.array(reach, np.uint16)
@@ -95,9 +95,6 @@ class Items:
             order = np.argsort(values, kind="stable")
             self.blocks.append((np.searchsorted(values[order], np.arange(2**BLOCK_BITS + 1)), order // len(reach)))
 
-    def weight(self, gram: int) -> float:
-        return 1 / self.shared.get(gram, 1)
-
     def within(self, print_: np.ndarray) -> list[tuple[int, int]]:
         """All items at most ``RADIUS`` bits away, with their distance."""
         near = np.unique(np.concatenate([
@@ -122,17 +119,14 @@ class Items:
                         found[size, min(wide, len(words))].add(min(max(s, 0), last))
         return found
 
-    def search(self, words: np.ndarray) -> dict[int, tuple[float, int, int, int]]:
+    def search(self, words: np.ndarray, text: str) -> dict[int, tuple[float, int, int, int]]:
         """For each item found: similarity, distance, start and words of its best window (the first of equal ones)."""
         best: dict[int, tuple[float, int, int, int]] = {}
-        if not self.ids:
-            return best
-        for (size, wide), starts in sorted(self.windows(words).items()):
+        wanted = self.windows(words) if self.ids else {}
+        plain = PLAIN_WORD.findall(text) if wanted else []
+        for (size, wide), starts in sorted(wanted.items()):
             starts = np.array(sorted(starts))
-            grams = shingles(words, size)
-            weights = np.ones(len(grams))
-            at, key = self.by_size[size][0].hits(grams)
-            weights[at] = [self.weight(g) for g in self.by_size[size][0].keys[key].tolist()]
+            grams, weights = shingles(words, size), shingle_weights(plain, size)
             n = wide - size + 1
             # Windows lie together in a few places: only those stretches are summed.
             for group in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
@@ -142,7 +136,7 @@ class Items:
                     for item, distance in self.within(print_):
                         if min(SIZE, self.words[item]) != size:
                             continue
-                        s = similarity(grams[start : start + n], self.grams[item], self.weight)
+                        s = similarity((grams[start : start + n], weights[start : start + n]), self.bags[item])
                         id_ = self.ids[item]
                         if s >= self.similar and (id_ not in best or s > best[id_][0]):
                             best[id_] = (s, distance, start, wide)
@@ -174,7 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
             def work(texts):
                 at, rows = [], []
                 for k, t in enumerate(texts):
-                    found = index.search(hashes.of_text(t))
+                    found = index.search(hashes.of_text(t), t)
                     if found:
                         spans = [m.span() for m in PLAIN_WORD.finditer(t)]
                         for item, (s, d, start, n) in sorted(found.items()):
@@ -199,7 +193,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similar: float = SIMI
             index, hashes = Items(items, similar), PlainHashes()
 
             def work(texts):
-                found = [not index.search(hashes.of_text(t)) for t in texts]
+                found = [not index.search(hashes.of_text(t), t) for t in texts]
                 hashes.trim()
                 return {"__clean": found}
 
