@@ -43,12 +43,12 @@ _ANY = rf"(?imdU)(?:{DATE})|(?:{TIME})|(?:{_PERCENT})|({_NUMBER})|({_WORD})|\s+|
 
 def extract_dates(text: Column) -> Column:
     """All date strings of a text."""
-    return F.regexp_extract_all(text, F.lit(f"(?i)(?:{DATE})"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"(?imdU)(?:{DATE})"), F.lit(0))
 
 
 def extract_times(text: Column) -> Column:
     """All time-of-day strings of a text."""
-    return F.regexp_extract_all(text, F.lit(f"(?i)(?:{TIME})"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"(?imdU)(?:{TIME})"), F.lit(0))
 
 
 def typed_tokens(text: Column) -> Column:

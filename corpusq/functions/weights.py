@@ -34,6 +34,11 @@ def round_exact(value: Column, places: int) -> Column:
     return whole / scale
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` as a double; 0 where the whole is 0, null where either is null."""
+    return F.when(whole == 0, F.lit(0.0)).otherwise(F.try_divide(part.cast("double"), whole))
+
+
 def idf(n: Column | float, df: Column) -> Column:
     """``ln(n / df)``."""
     return F.log(F.lit(n) / df)
@@ -50,6 +55,6 @@ def idf_bm25(n: Column | float, df: Column) -> Column:
 
 
 def bm25_saturation(tf: Column, dl: Column, avg_dl: Column | float, k1: float, b: float) -> Column:
-    """Length-normalised, saturating share of the term frequency."""
-    stretch = F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avg_dl)
+    """Length-normalised, saturating share of the term frequency; in a corpus of empty documents all lengths count as 0."""
+    stretch = F.lit(1.0 - b) + F.lit(b) * ratio(dl, F.lit(avg_dl))
     return tf * F.lit(k1 + 1.0) / (tf + F.lit(k1) * stretch)

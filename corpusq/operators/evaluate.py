@@ -9,6 +9,7 @@ from corpusq.functions.weights import round_exact
 
 PLACES = 3
 F_SCORE_CUTOFF = 100
+FLAT_CUTOFF = 40
 
 METRICS = (
     "recall_at_k",
@@ -26,12 +27,19 @@ def relevant_hits(results: DataFrame, qrels: DataFrame) -> DataFrame:
     return results.select("query_id", "doc_id", "rank").join(judged, ["query_id", "doc_id"])
 
 
-def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int = F_SCORE_CUTOFF) -> DataFrame:
+def evaluate(
+    results: DataFrame,
+    qrels: DataFrame,
+    k: int = 40,
+    f_cutoff: int = F_SCORE_CUTOFF,
+    flat_cutoff: int = FLAT_CUTOFF,
+) -> DataFrame:
     """One row of metrics per judged query.
 
     ``results(query_id, doc_id, rank)``, ``qrels(query_id, doc_id)``. A judged
     query without results scores 0; a query without judgments is left out.
-    Average precision divides by the hits found, as its flat variant does.
+    Average precision divides by the hits found. Its flat variant is the precision
+    at ``flat_cutoff``, whatever ``k``, and 0 for a query without a hit up to ``k``.
     """
     sizes = qrels.select("query_id", "doc_id").distinct().groupBy("query_id").agg(F.count("*").alias("relevant"))
     hits = (
@@ -41,6 +49,7 @@ def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int =
         .agg(
             F.count_if(F.col("rank") <= k).alias("hits_k"),
             F.count_if(F.col("rank") <= f_cutoff).alias("hits_f"),
+            F.count_if(F.col("rank") <= flat_cutoff).alias("hits_flat"),
             F.count_if(F.col("rank") <= F.col("relevant")).alias("hits_r"),
             # At most k ranks per query.
             F.sort_array(F.collect_list(F.when(F.col("rank") <= k, F.col("rank")))).alias("hit_ranks"),
@@ -55,6 +64,7 @@ def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int =
     recall_f = round_exact(F.col("hits_f") / F.col("relevant"), PLACES)
     precision_f = round_exact(F.col("hits_f") / F.lit(f_cutoff), PLACES)
     precision_k = round_exact(F.col("hits_k") / F.lit(k), PLACES)
+    precision_flat = round_exact(F.col("hits_flat") / F.lit(flat_cutoff), PLACES)
     both = recall_f + precision_f
     return counts.select(
         "query_id",
@@ -63,7 +73,7 @@ def evaluate(results: DataFrame, qrels: DataFrame, k: int = 40, f_cutoff: int =
         F.when(both == 0, 0.0).otherwise(2 * recall_f * precision_f / both).alias("f_score"),
         round_exact(F.col("hits_r") / F.col("relevant"), PLACES).alias("r_precision"),
         round_exact(F.col("mean_precision"), PLACES).alias("avg_precision"),
-        F.when(F.col("hits_k") > 0, precision_k).otherwise(0.0).alias("avg_precision_flat"),
+        F.when(F.col("hits_k") > 0, precision_flat).otherwise(0.0).alias("avg_precision_flat"),
     )
 
 

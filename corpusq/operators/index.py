@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusq.functions.text import STOP_WORDS, term_bucket, term_bucket_of
+from corpusq.functions.weights import ratio
 from corpusq.operators import postings as P
 from corpusq.sources.storage import delete_path, materialize
 
@@ -64,7 +65,7 @@ class Index:
         """``(n, total_len, avg_dl)`` as a one-row table."""
         stored = self.postings.sparkSession.read.schema(CORPUS_STATS_SCHEMA).parquet(f"{self.path}/corpus_stats")
         return stored.where(F.col("gen") == self.gen).select(
-            "n", "total_len", (F.col("total_len") / F.col("n")).alias("avg_dl")
+            "n", "total_len", ratio(F.col("total_len"), F.col("n")).alias("avg_dl")
         )
 
     def of_terms(self, table: DataFrame, terms: Iterable[str] | None) -> DataFrame:

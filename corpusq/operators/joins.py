@@ -9,24 +9,28 @@ from pyspark.sql import functions as F
 # most 50 characters plus a few numbers, so the table stays under about 100 MB.
 BROADCAST_ROWS = 500_000
 
-# Beyond that, each key of the larger side is spread over this many tasks.
-SALTS = 32
+# Beyond that, a key is spread over one task for so many of its rows.
+ROWS_PER_SALT = 2_000_000
+
+# Inputs of fewer splits are dealt out, whatever the number of cores.
+FEW_SPLITS = 256
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal out an input that has fewer splits than the cluster has cores.
+    """Deal out an input that has fewer splits than the cluster has cores, and few at all.
 
-    A corpus of many files passes through untouched; only an input of at most a
-    few splits is shuffled, so that the costly text work uses every core. ``df``
-    should be a scan: asking a plan with shuffles for its partitions runs them.
+    A corpus of many files passes through untouched; only an input of at most
+    ``FEW_SPLITS`` splits is shuffled, so that the costly text work uses every
+    core. ``df`` should be a scan: asking a plan with shuffles for its partitions
+    runs them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a table is small enough to send to every executor."""
-    return df.count() <= limit
+    """Whether a table is small enough to send to every executor; counts no further than that."""
+    return df.limit(limit + 1).count() <= limit
 
 
 def sized_join(
@@ -37,25 +41,33 @@ def sized_join(
     *,
     spread: str,
     small_fits: bool | None = None,
-    salts: int = SALTS,
+    rows: str | None = None,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """Join by broadcast where the measured size allows, else on salted keys.
+    """Join by broadcast where the measured size allows, else by a shuffle.
 
-    ``large`` may repeat a key without bound. In the salted form its rows are
-    spread by the hash of column ``spread`` and each row of ``small`` is repeated
-    once per salt, so that a hot key is worked on by ``salts`` tasks. Any join
-    type that keeps or filters rows of ``large`` gives the same rows both ways.
-    Where the keys of ``large`` are unique, ``salts=1`` makes it a plain join.
+    ``large`` may repeat a key without bound. Where a
+    column ``rows`` of ``small`` says how often a key occurs in ``large``, keys above
+    ``rows_per_salt`` are spread over several tasks by the hash of column
+    ``spread``, and only their rows of ``small`` are repeated; all others are joined
+    as they are. Without it adaptive execution splits the partitions of hot keys.
+    Any join type that keeps or filters rows of ``large`` gives the same rows.
     """
     if small_fits is None:
         small_fits = fits_broadcast(small)
     if small_fits:
         return large.join(F.broadcast(small), on, how)
-    if salts == 1:
+    if rows is None:
+        return large.join(small, on, how)
+    salts = F.greatest(F.lit(1), F.ceil(F.col(rows) / rows_per_salt)).cast("int")
+    hot = small.groupBy(*on).agg(F.max(rows).alias(rows)).where(salts > 1).select(*on, salts.alias("_salts"))
+    if not fits_broadcast(hot):
         return large.join(small, on, how)
-    salted_large = large.withColumn("_salt", F.pmod(F.hash(spread), F.lit(salts)))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_large.join(salted_small, [*on, "_salt"], how).drop("_salt")
+    salted = large.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.pmod(F.hash(spread), F.coalesce("_salts", F.lit(1)))
+    )
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return salted.drop("_salts").join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def lookup(rows: DataFrame, key: str, *tables: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.functions.text import STOP_WORDS
+from corpusq.functions.text import STOP_WORDS, term_bucket
 from corpusq.operators import postings as P
 from corpusq.operators.index import LITERAL_TERMS, Index
 from corpusq.operators.joins import fits_broadcast, sized_join
@@ -67,12 +67,16 @@ def matches(index: Index, weighted: DataFrame, terms: QueryTerms, field: str) ->
 
     ``weighted`` has ``query_id``, ``term`` and any weights, at most one row per
     row of ``terms``. Small batches are broadcast to the scan of the postings,
-    which is cut down to their terms; for large ones a frequent term is spread
-    over many tasks by document.
+    which is cut down to their terms; for large ones with a ``df`` a frequent term
+    is spread over several tasks by document.
     """
     found = index.of_terms(index.postings.where(F.col("field") == field), terms.terms)
-    found = found.select("term", "doc_id", "tf", "dl")
-    return sized_join(found, weighted, ["term"], spread="doc_id", small_fits=terms.small)
+    found = found.select("bucket", "term", "doc_id", "tf", "dl")
+    # The bucket of a term lets the join prune directories, for batches of any size.
+    keyed = weighted.withColumn("bucket", term_bucket(F.col("term"), index.num_buckets))
+    df = "df" if "df" in weighted.columns else None
+    on = ["bucket", "term"]
+    return sized_join(found, keyed, on, spread="doc_id", small_fits=terms.small, rows=df).drop("bucket")
 
 
 def candidates(index: Index, queries: DataFrame, field: str, stop: P.StopWords = STOP_WORDS) -> DataFrame:

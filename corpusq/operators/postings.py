@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from corpusq.functions.text import STOP_WORDS, kept_tokens, run_starts, runs_to_counts, tokens
-from corpusq.functions.weights import idf, idf_smoothed
+from corpusq.functions.weights import idf, idf_smoothed, ratio
 from corpusq.operators.joins import sized_join, spread
 from corpusq.sources.storage import materialize
 
@@ -50,6 +50,7 @@ def document_terms(
     length_field: str | None = None,
     id_col: str = "doc_id",
     is_scan: bool = True,
+    stop_literals: int = STOP_LITERALS,
 ) -> DataFrame:
     """``(id, dl, field…)``: one row per document with its term counts per field.
 
@@ -57,12 +58,13 @@ def document_terms(
     kept tokens of ``length_field`` (the last of ``fields`` unless named). Each
     field is tokenised once and nothing is shuffled, save for an input that
     ``is_scan`` of a few splits. A field may also be a list of tokens, which are
-    counted as they are.
+    counted as they are. A stop table of more than ``stop_literals`` words is
+    joined instead; the rows are the same, ids may repeat.
     """
     length_field = length_field or fields[-1]
     docs = docs.select(id_col, *fields)
     given = {f for f in fields if isinstance(docs.schema[f].dataType, ArrayType)}
-    words, table = _stop_parts([] if given == set(fields) else stop)
+    words, table = _stop_parts([] if given == set(fields) else stop, stop_literals)
     docs = spread(docs, id_col) if is_scan else docs
 
     def kept(f: str) -> Column:
@@ -76,7 +78,8 @@ def document_terms(
         F.size(length_field).cast("bigint").alias("dl"),
         *[runs_to_counts(F.col(f), F.col(f"{f}_starts")).alias(f) for f in fields],
     )
-    return counted if table is None else _stop_by_table(counted, table, fields, length_field, id_col)
+    filtered = [f for f in fields if f not in given]
+    return counted if table is None else _stop_by_table(counted, table, fields, filtered, length_field, id_col)
 
 
 def postings_of(doc_terms: DataFrame, fields: Sequence[str], id_col: str = "doc_id") -> DataFrame:
@@ -108,14 +111,19 @@ def lemma_postings(
 
 
 def anchor_postings(
-    anchors: DataFrame, stop: StopWords = STOP_WORDS, field: str = "anchor"
+    anchors: DataFrame,
+    stop: StopWords = STOP_WORDS,
+    field: str = "anchor",
+    stop_literals: int = STOP_LITERALS,
 ) -> DataFrame:
     """Postings of link texts under the page they point to.
 
     ``anchors(target_id, text)`` has one row per link. The counts of a link are
     made in its row and combined per target before the shuffle.
     """
-    per_link = document_terms(anchors, ["text"], stop, id_col="target_id", is_scan=False)
+    per_link = document_terms(
+        anchors, ["text"], stop, id_col="target_id", is_scan=False, stop_literals=stop_literals
+    )
     return (
         postings_of(per_link, ["text"], "target_id")
         .groupBy("term", "doc_id")
@@ -135,8 +143,9 @@ def frequent_terms_only(postings: DataFrame, min_df: int) -> DataFrame:
     ``postings`` is read twice, so pass a stored table.
     """
     keys = ["field", "term"]
-    frequent = materialize(term_statistics(postings, keys).where(F.col("df") > min_df).select(*keys), "frequent")
-    return sized_join(postings, frequent, keys, "left_semi", spread="doc_id")
+    stats = term_statistics(postings, keys).where(F.col("df") > min_df).select(*keys, "df")
+    frequent = materialize(stats, "frequent")
+    return sized_join(postings, frequent, keys, "left_semi", spread="doc_id", rows="df").drop("df")
 
 
 def posting_lists(postings: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
@@ -155,13 +164,14 @@ def document_norms(postings: DataFrame, term_stats: DataFrame, n: int) -> DataFr
     """``(doc_id, norm, weight_norm)``: vector lengths of the documents of one field.
 
     ``norm`` is over ``tf * ln(n/df)``; ``weight_norm`` over the ranking weights
-    ``tf/dl * ln(n/df + 1e-9)``, the one a true cosine divides by.
+    ``tf/dl * ln(n/df + 1e-9)``, the one a true cosine divides by. Where the length
+    is 0 (that of another field may be) the ranking weight is 0.
     """
     plain = F.col("tf") * idf(n, F.col("df"))
-    weight = F.col("tf") / F.col("dl") * idf_smoothed(n, F.col("df"))
+    weight = ratio(F.col("tf"), F.col("dl")) * idf_smoothed(n, F.col("df"))
     stats = term_stats.select("term", "df")
     return (
-        sized_join(postings, stats, ["term"], spread="doc_id")
+        sized_join(postings, stats, ["term"], spread="doc_id", rows="df")
         .groupBy("doc_id")
         .agg(
             F.sqrt(F.sum(plain * plain)).alias("norm"),
@@ -196,14 +206,14 @@ def _field_postings(doc_terms: DataFrame, field: str, id_col: str) -> DataFrame:
     )
 
 
-def _stop_parts(stop: StopWords) -> tuple[list[str], DataFrame | None]:
+def _stop_parts(stop: StopWords, literals: int = STOP_LITERALS) -> tuple[list[str], DataFrame | None]:
     """A stop list as literals, or as a table when it is too long for that."""
     if not isinstance(stop, DataFrame):
         return sorted(set(stop)), None
-    head = [r[0] for r in stop.limit(STOP_LITERALS + 1).collect()]
-    if len(head) <= STOP_LITERALS:
+    head = [r[0] for r in stop.limit(literals + 1).collect()]
+    if len(head) <= literals:
         return sorted({w for w in head if w is not None}), None
-    return [], stop.toDF("term").distinct()
+    return [], stop.toDF("term").where("term is not null").distinct()
 
 
 def _without(rows: DataFrame, table: DataFrame | None, spread: str) -> DataFrame:
@@ -211,21 +221,24 @@ def _without(rows: DataFrame, table: DataFrame | None, spread: str) -> DataFrame
 
 
 def _stop_by_table(
-    doc_terms: DataFrame, table: DataFrame, fields: Sequence[str], length_field: str, id_col: str
+    doc_terms: DataFrame, table: DataFrame, fields: Sequence[str], filtered: Sequence[str], length_field: str, id_col: str
 ) -> DataFrame:
-    """Drop the terms of a long stop table and count the lengths anew."""
-    kept = _without(postings_of(doc_terms, fields, id_col), table, spread="doc_id")
+    """Drop the terms of a long stop table from the text fields and count the lengths anew.
+
+    Rows are told apart by a number of their own, not by their id, which may
+    repeat; a row gathers no more than its own terms.
+    """
+    numbered = materialize(doc_terms.withColumn("_row", F.monotonically_increasing_id()), "terms")
+    kept = _without(postings_of(numbered, filtered, "_row"), table, spread="doc_id")
     entry = F.struct("term", "tf")
-    again = kept.groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.sum(F.when(F.col("field") == length_field, F.col("tf"))).alias("dl"),
-        *[F.sort_array(F.collect_list(F.when(F.col("field") == f, entry))).alias(f) for f in fields],
-    )
-    return (
-        doc_terms.select(id_col)
-        .join(again, id_col, "left")
-        .select(
-            id_col,
-            F.coalesce("dl", F.lit(0)).alias("dl"),
-            *[F.coalesce(f, F.array().cast(doc_terms.schema[f].dataType)).alias(f) for f in fields],
-        )
+    again = kept.groupBy(F.col("doc_id").alias("_row")).agg(
+        F.sum(F.when(F.col("field") == length_field, F.col("tf"))).alias("_dl"),
+        *[F.sort_array(F.collect_list(F.when(F.col("field") == f, entry))).alias(f"_{f}") for f in filtered],
     )
+    length = F.coalesce("_dl", F.lit(0).cast("bigint")) if length_field in filtered else F.col("dl")
+
+    def terms(f: str) -> Column:
+        none = F.array().cast(doc_terms.schema[f].dataType)
+        return F.coalesce(f"_{f}", none).alias(f) if f in filtered else F.col(f)
+
+    return numbered.join(again, "_row", "left").select(id_col, length.alias("dl"), *[terms(f) for f in fields])

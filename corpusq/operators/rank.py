@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.functions.text import STOP_WORDS
-from corpusq.functions.weights import bm25_saturation, half_even, idf_bm25, idf_smoothed
+from corpusq.functions.weights import bm25_saturation, half_even, idf_bm25, idf_smoothed, ratio
 from corpusq.operators import postings as P
 from corpusq.operators.index import Index
-from corpusq.operators.joins import SALTS, sized_join
+from corpusq.operators.joins import sized_join
 from corpusq.operators.match import QueryTerms, known_terms, matches, measured_terms
 
 BM25_PLACES = 4
 TFIDF_PLACES = 5
 
+# Slices in which the results of a query are ranked first, for limits above Spark's own.
+SLICES = 32
+
 
 class Bm25(NamedTuple):
     """BM25 parameters: saturation and length normalisation."""
@@ -35,7 +38,7 @@ def top_k(scored: DataFrame, k: int, by: tuple[str, ...] = ("query_id",)) -> Dat
     """
     limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > limit:
-        slices = scored.withColumn("_slice", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+        slices = scored.withColumn("_slice", F.pmod(F.hash("doc_id"), F.lit(SLICES)))
         scored = _ranked(slices, k, (*by, "_slice")).drop("rank", "_slice")
     return _ranked(scored, k, by)
 
@@ -64,7 +67,7 @@ def bm25_scores(
     if doc_len is not None:
         n, avg_dl = doc_len.agg(F.count("*"), F.avg("dl")).first()
     weighted = known_terms(index, terms, field).select(
-        "query_id", "term", (F.col("qtf") * idf_bm25(float(n), F.col("df"))).alias("weight")
+        "query_id", "term", "df", (F.col("qtf") * idf_bm25(float(n), F.col("df"))).alias("weight")
     )
     rows = matches(index, weighted, terms, field)
     if doc_len is not None:
@@ -120,7 +123,7 @@ def tfidf_candidates(
 ) -> DataFrame:
     """``(query_id, doc_id, term, weight)``: ``tf/dl * ln(n/df + 1e-9)`` per match."""
     terms = measured_terms(queries, stop)
-    weight = F.col("tf") / F.col("dl") * idf_smoothed(float(index.n), F.col("df"))
+    weight = ratio(F.col("tf"), F.col("dl")) * idf_smoothed(float(index.n), F.col("df"))
     wanted = known_terms(index, terms, field).select("query_id", "term", "df")
     return (
         matches(index, wanted, terms, field)
@@ -146,13 +149,13 @@ def tfidf_scores(
     idf = idf_smoothed(float(index.n), F.col("df"))
     share = F.col("qtf") / F.col("qlen") * idf
     wanted = known_terms(index, terms, field).select(
-        "query_id", "term", (share * idf).alias("weight"), (share * share).alias("square")
+        "query_id", "term", "df", (share * idf).alias("weight"), (share * share).alias("square")
     )
     dots = (
         matches(index, wanted, terms, field)
         .where(F.col("dl").isNotNull())
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("weight") * F.col("tf") / F.col("dl")).alias("dot"))
+        .agg(F.sum(F.col("weight") * ratio(F.col("tf"), F.col("dl"))).alias("dot"))
     )
     score = F.col("dot")
     if norms is not None:

@@ -244,6 +244,16 @@ CRC_TABLE = (
 )
 
 
+def _evaluate_k10() -> str:
+    """Metrics at 10; the flat average precision stays the precision at 40, if there is a hit up to 10."""
+    at_40 = _with("SELECT query_id, precision_at_k AS flat FROM metric")
+    at_10 = _with("SELECT * FROM metric").replace("rank <= 40", "rank <= 10").replace("::double / 40 AS pk", "::double / 10 AS pk")
+    flat = "CASE WHEN precision_at_k > 0 THEN flat ELSE 0 END AS avg_precision_flat"
+    metrics = f"SELECT query_id, * REPLACE ({flat}) FROM ({at_10}) JOIN ({at_40}) USING (query_id)"
+    rounded = ", ".join(f"{_half_even(m, 6)} AS {m}" for m in METRICS)
+    return f"SELECT query_id, {rounded} FROM ({metrics.replace('SELECT query_id, * REPLACE', 'SELECT * EXCLUDE (flat) REPLACE')})"
+
+
 def _with_buckets(num_buckets: int, select: str) -> str:
     bucket = f"SELECT term, df, ({_crc32('term')} % {num_buckets})::int AS bucket FROM stats, crc_table"
     whole = _with(f"{select} /* stats */")
@@ -346,6 +356,10 @@ ORACLE: dict[str, str] = {
     "bm25_topk": _with("SELECT query_id, doc_id, score, rank FROM result"),
     "title_tf_sum": _with(_top(f"({_match('t_post', 'sum(qtf * tf)')})", 100)),
     "title_distinct": _with(_match("t_post", "count(*)")),
+    "anchor_postings_stop_table": _with(
+        f"SELECT term, doc_id, count(*) AS tf FROM (SELECT target_id AS doc_id, {_tokens('text')} AS term FROM anchor) "
+        f"WHERE term NOT IN (SELECT {_tokens('text')} FROM benchmark) GROUP BY ALL"
+    ),
     "anchor_tf_sum": _with(_top(f"({_match('a_post', 'sum(qtf * tf)')})", 100)),
     "anchor_distinct": _with(_match("a_post", "count(*)")),
     "search_body": _with(
@@ -380,6 +394,7 @@ ORACLE: dict[str, str] = {
     "evaluate": _with(
         "SELECT query_id, " + ", ".join(f"{_half_even(m, 6)} AS {m}" for m in METRICS) + " FROM metric"
     ),
+    "evaluate_k10": _evaluate_k10(),
     "evaluate_mean": _with(
         "SELECT " + ", ".join(f"{_half_even(f'avg({m})', 6)} AS {m}" for m in METRICS) + " FROM metric"
     ),

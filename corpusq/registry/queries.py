@@ -297,6 +297,13 @@ def anchor_postings(spark, sf):
     return P.anchor_postings(fx.anchors(spark, sf)).select("term", "doc_id", "tf")
 
 
+@register
+def anchor_postings_stop_table(spark, sf):
+    """The words of all queries as a stop table that is joined, not written out as literals."""
+    words = P.kept_token_rows(fx.queries(spark, sf), "text", [], "query_id").select("term")
+    return P.anchor_postings(fx.anchors(spark, sf), words, stop_literals=0).select("term", "doc_id", "tf")
+
+
 @register
 def title_postings(spark, sf):
     counted = P.document_terms(fx.pages(spark, sf), ["title"], is_scan=False)
@@ -316,7 +323,7 @@ def tfidf_raw(spark, sf):
     index = fx.documents_index(spark, sf)
     weight = F.col("tf") * idf(float(index.n), F.col("df"))
     stats = index.term_stats.select("term", "df")
-    rows = sized_join(index.postings, stats, ["term"], spread="doc_id")
+    rows = sized_join(index.postings, stats, ["term"], spread="doc_id", rows="df")
     return rows.select("term", "doc_id", half_even(weight, 6).alias("weight"))
 
 
@@ -480,6 +487,12 @@ def evaluate(spark, sf):
     return _evaluated(spark, sf).select("query_id", *[_six(m) for m in E.METRICS])
 
 
+@register
+def evaluate_k10(spark, sf):
+    found = E.evaluate(_results(spark, sf), fx.qrels(spark, sf), k=10)
+    return found.select("query_id", *[_six(m) for m in E.METRICS])
+
+
 @register
 def evaluate_mean(spark, sf):
     return E.mean_metrics(_evaluated(spark, sf)).select(*[_six(m) for m in E.METRICS])

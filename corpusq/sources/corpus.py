@@ -38,7 +38,7 @@ def select_documents(corpus: DataFrame, ids: DataFrame, path: str | None = None)
     A list of moderate size is broadcast, so that the texts stay where they are.
     """
     path = path or fresh_path(corpus.sparkSession, "selected")
-    kept = sized_join(corpus, ids.select("doc_id"), ["doc_id"], "left_semi", spread="doc_id", salts=1)
+    kept = sized_join(corpus, ids.select("doc_id"), ["doc_id"], "left_semi", spread="doc_id")
     kept.write.mode("errorifexists").parquet(path)
     return corpus.sparkSession.read.schema(corpus.schema).parquet(path)
 

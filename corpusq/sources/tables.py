@@ -15,8 +15,8 @@ TOKEN_LISTS = "MAP<STRING, ARRAY<STRING>>"
 
 
 def read_pagerank(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, pr)`` from CSV files without a header."""
-    return spark.read.schema("doc_id BIGINT, pr DOUBLE").csv(path)
+    """``(doc_id, pr)`` from CSV files without a header; a malformed line is an error."""
+    return spark.read.schema("doc_id BIGINT, pr DOUBLE").csv(path, mode="FAILFAST")
 
 
 def write_pagerank(page_rank: DataFrame, path: str) -> None:
@@ -40,14 +40,23 @@ def read_qrels(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     """``(query_text, doc_id)`` from JSON maps of query text to document ids.
 
     By default every line holds a map; a query may occur on several lines. With
-    ``multiline`` every file holds one pretty-printed map.
+    ``multiline`` every file holds one pretty-printed map. Anything else is an error.
     """
-    maps = spark.read.text(path, wholetext=multiline).select(F.from_json("value", JUDGMENTS).alias("m"))
+    maps = _json_maps(spark, path, multiline, JUDGMENTS)
     return maps.select(F.explode("m").alias("query_text", "ids")).select(
         "query_text", F.explode("ids").alias("doc_id")
     )
 
 
+def _json_maps(spark: SparkSession, path: str, multiline: bool, schema: str) -> DataFrame:
+    """One map ``m`` per line or file; blank ones are passed over, malformed ones fail."""
+    # Spark may look for empty maps before other filters, so blank lines are told apart in the value itself.
+    blank = F.trim(F.regexp_replace("value", r"\s", " ")) == ""
+    parsed = F.from_json(F.when(blank, "{}").otherwise(F.col("value")), schema, {"mode": "FAILFAST"})
+    wrong = F.raise_error(F.concat(F.lit("not a JSON map: "), F.substring("value", 1, 80)))
+    return spark.read.text(path, wholetext=multiline).select(F.coalesce(parsed, wrong.cast(schema)).alias("m"))
+
+
 def write_qrels(qrels: DataFrame, path: str) -> None:
     """Write ``(query_text, doc_id)`` as lines of JSON maps.
 
@@ -62,7 +71,7 @@ def write_qrels(qrels: DataFrame, path: str) -> None:
 
 def read_token_lists(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """``(doc_id, tokens)`` from JSON maps of document id to its tokens, read as judgments are."""
-    maps = spark.read.text(path, wholetext=multiline).select(F.from_json("value", TOKEN_LISTS).alias("m"))
+    maps = _json_maps(spark, path, multiline, TOKEN_LISTS)
     return maps.select(F.explode("m").alias("id", "tokens")).select(F.col("id").cast("bigint").alias("doc_id"), "tokens")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusq.functions.text import term_bucket_of
 from corpusq.operators import index as ix
-from corpusq.operators import joins, match
+from corpusq.operators import joins, match, rank
 from corpusq.operators import postings as P
 from corpusq.operators.numbering import number_values
 from corpusq.registry import fixtures as fx
@@ -151,10 +151,37 @@ def test_salted_join_gives_the_broadcast_rows(spark):
     small = spark.range(0, 2000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         fast = joins.sized_join(large, small, ["k"], how, spread="doc_id", small_fits=True)
-        salted = joins.sized_join(large, small, ["k"], how, spread="doc_id", small_fits=False)
+        plain = joins.sized_join(large, small, ["k"], how, spread="doc_id", small_fits=False)
+        assert fast.exceptAll(plain).isEmpty() and plain.exceptAll(fast).isEmpty()
+    counted = small.withColumn("n", F.when(F.col("k") == 7, 1800).otherwise(1))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        fast = joins.sized_join(large, counted, ["k"], how, spread="doc_id", small_fits=True)
+        salted = joins.sized_join(large, counted, ["k"], how, spread="doc_id", small_fits=False, rows="n", rows_per_salt=100)
+        assert fast.columns == salted.columns
         assert fast.exceptAll(salted).isEmpty() and salted.exceptAll(fast).isEmpty()
 
 
+def test_only_hot_keys_are_repeated(spark):
+    small = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") == 7, 1000).otherwise(3).alias("n"))
+    large = spark.range(50).select(F.col("id").alias("doc_id"), F.lit(7).cast("long").alias("k"))
+    joined = joins.sized_join(large, small, ["k"], spread="doc_id", small_fits=False, rows="n", rows_per_salt=100)
+    assert joined.count() == 50
+    salts = F.greatest(F.lit(1), F.ceil(F.col("n") / 100))
+    assert small.select(F.sum(salts)).first()[0] == 999 + 10
+
+
+def test_empty_documents_have_weight_zero(spark, tmp_path):
+    """Titles of documents without a body, and an index of nothing."""
+    docs = spark.createDataFrame([(1, "green tea", ""), (2, "black tea", None)], "doc_id BIGINT, title STRING, body STRING")
+    index = ix.write_index(docs, str(tmp_path / "titles"), ["title", "body"], num_buckets=2)
+    queries = spark.createDataFrame([(1, "tea green")], "query_id INT, text STRING")
+    assert [r.score for r in rank.tfidf(index, queries, "title").collect()] == [0.0, 0.0]
+    assert {r.weight_norm for r in P.document_norms(index.postings.where("field = 'title'"), index.term_stats.where("field = 'title'"), 2).collect()} == {0.0}
+    assert [r.doc_id for r in rank.bm25(index, queries, "title").collect()] == [1, 2]
+    empty = ix.write_index(docs.limit(0), str(tmp_path / "none"), ["body"], num_buckets=2)
+    assert empty.corpus_stats().first().avg_dl == 0.0
+
+
 def test_lookup_without_broadcast_gives_the_same_rows(spark, monkeypatch):
     rows = spark.createDataFrame([(1, 5), (2, 6), (3, 99)], "query_id INT, doc_id BIGINT")
     table = spark.range(10).select(F.col("id").alias("doc_id"), (F.col("id") * 2).alias("v"))

@@ -219,7 +219,7 @@ def plain_metrics(true, predicted, k=40):
         "f_score": 2 * recall * precision / (recall + precision) if recall + precision else 0.0,
         "r_precision": round(hits(len(true)) / len(true), 3),
         "avg_precision": round(sum(precisions) / len(precisions), 3) if precisions else 0.0,
-        "avg_precision_flat": round(hits(k) / k, 3) if precisions else 0.0,
+        "avg_precision_flat": round(hits(40) / 40, 3) if precisions else 0.0,
     }
 
 
@@ -237,6 +237,10 @@ def test_metrics(spark):
     for q in true:
         for name, value in plain_metrics(true[q], predicted[q]).items():
             assert got[q][name] == pytest.approx(value, abs=1e-9), (q, name)
+    at_10 = {r.query_id: r.asDict() for r in E.evaluate(results, qrels, k=10).collect()}
+    for q in true:
+        for name, value in plain_metrics(true[q], predicted[q], 10).items():
+            assert at_10[q][name] == pytest.approx(value, abs=1e-9), (q, name)
     means = E.mean_metrics(scored).first()
     assert means.recall_at_k == pytest.approx(sum(got[q]["recall_at_k"] for q in true) / len(true))
 
@@ -311,6 +315,19 @@ def test_judgments_from_one_map_and_from_lines(spark, tmp_path):
     assert rows(T.read_qrels(spark, str(tmp_path / "lines")), "query_text", "doc_id") == want
 
 
+def test_malformed_input_fails(spark, tmp_path):
+    pretty = tmp_path / "pretty.json"
+    pretty.write_text('{"best tea": [1, 2],\n "hot milk": [3]}')
+    csv = tmp_path / "pr.csv"
+    csv.write_text("1,0.5\nx,0.1\n")
+    for read in (T.read_qrels(spark, str(pretty)), T.read_token_lists(spark, str(pretty)), T.read_pagerank(spark, str(csv))):
+        with pytest.raises(Exception):
+            read.collect()
+    blank = tmp_path / "blank.json"
+    blank.write_text('{"a b": [1]}\n\n')
+    assert rows(T.read_qrels(spark, str(blank)), "query_text", "doc_id") == {("a b", 1)}
+
+
 def test_pagerank_csv(spark, tmp_path):
     table = spark.createDataFrame([(1, 0.1 + 0.2), (2, 1e-17)], "doc_id BIGINT, pr DOUBLE")
     T.write_pagerank(table, str(tmp_path / "pr"))

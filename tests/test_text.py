@@ -62,17 +62,36 @@ def test_null_text_has_no_tokens(spark):
     assert P.postings_of(P.document_terms(df, ["body"]), ["body"]).count() == 0
 
 
-def test_stop_words_as_table_give_the_same_rows(spark, monkeypatch):
+def test_stop_words_as_table_give_the_same_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumnRenamed("text", "body")
     words = ["the", "and", "les", "der"]
     table = spark.createDataFrame([(w,) for w in words], "word STRING")
     want = sorted(P.postings_of(P.document_terms(docs, ["body"], words), ["body"]).collect())
     short = sorted(P.postings_of(P.document_terms(docs, ["body"], table), ["body"]).collect())
-    monkeypatch.setattr(P, "STOP_LITERALS", 2)
-    long = sorted(P.postings_of(P.document_terms(docs, ["body"], table), ["body"]).collect())
+    long = sorted(P.postings_of(P.document_terms(docs, ["body"], table, stop_literals=2), ["body"]).collect())
     assert want == short == long
 
 
+def test_long_stop_tables_and_repeated_ids(spark):
+    """Links to one page, and given token lists beside text, whichever way the stop table goes in."""
+    table = spark.createDataFrame([("drop",), (None,), ("drop",)], "word STRING")
+    links = spark.createDataFrame([(1, "alpha drop"), (1, "alpha"), (1, "alpha beta"), (2, "drop")], "target_id BIGINT, text STRING")
+    mixed = spark.createDataFrame([(1, ["zzz1", "drop"], "drop word"), (1, [], "drop"), (2, None, None)], "doc_id BIGINT, given ARRAY<STRING>, body STRING")
+    for literals in (0, 10):
+        anchors = P.anchor_postings(links, table, stop_literals=literals).collect()
+        assert {(r.term, r.doc_id, r.tf) for r in anchors} == {("alpha", 1, 3), ("beta", 1, 1)}
+        terms = P.document_terms(mixed, ["given", "body"], table, stop_literals=literals).collect()
+        found = sorted((r.doc_id, r.dl, [tuple(t) for t in r.given], [tuple(t) for t in r.body]) for r in terms)
+        assert found == [(1, 0, [], []), (1, 1, [("drop", 1), ("zzz1", 1)], [("word", 1)]), (2, 0, [], [])]
+
+
+def test_dates_take_unicode_blanks_as_typed_tokens_do(spark):
+    from corpusq.functions import typed
+
+    df = spark.createDataFrame([("9\u00a0October\u00a02021",)], "text STRING")
+    assert df.select(typed.extract_dates(F.col("text"))).first()[0] == ["9\u00a0October\u00a02021"]
+
+
 def test_term_counts(spark):
     docs = spark.createDataFrame([(1, "tea tea the milk tea"), (2, "the"), (3, "milk sugar")], "doc_id BIGINT, body STRING")
     terms = P.document_terms(docs, ["body"])
