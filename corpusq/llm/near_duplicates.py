@@ -68,13 +68,17 @@ _POOL_BITS, _BLOCK = 12, 16
 
 
 @lru_cache
-def _pool(samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Draws of r, ln c and beta of every sample for 2**12 hash values; the samples use other bits of the hash in blocks of 16."""
+def _pool(samples: int, seed: int) -> np.ndarray:
+    """Draws of every sample for 2**12 hash values; the samples use other bits of the hash in blocks of 16.
+
+    By block, hash value and sample: 1 / r, beta, r, and ln c - r + r beta, for
+    with them t = floor(ln w / r + beta) and ln a = (ln c - r + r beta) - r t.
+    """
     rng = np.random.default_rng(seed)
     shape = (2**_POOL_BITS, samples)
-    r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-    log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-    return r, log_c, rng.random(shape).astype(np.float32)
+    r, c, beta = rng.gamma(2.0, 1.0, shape), rng.gamma(2.0, 1.0, shape), rng.random(shape)
+    draws = np.stack((1 / r, beta, r, np.log(c) - r + r * beta), 1).astype(np.float32)
+    return np.stack([draws[:, :, k : k + _BLOCK] for k in range(0, samples, _BLOCK)])
 
 
 class Bags:
@@ -83,8 +87,11 @@ class Bags:
     def __init__(self, weights: Weights):
         self.weights, self.hashes = weights, WordHashes()
 
+    def all_shingles(self, text: str) -> np.ndarray:
+        return shingles(self.hashes.of(text.lower().split()), self.weights.settings.size)
+
     def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(shingles(self.hashes.of(text.lower().split()), self.weights.settings.size), return_counts=True)
+        return np.unique(self.all_shingles(text), return_counts=True)
 
     def bag(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         grams, counts = self.shingles(text)
@@ -97,7 +104,7 @@ def sample(grams: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
     For weight w: t = floor(ln w / r + beta), ln y = r (t - beta), a = c / (y e^r);
     the smallest a wins. Ties go to the smaller shingle.
     """
-    pool_r, pool_c, pool_b = _pool(s.samples, s.seed)
+    pool = _pool(s.samples, s.seed)
     low = np.full(s.samples, np.inf, np.float32)
     won, level = np.zeros(s.samples, np.uint64), np.zeros(s.samples, np.float32)
     logs = np.log(weights).astype(np.float32)
@@ -107,9 +114,13 @@ def sample(grams: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
             shift = np.uint64(_POOL_BITS * (block // _BLOCK % 5))
             rows = ((part >> shift) & np.uint64(2**_POOL_BITS - 1)).astype(np.int64)
             columns = slice(block, block + _BLOCK)
-            r, b = pool_r[rows, columns], pool_b[rows, columns]
-            t = np.floor(log_w / r + b)
-            a = pool_c[rows, columns] - r * (t - b + 1)
+            draws = pool[block // _BLOCK].take(rows, 0)
+            t = draws[:, 0]
+            t *= log_w
+            t += draws[:, 1]
+            np.floor(t, t)
+            a = draws[:, 3]
+            a -= draws[:, 2] * t
             best = a.argmin(0)
             at = np.arange(a.shape[1])
             better = np.flatnonzero(a[best, at] < low[columns])
@@ -126,9 +137,8 @@ def document_weights(docs: DataFrame, s: Settings, text: str = "text") -> Weight
         bags, found, n = Bags(Weights(np.zeros(0), s)), np.zeros(2**s.df_bits, np.int64), 0
         for batch in batches:
             for one in batch.column(0):
-                grams = bags.shingles(one.as_py())[0]
-                buckets = np.unique((grams >> np.uint64(64 - s.df_bits)).astype(np.int64))
-                found[buckets] += 1
+                grams = bags.all_shingles(one.as_py())
+                found[np.unique((grams >> np.uint64(64 - s.df_bits)).astype(np.int32))] += 1
                 n += 1
             bags.hashes.trim()
         at = np.flatnonzero(found)
