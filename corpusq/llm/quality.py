@@ -140,9 +140,13 @@ def fit(rows: list[tuple[int, str]], s: Settings = Settings()) -> Model:
     rng = np.random.default_rng(s.seed)
     vectors = ((rng.random((s.buckets, s.dim), np.float32) - 0.5) / s.dim).astype(np.float32)
     out, bias = np.zeros((2, s.dim), np.float32), np.zeros(2, np.float32)
-    steps, done = s.epochs * len(bags), 0
+    # Both classes are shown equally often: the smaller one is repeated.
+    by_class = [[k for k, bag in enumerate(bags) if bag[0] == c] for c in (0, 1)]
+    most = max(map(len, by_class))
+    turns = np.array([own[k % len(own)] for own in by_class if own for k in range(most)], np.int64)
+    steps, done = s.epochs * len(turns), 0
     for _ in range(s.epochs):
-        for k in rng.permutation(len(bags)):
+        for k in rng.permutation(turns):
             label, features, share = bags[k]
             rate = np.float32(s.rate * (1 - done / steps))
             done += 1
