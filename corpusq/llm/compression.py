@@ -13,9 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from corpusq.llm.texts import map_texts
+from corpusq.llm.texts import filter_texts, map_texts
 
 WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -130,5 +129,8 @@ def repeated_words(words: list[bytes]) -> int:
 
 def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The documents that pass, with their own columns."""
-    judged = compression_rules(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "text"), ["doc"], bands)
-    return judged.where("kept").select("doc.*")
+    def make():
+        rules = _Rules(bands)
+        return lambda texts: rules(texts)["kept"]
+
+    return filter_texts(docs, make)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import PLAIN_WORD, Lookup, PlainHashes, flat_map_texts, map_texts, mix, shingles
+from corpusq.llm.texts import PLAIN_WORD, Lookup, PlainHashes, filter_texts, flat_map_texts, mix, shingles
 
 SIZE = 5
 SIMILARITY = 0.8
@@ -186,7 +186,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], similar
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """The documents without a benchmark item, with their own columns."""
-    columns = docs.columns
     for items in item_passes(benchmark):
 
         def make(items=items):
@@ -195,10 +194,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similar: float = SIMI
             def work(texts):
                 found = [not index.search(hashes.of_text(t), t) for t in texts]
                 hashes.trim()
-                return {"__clean": found}
+                return found
 
             return work
 
-        whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("__doc"), "text")
-        docs = map_texts(whole, ["__doc"], make, "__clean boolean").where("__clean").select("__doc.*")
+        docs = filter_texts(docs, make)
     return docs

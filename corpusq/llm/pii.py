@@ -8,11 +8,11 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from corpusq.llm import crf
-from corpusq.llm.texts import map_texts
+from corpusq.llm.texts import map_rows, map_texts
 
 #: The base patterns. Possessive repeats and the look-behind keep long runs of digits linear and change no match.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -250,19 +250,24 @@ def mask_pii(docs: DataFrame, model: crf.Model | None = None, text: str = "text"
     """
     sent = docs.sparkSession.sparkContext.broadcast(model or default_model())
 
+    at, at_length = docs.columns.index(text), docs.columns.index(length) if length in docs.columns else None
+
     def make():
         finder = Finder(sent.value)
-        return lambda texts: {"__masked": [masked(t, base + added) if base or added else None for t, (base, added) in zip(texts, finder(texts))]}
-
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__doc"), F.col(text))
-    found = map_texts(whole, ["__doc"], make, "__masked string", text)
-    changed = F.col("__masked").isNotNull()
-    columns = []
-    for c in docs.columns:
-        old = F.col("__doc").getField(c)
-        if c == text:
-            old = F.coalesce("__masked", old)
-        elif c == length:
-            old = F.when(changed, F.char_length("__masked").cast(docs.schema[c].dataType)).otherwise(old)
-        columns.append(old.alias(c))
-    return found.select(*columns)
+
+        def work(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            columns, new = batch.columns, {}
+            for k, (t, (base, added)) in enumerate(zip(texts, finder(texts))):
+                if base or added:
+                    new[k] = masked(t, base + added)
+            if new:
+                old = columns[at].to_pylist()
+                columns[at] = pa.array([new.get(k, t) for k, t in enumerate(old)], columns[at].type)
+                if at_length is not None:
+                    sizes = columns[at_length].to_pylist()
+                    columns[at_length] = pa.array([len(new[k]) if k in new else n for k, n in enumerate(sizes)], columns[at_length].type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+        return work
+
+    return map_rows(docs, make, text)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import CACHE_WORDS, map_texts, mix
+from corpusq.llm.texts import CACHE_WORDS, filter_texts, map_texts, mix
 
 _P = np.uint64(0x100000001B3)
 
@@ -215,5 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents whose predicted class is 1, with their own columns."""
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "text")
-    return score_texts(whole, ["doc"], train(docs, labels, settings)).where("predicted = 1").select("doc.*")
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, settings))
+
+    def make():
+        scorer = Scorer(sent.value)
+        return lambda texts: [p == 1 for p in scorer(texts)["predicted"]]
+
+    return filter_texts(docs, make)

@@ -98,16 +98,42 @@ def flat_map_texts(
     return rows.mapInArrow(run, out)
 
 
+def map_rows(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch]], text: str = "text") -> DataFrame:
+    """Rows of the same columns: what the function that ``make`` returns leaves of a batch and its texts (null: "")."""
+    share_code(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for part, texts in _calls(batch, at):
+                left = work(part, texts)
+                if left.num_rows:
+                    yield left
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]], text: str = "text") -> DataFrame:
+    """The rows whose text passes, with their own columns."""
+
+    def rows():
+        passes = make()
+        return lambda batch, texts: batch.filter(pa.array(passes(texts), pa.bool_()))
+
+    return map_rows(docs, rows, text)
+
+
 def _beside(keep: list[str], schema: str) -> list[str]:
     new = StructType.fromDDL(schema).names
     return [c for c in keep if c not in new]
 
 
-def _calls(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    column = batch.column(batch.num_columns - 1)
+def _calls(batch: pa.RecordBatch, at: int = -1) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    column = batch.column(at if at >= 0 else batch.num_columns - 1)
     start, texts, chars = 0, [], 0
     for k in range(batch.num_rows):
-        one = column[k].as_py()
+        one = column[k].as_py() or ""
         if texts and chars + len(one) > CALL_CHARS:
             yield batch.slice(start, len(texts)), texts
             start, texts, chars = k, [], 0

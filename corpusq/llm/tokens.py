@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from corpusq.llm.texts import flat_map_texts
 
 # Remembered words of a task (about 200 bytes each).
-CACHE = 1_200_000
+CACHE = 600_000
 
 _PLAIN = re.compile(r"([^\W\d_]+)([^\w\s']*)")
 _loaded: dict[str, WordTokens] = {}
