@@ -46,6 +46,11 @@ def monthly_page_views(views: DataFrame) -> DataFrame:
     return views.groupBy("doc_id", F.trunc("ts", "month").alias("month")).agg(F.count("*").alias("views"))
 
 
+def page_views_of(monthly: DataFrame, month: str) -> DataFrame:
+    """``(doc_id, views)`` of one month, named as ``yyyy-MM``."""
+    return monthly.where(F.col("month") == F.to_date(F.lit(month), "yyyy-MM")).select("doc_id", "views")
+
+
 def total_page_views(monthly: DataFrame) -> DataFrame:
     """``(doc_id, views)`` over all months."""
     return monthly.groupBy("doc_id").agg(F.sum("views").alias("views"))

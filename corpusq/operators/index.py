@@ -5,10 +5,12 @@ Layout below the index path::
     doc_terms/batch=N/                     doc_id, dl, one array of (term, tf) per field
     postings/batch=N/field=F/bucket=B/     term, doc_id, tf, dl sorted by term, doc_id
     term_stats/gen=N/field=F/bucket=B/     term, df, cf         sorted by term
-    corpus_stats/gen=N/                    n, total_len, num_buckets, fields
+    corpus_stats/gen=N/                    n, total_len, num_buckets, fields, how it was analysed
 
 ``corpus_stats`` is written last. A batch without it does not exist for readers,
-and a repeated write of a batch replaces what a failed one left behind.
+and a repeated write of a batch replaces what a failed one left behind. Postings and
+statistics are stored of all terms; ``min_df`` is applied on reading, so that a term
+that becomes frequent by an append is there with all its postings.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from corpusq.functions.text import STOP_WORDS, term_bucket, term_bucket_of
 from corpusq.functions.weights import ratio
 from corpusq.operators import postings as P
-from corpusq.sources.storage import delete_path, materialize
+from corpusq.operators.joins import sized_join
+from corpusq.sources.storage import delete_path, path_exists
 
 NUM_BUCKETS = 124
 
@@ -35,7 +38,19 @@ LITERAL_TERMS = 1_000
 
 POSTINGS_SCHEMA = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, batch INT, field STRING, bucket INT"
 TERM_STATS_SCHEMA = "term STRING, df BIGINT, cf BIGINT, gen INT, field STRING, bucket INT"
-CORPUS_STATS_SCHEMA = "n BIGINT, total_len BIGINT, num_buckets INT, fields ARRAY<STRING>, gen INT"
+CORPUS_STATS_SCHEMA = (
+    "n BIGINT, total_len BIGINT, num_buckets INT, fields ARRAY<STRING>, "
+    "min_df INT, binary_tf BOOLEAN, length_field STRING, gen INT"
+)
+
+
+@dataclass(frozen=True)
+class Analysis:
+    """How an index counts, stored with it: searches and appends keep to it."""
+
+    min_df: int = 0
+    binary_tf: bool = False
+    length_field: str | None = None
 
 
 @dataclass(frozen=True)
@@ -48,6 +63,7 @@ class Index:
     total_len: int
     num_buckets: int
     fields: tuple[str, ...]
+    analysis: Analysis
     postings: DataFrame
     term_stats: DataFrame
     doc_terms: DataFrame
@@ -104,9 +120,10 @@ def write_index(
     """Build an index from documents and store it, replacing one already there.
 
     ``docs`` has ``doc_id`` and one text column per field. ``anchors(target_id,
-    text)`` adds a field ``anchor`` posted under the target.
+    text)`` adds a field ``anchor`` posted under the target. Terms of no more than
+    ``min_df`` documents are stored and not shown.
     """
-    spark = docs.sparkSession
+    spark, analysis = docs.sparkSession, Analysis(min_df, binary_tf, length_field)
     delete_index(spark, path)
     doc_terms = _write_doc_terms(P.document_terms(docs, fields, stop, length_field=length_field), path, 0)
     batch = _Batch(spark, path, 0, num_buckets)
@@ -116,12 +133,12 @@ def write_index(
             rows = P.anchor_postings(anchors, stop, ANCHOR)
         else:
             rows = _analysed(doc_terms, field, stop, lemmas, binary_tf)
-        batch.write_postings(field, rows, min_df)
+        batch.write_postings(field, rows)
         batch.write_term_stats(field, batch.term_stats(field))
 
     fields = [*fields, ANCHOR] if anchors is not None else fields
     _each(spark, write_field, fields)
-    batch.commit(_length_totals(doc_terms), fields)
+    batch.commit(_length_totals(doc_terms), fields, analysis)
     return open_index(spark, path)
 
 
@@ -131,24 +148,29 @@ def append_documents(
     *,
     stop: P.StopWords = STOP_WORDS,
     lemmas: DataFrame | None = None,
-    binary_tf: bool = False,
-    length_field: str | None = None,
 ) -> Index:
     """Add new documents. Only the batch is analysed; the statistics are sums.
 
-    An index with link texts is refused: those would have to be added up with
+    The stored analysis holds for the batch as well; pass the same ``stop`` and
+    ``lemmas`` as for the build. Refused are ids that the index has, an index opened before
+    another append, and an index with link texts: those would have to be added up with
     stored postings of the same target, which takes a rebuild.
     """
     if ANCHOR in index.fields:
         raise ValueError("an index with link texts has to be rebuilt")
-    spark, fields = docs.sparkSession, index.fields
+    spark, fields, analysis = docs.sparkSession, index.fields, index.analysis
     batch = _Batch(spark, index.path, index.gen + 1, index.num_buckets)
-    analysed = P.document_terms(docs, fields, stop, length_field=length_field)
+    if path_exists(spark, batch.committed):
+        raise ValueError("the index has grown since it was opened")
+    analysed = P.document_terms(docs, fields, stop, length_field=analysis.length_field)
     doc_terms = _write_doc_terms(analysed, index.path, batch.no)
+    if not index.doc_terms.select("doc_id").join(doc_terms.select("doc_id"), "doc_id", "left_semi").isEmpty():
+        raise ValueError("the index already has some of these documents")
+    stored = _stored_stats(spark, index.path, index.gen)
 
     def write_field(field: str) -> None:
-        batch.write_postings(field, _analysed(doc_terms, field, stop, lemmas, binary_tf))
-        old = index.term_stats.where(F.col("field") == field).select("bucket", "term", "df", "cf")
+        batch.write_postings(field, _analysed(doc_terms, field, stop, lemmas, analysis.binary_tf))
+        old = stored.where(F.col("field") == field).select("bucket", "term", "df", "cf")
         both = old.unionByName(batch.term_stats(field))
         merged = both.groupBy("bucket", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
         batch.write_term_stats(field, merged)
@@ -158,7 +180,7 @@ def append_documents(
         (F.col("n") + F.lit(index.n)).alias("n"),
         (F.col("total_len") + F.lit(index.total_len)).alias("total_len"),
     )
-    batch.commit(totals, fields)
+    batch.commit(totals, fields, analysis)
     return open_index(spark, index.path)
 
 
@@ -171,7 +193,12 @@ def open_index(spark: SparkSession, path: str) -> Index:
         .first()
     )
     postings = spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings")
-    stats = spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats/gen={last.gen}")
+    postings, stats = postings.where(F.col("batch") <= last.gen).drop("batch"), _stored_stats(spark, path, last.gen)
+    if last.min_df > 0:
+        stats = stats.where(F.col("df") > last.min_df)
+        keys = ["field", "bucket", "term"]
+        postings = sized_join(postings, stats.select(*keys, "df"), keys, "left_semi", spread="doc_id", rows="df")
+        postings = postings.select("term", "doc_id", "tf", "dl", "field", "bucket")
     counts = "".join(f", `{f}` ARRAY<STRUCT<term: STRING, tf: BIGINT>>" for f in last.fields if f != ANCHOR)
     doc_terms = spark.read.schema(f"doc_id BIGINT, dl BIGINT{counts}, batch INT").parquet(f"{path}/doc_terms")
     return Index(
@@ -181,8 +208,9 @@ def open_index(spark: SparkSession, path: str) -> Index:
         total_len=last.total_len,
         num_buckets=last.num_buckets,
         fields=tuple(last.fields),
-        postings=postings.where(F.col("batch") <= last.gen).drop("batch"),
-        term_stats=stats.drop("gen"),
+        analysis=Analysis(last.min_df, last.binary_tf, last.length_field),
+        postings=postings,
+        term_stats=stats,
         doc_terms=doc_terms.where(F.col("batch") <= last.gen).drop("batch"),
     )
 
@@ -216,9 +244,11 @@ class _Batch:
     no: int
     num_buckets: int
 
-    def write_postings(self, field: str, rows: DataFrame, min_df: int = 0) -> None:
-        if min_df > 0:
-            rows = P.frequent_terms_only(materialize(rows, "postings"), min_df)
+    @property
+    def committed(self) -> str:
+        return f"{self.path}/corpus_stats/gen={self.no}"
+
+    def write_postings(self, field: str, rows: DataFrame) -> None:
         laid_out = rows.drop("field").withColumn("bucket", term_bucket(F.col("term"), self.num_buckets))
         _write_bucketed(laid_out, ["term", "doc_id"], self._postings_path(field))
 
@@ -231,14 +261,17 @@ class _Batch:
     def write_term_stats(self, field: str, stats: DataFrame) -> None:
         _write_bucketed(stats, ["term"], f"{self.path}/term_stats/gen={self.no}/field={field}")
 
-    def commit(self, totals: DataFrame, fields: Sequence[str]) -> None:
+    def commit(self, totals: DataFrame, fields: Sequence[str], analysis: Analysis) -> None:
         row = totals.select(
             "n",
             "total_len",
             F.lit(self.num_buckets).alias("num_buckets"),
             F.array(*[F.lit(f) for f in fields]).alias("fields"),
+            F.lit(analysis.min_df).alias("min_df"),
+            F.lit(analysis.binary_tf).alias("binary_tf"),
+            F.lit(analysis.length_field).cast("string").alias("length_field"),
         )
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/corpus_stats/gen={self.no}")
+        row.coalesce(1).write.mode("overwrite").parquet(self.committed)
 
     def _postings_path(self, field: str) -> str:
         return f"{self.path}/postings/batch={self.no}/field={field}"
@@ -255,6 +288,11 @@ def _analysed(
     return rows
 
 
+def _stored_stats(spark: SparkSession, path: str, gen: int) -> DataFrame:
+    """Statistics of all terms, also of those that ``min_df`` hides."""
+    return spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats/gen={gen}").drop("gen")
+
+
 def _write_doc_terms(doc_terms: DataFrame, path: str, batch: int) -> DataFrame:
     target = f"{path}/doc_terms/batch={batch}"
     doc_terms.write.mode("overwrite").parquet(target)

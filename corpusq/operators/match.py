@@ -31,21 +31,29 @@ class QueryTerms:
     small: bool
 
 
-def query_terms(queries: DataFrame, stop: P.StopWords = STOP_WORDS) -> DataFrame:
+def query_terms(
+    queries: DataFrame, stop: P.StopWords = STOP_WORDS, lemmas: DataFrame | None = None
+) -> DataFrame:
     """``(query_id, term, qtf, qlen)`` from ``queries(query_id, text)``.
 
     ``qlen`` counts all kept tokens, also those no document contains. A query
-    without tokens has no rows.
+    without tokens has no rows. For an index over lemmas pass its ``lemmas``: forms
+    become lemmas as they do in documents.
     """
     counted = P.document_terms(queries, ["text"], stop, id_col="query_id", is_scan=False)
-    return P.postings_of(counted, ["text"], "query_id").select(
+    rows = P.postings_of(counted, ["text"], "query_id")
+    if lemmas is not None:
+        rows = P.lemma_postings(rows, lemmas, stop)
+    return rows.select(
         F.col("doc_id").alias("query_id"), "term", F.col("tf").alias("qtf"), F.col("dl").alias("qlen")
     )
 
 
-def measured_terms(queries: DataFrame, stop: P.StopWords = STOP_WORDS) -> QueryTerms:
+def measured_terms(
+    queries: DataFrame, stop: P.StopWords = STOP_WORDS, lemmas: DataFrame | None = None
+) -> QueryTerms:
     """Query terms with their size measured: one bounded fetch, a count if it overflows."""
-    rows = query_terms(queries, stop)
+    rows = query_terms(queries, stop, lemmas)
     head = rows.select("term").limit(FETCH_ROWS + 1).collect()
     if len(head) > FETCH_ROWS:
         return QueryTerms(rows, None, fits_broadcast(rows))

@@ -14,6 +14,7 @@ from corpusq.operators import postings as P
 from corpusq.operators.index import Index
 from corpusq.operators.joins import sized_join
 from corpusq.operators.match import QueryTerms, known_terms, matches, measured_terms
+from corpusq.sources.storage import materialize
 
 BM25_PLACES = 4
 TFIDF_PLACES = 5
@@ -48,6 +49,25 @@ def _ranked(scored: DataFrame, k: int, by: tuple[str, ...]) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def rank_all(scored: DataFrame) -> DataFrame:
+    """All rows with their rank per query, in order; ties by document id.
+
+    Rows are range-partitioned and written, each stretch of a query is numbered on its
+    own, and the rows of a query in earlier partitions give the offsets. So no
+    task gets all the rows of a query.
+    """
+    order = ["query_id", F.desc("score"), "doc_id"]
+    parts = scored.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = materialize(parts, "ranked")
+    before = Window.partitionBy("query_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("query_id", "_part").agg(F.count("*").alias("_rows"))
+    offsets = counts.select("query_id", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("query_id", "_part").orderBy(F.desc("score"), "doc_id"))
+    numbered = parts.withColumn("_within", within).join(offsets, ["query_id", "_part"])
+    ranked = numbered.withColumn("rank", (F.col("_within") + F.col("_before")).cast("int"))
+    return ranked.drop("_within", "_before", "_part").orderBy("query_id", "rank")
+
+
 def bm25_scores(
     index: Index,
     queries: DataFrame | QueryTerms,
@@ -134,7 +154,7 @@ def tfidf_candidates(
 
 def tfidf_scores(
     index: Index,
-    queries: DataFrame,
+    queries: DataFrame | QueryTerms,
     field: str = "body",
     *,
     stop: P.StopWords = STOP_WORDS,
@@ -145,7 +165,7 @@ def tfidf_scores(
     Without ``norms`` the plain dot product; with ``norms(doc_id, weight_norm)``
     it is divided by the lengths of both vectors. Rounded to 5 places.
     """
-    terms = measured_terms(queries, stop)
+    terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
     idf = idf_smoothed(float(index.n), F.col("df"))
     share = F.col("qtf") / F.col("qlen") * idf
     wanted = known_terms(index, terms, field).select(
@@ -170,7 +190,7 @@ def tfidf_scores(
 
 def tfidf(
     index: Index,
-    queries: DataFrame,
+    queries: DataFrame | QueryTerms,
     field: str = "body",
     n: int = 100,
     *,
@@ -183,7 +203,7 @@ def tfidf(
 
 def term_match(
     index: Index,
-    queries: DataFrame,
+    queries: DataFrame | QueryTerms,
     field: str,
     rank_by: str = "tf_sum",
     limit: int | None = 100,
@@ -194,10 +214,9 @@ def term_match(
     by how many different ones do (``distinct_terms``).
 
     ``(query_id, doc_id, score, rank)``. ``limit=None`` gives all matches in
-    order of query, score and id, without a rank: numbering them would bring all
-    matches of a query into one task.
+    order of query and rank.
     """
-    terms = measured_terms(queries, stop)
+    terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
     weights = {"tf_sum": F.sum(F.col("qtf") * F.col("tf")), "distinct_terms": F.count("*")}
     scored = (
         matches(index, terms.rows.select("query_id", "term", "qtf"), terms, field)
@@ -205,5 +224,5 @@ def term_match(
         .agg(weights[rank_by].alias("score"))
     )
     if limit is None:
-        return scored.orderBy("query_id", F.desc("score"), "doc_id")
+        return rank_all(scored)
     return top_k(scored, limit)

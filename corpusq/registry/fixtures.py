@@ -109,6 +109,15 @@ def qrels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(stored(spark, sf, "qrels", ["documents", "benchmark"], build))
 
 
+def page_qrels(spark: SparkSession, sf: str) -> DataFrame:
+    """``(query_id, doc_id)``: a page is relevant if its body holds every query term."""
+
+    def build(path: str) -> None:
+        holding_all_terms(pages_index(spark, sf), queries(spark, sf), "body").write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf, "page-qrels", ["pages", "benchmark"], build))
+
+
 def links(spark: SparkSession, sf: str) -> DataFrame:
     """``(src, dst)`` of the page links."""
     return anchors(spark, sf).select(F.col("doc_id").alias("src"), F.col("target_id").alias("dst"))

@@ -93,6 +93,11 @@ def _top(scored: str, k: int) -> str:
     return f"SELECT query_id, doc_id, score, rank FROM (SELECT *, {rank} AS rank FROM {scored}) WHERE rank <= {k}"
 
 
+def _every(scored: str) -> str:
+    """All results, ranked as by ``_top``."""
+    return _top(scored, 2**31 - 1)
+
+
 def _match(postings: str, score: str) -> str:
     return f"SELECT query_id, doc_id, {score}::bigint AS score FROM q JOIN {postings} USING (term) GROUP BY ALL"
 
@@ -183,6 +188,12 @@ CTES = {
     "b_top": _top("b25", 100),
     "b_parts": _tfidf_parts("b_post", "b_stats", "b_len", "b_total"),
     "b_dot": _dots("b_parts"),
+    "t_parts": (
+        "SELECT query_id, doc_id, term, qtf::double / qlen * ln(n::double / df + 1e-9::double) AS qw, "
+        "CASE WHEN dl > 0 THEN tf::double / dl ELSE 0 END * ln(n::double / df + 1e-9::double) AS w "
+        "FROM q JOIN t_stats USING (term) JOIN t_post USING (term) JOIN b_len USING (doc_id) CROSS JOIN b_total"
+    ),
+    "t_dot": _dots("t_parts"),
     "edge": "SELECT DISTINCT doc_id AS src, target_id AS dst FROM anchor",
     "degree": "SELECT src, count(*) AS links FROM edge GROUP BY src",
     "node": "SELECT src AS doc_id FROM edge UNION SELECT dst FROM edge",
@@ -254,6 +265,16 @@ def _evaluate_k10() -> str:
     return f"SELECT query_id, {rounded} FROM ({metrics.replace('SELECT query_id, * REPLACE', 'SELECT * EXCLUDE (flat) REPLACE')})"
 
 
+def _search_eval() -> str:
+    """The metrics with the combined search as results and pages as documents."""
+    found = _top(_merged(0.3, 0.7, 0.15, 0.15), 40)
+    judged = CTES["qrel"].replace("JOIN post", "JOIN b_post")
+    metrics = "SELECT query_id, " + ", ".join(f"{_half_even(m, 6)} AS {m}" for m in METRICS) + " FROM metric"
+    inputs = _with(f"{found} /* b_post */").removesuffix(f"{found} /* b_post */").strip().removesuffix(",")
+    parts = {"result": found, "qrel": judged} | {name: CTES[name] for name in ("hit", "size", "found", "share", "scored", "metric")}
+    return inputs + ",\n" + ",\n".join(f"{n} AS MATERIALIZED ({sql})" for n, sql in parts.items()) + "\n" + metrics
+
+
 def _with_buckets(num_buckets: int, select: str) -> str:
     bucket = f"SELECT term, df, ({_crc32('term')} % {num_buckets})::int AS bucket FROM stats, crc_table"
     whole = _with(f"{select} /* stats */")
@@ -314,6 +335,9 @@ ORACLE: dict[str, str] = {
     ),
     "index_append": _with("SELECT term, df, cf, n, total_len FROM stats CROSS JOIN total"),
     "index_append_tokens": _with("SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id)"),
+    "index_append_min_df": _with(
+        "SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id) JOIN stats USING (term) WHERE df > 50"
+    ),
     "query_tf": _with("SELECT query_id, term, qtf, qlen FROM q"),
     "sparse_rows": _with(
         f"SELECT doc_id, term_idx // {BLOCK} AS block, "
@@ -335,6 +359,7 @@ ORACLE: dict[str, str] = {
     ),
     "tfidf_dot": _with("SELECT query_id, doc_id, score FROM dot"),
     "tfidf_topk": _with(_top("dot", 3)),
+    "title_tfidf_topk": _with(_top("t_dot", 20)),
     "tfidf_cosine": _with(
         _top(
             "(SELECT query_id, doc_id, "
@@ -355,13 +380,20 @@ ORACLE: dict[str, str] = {
     "bm25_scores": _with(_bm25("post", "stats", "len", "total", 1.5, 0.75)),
     "bm25_topk": _with("SELECT query_id, doc_id, score, rank FROM result"),
     "title_tf_sum": _with(_top(f"({_match('t_post', 'sum(qtf * tf)')})", 100)),
-    "title_distinct": _with(_match("t_post", "count(*)")),
+    "title_distinct": _with(_every(f"({_match('t_post', 'count(*)')})")),
     "anchor_postings_stop_table": _with(
         f"SELECT term, doc_id, count(*) AS tf FROM (SELECT target_id AS doc_id, {_tokens('text')} AS term FROM anchor) "
         f"WHERE term NOT IN (SELECT {_tokens('text')} FROM benchmark) GROUP BY ALL"
     ),
     "anchor_tf_sum": _with(_top(f"({_match('a_post', 'sum(qtf * tf)')})", 100)),
-    "anchor_distinct": _with(_match("a_post", "count(*)")),
+    "anchor_distinct": _with(_every(f"({_match('a_post', 'count(*)')})")),
+    **{
+        f"search_{field}": _with(
+            "SELECT query_id, doc_id, score, rank, title FROM "
+            f"({_every('(' + _match(postings, 'count(*)') + ')')}) LEFT JOIN page USING (doc_id)"
+        )
+        for field, postings in (("title", "t_post"), ("anchor", "a_post"))
+    },
     "search_body": _with(
         f"SELECT query_id, doc_id, score, rank, title FROM ({_top('b_dot', 100)}) LEFT JOIN page USING (doc_id)"
     ),
@@ -386,6 +418,9 @@ ORACLE: dict[str, str] = {
         "(SELECT doc_id AS request_id, target_id AS pos, target_id AS doc_id FROM anchor) "
         "LEFT JOIN view USING (doc_id)"
     ),
+    "page_views_of_month": _with(
+        "SELECT doc_id, count(*) AS views FROM visit WHERE strftime(ts, '%Y-%m') = '2024-01' GROUP BY doc_id"
+    ),
     "page_views_monthly": _with(
         "SELECT doc_id, strftime(ts, '%Y-%m') AS month, count(*) AS views FROM visit GROUP BY ALL"
     ),
@@ -395,6 +430,7 @@ ORACLE: dict[str, str] = {
         "SELECT query_id, " + ", ".join(f"{_half_even(m, 6)} AS {m}" for m in METRICS) + " FROM metric"
     ),
     "evaluate_k10": _evaluate_k10(),
+    "search_eval": _search_eval(),
     "evaluate_mean": _with(
         "SELECT " + ", ".join(f"{_half_even(f'avg({m})', 6)} AS {m}" for m in METRICS) + " FROM metric"
     ),

@@ -245,17 +245,26 @@ def doc_norms(spark, sf):
 @register
 def index_append(spark, sf):
     docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
-    base = ix.write_index(docs.where("lang <> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
-    grown = ix.append_documents(base, docs.where("lang = 'de'"))
+    base = ix.write_index(docs.where("not lang <=> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
+    grown = ix.append_documents(base, docs.where("lang <=> 'de'"))
     n, total_len = (F.lit(v).cast("bigint") for v in (grown.n, grown.total_len))
     return grown.term_stats.select("term", "df", "cf", n.alias("n"), total_len.alias("total_len"))
 
 
+@register
+def index_append_min_df(spark, sf):
+    """Terms that pass the limit only by the append are there with all their documents."""
+    docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
+    base = ix.write_index(docs.where("not lang <=> 'de'"), path, ["body"], min_df=50, num_buckets=fx.NUM_BUCKETS)
+    grown = ix.append_documents(base, docs.where("lang <=> 'de'"))
+    return grown.postings.select("term", "doc_id", "tf", "dl")
+
+
 @register
 def index_append_tokens(spark, sf):
     docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
-    base = ix.write_index(docs.where("lang <> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
-    batch = docs.where("lang = 'de'").select("doc_id", kept_tokens(F.col("body")).alias("tokens"))
+    base = ix.write_index(docs.where("not lang <=> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
+    batch = docs.where("lang <=> 'de'").select("doc_id", kept_tokens(F.col("body")).alias("tokens"))
     file = fresh_path(spark, "tokens-json")
     T.write_token_lists(batch, file)
     grown = ix.append_documents(base, T.read_token_lists(spark, file).withColumnRenamed("tokens", "body"))
@@ -350,6 +359,11 @@ def tfidf_topk(spark, sf):
     return rank.tfidf(fx.documents_index(spark, sf), fx.queries(spark, sf), n=3)
 
 
+@register
+def title_tfidf_topk(spark, sf):
+    return rank.tfidf(fx.pages_index(spark, sf), fx.queries(spark, sf), "title", n=20)
+
+
 @register
 def tfidf_cosine(spark, sf):
     index, norms = fx.documents_index(spark, sf), fx.norms(spark, sf)
@@ -408,6 +422,18 @@ def attach_titles(spark, sf):
     return S.search_anchor(fx.pages_index(spark, sf), fx.queries(spark, sf), fx.titles(spark, sf))
 
 
+@register
+def search_title(spark, sf):
+    """All pages with query words in their title, by how many different ones."""
+    return S.search_title(fx.pages_index(spark, sf), fx.queries(spark, sf), fx.titles(spark, sf), "distinct_terms", None)
+
+
+@register
+def search_anchor(spark, sf):
+    """All pages with query words in the links to them, by how many different ones."""
+    return S.search_anchor(fx.pages_index(spark, sf), fx.queries(spark, sf), fx.titles(spark, sf), "distinct_terms", None)
+
+
 @register
 def merge_ranked(spark, sf):
     profiles = {"title": TITLE_BM25, "body": BODY_BM25}
@@ -453,6 +479,11 @@ def page_views_monthly(spark, sf):
     return monthly.select("doc_id", F.date_format("month", "yyyy-MM").alias("month"), "views")
 
 
+@register
+def page_views_of_month(spark, sf):
+    return graph.page_views_of(graph.monthly_page_views(fx.visits(spark, sf)), "2024-01")
+
+
 @register
 def pagerank(spark, sf):
     return fx.page_rank(spark, sf).select("doc_id", half_even(F.col("pr"), 8).alias("pr"))
@@ -501,3 +532,10 @@ def evaluate_mean(spark, sf):
 @register
 def batch_eval(spark, sf):
     return S.batch_evaluation(_results(spark, sf), fx.qrels(spark, sf), fx.queries(spark, sf))
+
+
+@register
+def search_eval(spark, sf):
+    """The combined search against the judged pages."""
+    scored = E.evaluate(QUERIES["search"](spark, sf), fx.page_qrels(spark, sf))
+    return scored.select("query_id", *[_six(m) for m in E.METRICS])

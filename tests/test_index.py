@@ -106,6 +106,36 @@ def test_min_df_keeps_terms_above_the_threshold(docs, path):
     assert {r.term for r in index.postings.collect()} == {"tea", "hot"}
 
 
+def test_append_after_min_df_equals_build(spark, docs, path):
+    base = ix.write_index(docs.where("doc_id < 3"), path, ["body"], min_df=1, binary_tf=True, num_buckets=4)
+    assert {r.term for r in base.term_stats.collect()} == {"tea"}
+    grown = ix.append_documents(base, docs.where("doc_id >= 3"))
+    whole = ix.write_index(docs, path + "-whole", ["body"], min_df=1, binary_tf=True, num_buckets=4)
+    assert content(grown) == content(whole)
+    assert [r.doc_id for r in grown.posting_list("hot", "body").collect()] == [1, 70_000]
+    assert grown.analysis == ix.Analysis(1, True, None)
+
+
+def test_append_refuses_known_ids_and_stale_indexes(spark, docs, path):
+    base = ix.write_index(docs.where("doc_id < 3"), path, ["body"], num_buckets=4)
+    with pytest.raises(ValueError, match="already has"):
+        ix.append_documents(base, docs.where("doc_id >= 2"))
+    grown = ix.append_documents(base, docs.where("doc_id = 3"))
+    with pytest.raises(ValueError, match="grown since"):
+        ix.append_documents(base, docs.where("doc_id = 70000"))
+    assert grown.n == 3
+
+
+def test_lemmas_of_queries(spark, docs, path):
+    lemmas = spark.createDataFrame([("leaves", "leaf"), ("leafs", "leaf")], "form STRING, lemma STRING")
+    index = ix.write_index(docs, path, ["body"], lemmas=lemmas, num_buckets=4)
+    asked = spark.createDataFrame([(7, "leafs leaves")], "query_id BIGINT, text STRING")
+    terms = match.measured_terms(asked, lemmas=lemmas)
+    assert [tuple(r) for r in terms.rows.collect()] == [(7, "leaf", 2, 2)]
+    for found in (rank.bm25(index, terms), rank.tfidf(index, terms), rank.term_match(index, terms, "body")):
+        assert [r.doc_id for r in found.collect()] == [1]
+
+
 def test_binary_tf(docs, path):
     index = ix.write_index(docs, path, ["body"], binary_tf=True, num_buckets=4)
     assert {r.tf for r in index.postings.collect()} == {1}

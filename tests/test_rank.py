@@ -149,10 +149,21 @@ def test_title_and_anchor_matches(index, queries):
 
 def test_all_matches_come_in_order(index, queries):
     every = rank.term_match(index, queries, "title", "tf_sum", limit=None).collect()
-    assert [(r.query_id, r.doc_id) for r in every][:3] == [(10, 5), (10, 1), (10, 2)]
+    assert [(r.query_id, r.doc_id, r.rank) for r in every][:3] == [(10, 5, 1), (10, 1, 2), (10, 2, 3)]
     assert len(every) == rank.term_match(index, queries, "title", "tf_sum").count()
 
 
+def test_ranks_of_all_rows_span_partitions(spark):
+    scored = spark.range(3000).select((F.col("id") % 2).alias("query_id"), F.col("id").alias("doc_id"), (F.col("id") % 7).alias("score"))
+    assert rows(rank.rank_all(scored), "doc_id", "rank") == rows(rank._ranked(scored, 3000, ("query_id",)), "doc_id", "rank")
+
+
+def test_views_of_one_month(spark):
+    days = [(1, "2024-01-31"), (1, "2024-01-01"), (1, "2024-02-01"), (2, "2024-02-29")]
+    monthly = graph.monthly_page_views(spark.createDataFrame(days, "doc_id INT, ts STRING").withColumn("ts", F.col("ts").cast("timestamp")))
+    assert rows(graph.page_views_of(monthly, "2024-02"), "doc_id", "views") == {(1, 1), (2, 1)}
+
+
 def test_all_terms_held(index, queries):
     assert rows(match.holding_all_terms(index, queries, "body"), "query_id", "doc_id") == {(10, 1), (10, 2)}
 
