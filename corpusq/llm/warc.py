@@ -24,7 +24,7 @@ MAGIC = b"\x1f\x8b\x08"
 MIN_REVISIT_BYTES = 1000
 SPLIT_BYTES = 32 * 2**20
 _READ = 2**18
-_MAX_HEADER = 2**16
+_VERSION = b"WARC/1."
 
 RECORD = (
     "archive string, member_start bigint, record_type string, record_id string, target_uri string, "
@@ -40,7 +40,7 @@ def _file_system(uri: str):
 
 
 def write_archives(pages: DataFrame, folder: str, id_: str = "page_id", uri: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """One record per row; returns the manifest (archive, bytes, records) of the files that count.
+    """One record per row; returns the manifest (archive, bytes, records, starts: where each member begins) of the files that count.
 
     Of equal payloads of at least ``min_revisit`` bytes the row with the largest id
     is the response and the others revisit it. Rows of the same id and payload are
@@ -62,7 +62,7 @@ def write_archives(pages: DataFrame, folder: str, id_: str = "page_id", uri: str
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, size, count, out = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0, None
+        name, size, starts, out = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, [], None
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
@@ -71,13 +71,14 @@ def write_archives(pages: DataFrame, folder: str, id_: str = "page_id", uri: str
                     out = system.open_output_stream(path, compression=None)
                 member = _member(row)
                 out.write(member)
-                size, count = size + len(member), count + 1
+                starts.append(size)
+                size += len(member)
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_pylist([{"archive": name, "bytes": size, "records": count}])
+            yield pa.RecordBatch.from_pylist([{"archive": name, "bytes": size, "records": len(starts), "starts": starts}])
 
     columns = marked.select("id", "uri", "payload", "digest", "refers_to")
-    return materialize(columns.mapInArrow(write, "archive string, bytes bigint, records bigint"), "warc_manifest")
+    return materialize(columns.mapInArrow(write, "archive string, bytes bigint, records bigint, starts array<bigint>"), "warc_manifest")
 
 
 def _record_id(page_id: int | None) -> str:
@@ -106,13 +107,18 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
     """The records of all archives (archive, bytes), by byte ranges of ``split_bytes``.
 
     An archive without a record gives no rows. Bytes that are no WARC member are
-    passed over. A member that starts as a record but is cut off or does not keep
-    its stated length is an error. The payload of a revisit is null, its digest and
+    passed over. A member that starts as a record but is cut off, has no end of
+    its header or does not keep its stated length is an error; headers may have any
+    length. If the manifest has the starts of all members, a range with more or
+    fewer records is an error. The payload of a revisit is null, its digest and
     length are those of the payload it stands for.
     """
-    ranges = manifest.where("bytes > 0").select(
-        "archive", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes))).alias("start"), "bytes"
+    known = F.col("starts") if "starts" in manifest.columns else F.lit(None).cast("array<bigint>")
+    cut = manifest.where("bytes > 0").select(
+        "archive", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes))).alias("start"), "bytes", known.alias("starts")
     )
+    inside = F.filter("starts", lambda x: (x >= F.col("start")) & (x < F.col("start") + split_bytes))
+    ranges = cut.select("archive", "start", "bytes", F.when(F.col("starts").isNotNull(), F.size(inside)).alias("records"))
     cores = manifest.sparkSession.sparkContext.defaultParallelism
     ranges = ranges.repartition(max(cores, int(manifest.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 0)))
 
@@ -121,15 +127,17 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
             for row in batch.to_pylist():
                 system, path = _file_system(row["archive"])
                 with system.open_input_file(path) as file:
-                    found, size = [], 0
+                    found, size, count = [], 0, 0
                     for record in _records(file, row["start"], min(row["start"] + split_bytes, row["bytes"]), row["bytes"]):
                         found.append({"archive": row["archive"]} | record)
-                        size += record["payload_bytes"]
+                        size, count = size + record["payload_bytes"], count + 1
                         if size > 8 * 2**20:
                             yield pa.RecordBatch.from_pylist(found, schema=_ARROW)
                             found, size = [], 0
                     if found:
                         yield pa.RecordBatch.from_pylist(found, schema=_ARROW)
+                    if row["records"] is not None and count != row["records"]:
+                        raise ValueError(f"{row['archive']} has {count} records from {row['start']} on, and {row['records']} in the manifest")
 
     return ranges.mapInArrow(read, StructType.fromDDL(RECORD))
 
@@ -178,20 +186,26 @@ def _next_magic(data: _Bytes, at: int, end: int) -> int | None:
 
 
 def _is_record(data: _Bytes, at: int, size: int) -> bool:
-    """Whether a WARC header comes out of the member that would begin here."""
-    gzip, out = zlib.decompressobj(31), b""
-    while at < size and len(out) < _MAX_HEADER and not gzip.eof:
+    """Whether a WARC header comes out of the member that would begin here, however long it is."""
+    gzip, out, first = zlib.decompressobj(31), bytearray(), at
+    while at < size and not gzip.eof:
         part = data.get(at, min(4096, size - at))
+        seen = max(0, len(out) - 3)
         try:
-            out += gzip.decompress(part, _MAX_HEADER)
-        except zlib.error:
+            out += gzip.decompress(part)
+        except zlib.error as error:
+            if len(out) < len(_VERSION):
+                return False
+            raise ValueError(f"the header of the record at {first} is damaged") from error
+        if not out.startswith(_VERSION[: len(out)]):
             return False
-        if not out.startswith(b"WARC/1."[: len(out)]):
-            return False
-        if b"\r\n\r\n" in out:
-            return b"\r\nWARC-Type:" in out
+        end = out.find(b"\r\n\r\n", seen)
+        if end >= 0:
+            return b"\r\nWARC-Type:" in out[:end]
         at += len(part)
-    return False
+    if len(out) < len(_VERSION):
+        return False
+    raise ValueError(f"the record at {first} is cut off: its header has no end")
 
 
 def _inflate(data: _Bytes, at: int, size: int) -> tuple[bytes, int]:

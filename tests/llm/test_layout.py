@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -175,6 +176,27 @@ def test_broken_and_foreign_archives(spark, pages, tmp_path):
         warc.read_archives(table("cut", raw[:-5]), 2**20).collect()
 
 
+def test_headers_of_any_length(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    long = "data:" + rng.bytes(150_000).hex()
+    pages = spark.createDataFrame([(1, "http://a", "one"), (2, long, "two"), (3, "h" * 70_000, "three")], "page_id long, url string, html string").repartition(1)
+    manifest = warc.write_archives(pages, warc.archive_folder(spark))
+    for split in (1000, 2**20):
+        found = {r.record_id: (r.target_uri, r.payload_bytes) for r in warc.read_archives(manifest, split).collect()}
+        assert found == {"<urn:page:1>": ("http://a", 3), "<urn:page:2>": (long, 3), "<urn:page:3>": ("h" * 70_000, 5)}
+    (tmp_path / "endless").write_bytes(zlib.compress(b"WARC/1.1\r\nWARC-Type: response\r\n", wbits=31))
+    table = spark.createDataFrame([(str(tmp_path / "endless"), (tmp_path / "endless").stat().st_size)], "archive string, bytes long")
+    with pytest.raises(Exception, match="header has no end"):
+        warc.read_archives(table).collect()
+
+
+def test_records_are_compared_with_the_manifest(spark, pages):
+    manifest = warc.write_archives(pages, warc.archive_folder(spark))
+    more = manifest.withColumn("starts", F.concat("starts", F.array(F.lit(1).cast("long"))))
+    with pytest.raises(Exception, match="in the manifest"):
+        warc.read_archives(more, 4096).collect()
+
+
 def test_no_pages(spark, pages):
     assert warc.read_archives(warc.write_archives(pages.limit(0), warc.archive_folder(spark))).count() == 0
 
