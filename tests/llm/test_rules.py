@@ -1,5 +1,6 @@
 """Compression bands, quality classifier and licenses."""
 
+import base64
 import re
 import zlib
 from collections import Counter
@@ -55,6 +56,20 @@ def test_compression_verdicts():
     assert rules.one(prose)[8] == len(raw) / len(zstandard.ZstdCompressor(level=3).compress(raw))
 
 
+def test_compression_judges_the_end_of_a_text():
+    rules, rng = compression._Rules(compression.Bands()), np.random.default_rng(3)
+    prose = " ".join("".join(rng.choice(["th", "er", "on", "an", "re"], 3)) for _ in range(3000))
+    noise = bytes(rng.integers(33, 0x7F, 4096).astype(np.uint8)).decode()
+    coded = base64.b64encode(rng.bytes(3072)).decode()
+    for end in (2047, 2048):
+        assert rules.one(prose[:4096] + noise[:end])[-3:] == (2, 1, "chunks")
+        assert rules.one(prose[:4096] + coded[:end])[-3:] == (2, 1, "chunks")
+        assert rules.one(prose[: 4096 + end])[-3:] == (2, 0, "kept")
+    # A short end counts by its bytes.
+    assert rules.one(prose[:4096] + noise[:300])[-3:] == (2, 1, "kept")
+    assert rules.one(prose[:8192] + coded[:4096])[-3:] == (3, 1, "chunks")
+
+
 def test_compression_query(spark, documents):
     found = QUERIES["op1_compression_bands"](spark, SF)
     assert found.columns[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
