@@ -4,24 +4,32 @@ The fingerprints of a template are the minima of all windows over the hashes of
 word triples; a text that shares ``WINDOW + GRAM - 1`` words in a row with it shares a
 fingerprint. Shared fingerprints on near diagonals are one candidate, and the
 template is aligned with the words around it within a band of those diagonals.
+
+Licenses and their versions differ in few words, so the base has them side by side
+and the nearest template wins; and a notice counts only if the words that tell it
+from others (its version; of a line, its name as well) stand in the text.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 
+from corpusq.llm.license_texts import MORE_TEMPLATES
 from corpusq.llm.texts import PLAIN_WORD, Lookup, PlainHashes, flat_map_texts, shingles
 
 GRAM, WINDOW = 3, 3
 BAND = 8
 MIN_COVERAGE = 0.7
-# Templates of one pass over the documents; more are done in several.
+# Templates that a task holds at a time; more are taken in turns for every few million characters.
 TEMPLATES_PER_PASS = 2000
+# Words of a line, and of a notice.
+LINE, NOTICE = 14, 60
+#: Words of a line that do not tell one license from another.
+STOCK = frozenset("licensed released distributed available under the terms of this work is a an by and or with software program project code license licence licenses version v spdx identifier https http org www public general".split())
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -39,6 +47,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    *MORE_TEMPLATES,
 )
 
 SCHEMA = "license string, template int, coverage double, matched_words bigint, template_words bigint, start bigint, end bigint"
@@ -71,18 +80,30 @@ class Index:
 
     def __init__(self, templates: list[tuple[int, str, str]]):
         hashes = PlainHashes()
-        self.names, self.words, places = [], [], defaultdict(list)
+        self.names, self.words, self.needed, self.counts, places = [], [], [], [], defaultdict(list)
+        self.whole = set()  # fingerprints of templates shorter than a window, which are all their grams
         for number, name, text in templates:
             words = hashes.of_text(text)
             grams = shingles(words, GRAM) if len(words) >= GRAM else np.zeros(0, np.uint64)
-            for at in winnowed(grams):
+            chosen = winnowed(grams)
+            if len(grams) < WINDOW:
+                chosen = np.arange(len(grams))
+                self.whole.update(grams.tolist())
+            if len(words) > NOTICE:
+                # What a long text says in several places does not show where it is.
+                times = Counter(grams.tolist())
+                chosen = [at for at in chosen if times[int(grams[at])] == 1]
+            for at in chosen:
                 places[int(grams[at])].append((len(self.names), int(at)))
             self.names.append((number, name))
             self.words.append(words.tolist())
+            self.needed.append(_needed(text, hashes))
+            self.counts.append(Counter(self.words[-1]))
         self.lookup = Lookup(np.array(list(places), np.uint64)) if places else None
         self.places = [places[int(k)] for k in self.lookup.keys] if places else []
 
     def matches(self, words: np.ndarray, min_coverage: float) -> list[Match]:
+        """All matches, overlapping ones as well."""
         if self.lookup is None or len(words) < GRAM:
             return []
         grams = shingles(words, GRAM)
@@ -93,25 +114,54 @@ class Index:
         for p, k in zip(at.tolist(), key.tolist()):
             # Is it a minimum of a window around it?
             a, b = max(0, p - WINDOW + 1), min(len(grams), p + WINDOW)
-            if p - a in winnowed(grams[a:b]):
+            if int(grams[p]) in self.whole or p - a in winnowed(grams[a:b]):
                 for template, place in self.places[k]:
                     hits[template].append((p, p - place))
         found = []
         for template, seeds in hits.items():
-            size = len(self.words[template])
-            seeds.sort()
-            group = [seeds[0]]
-            for seed in [*seeds[1:], None]:
-                if seed and abs(seed[1] - group[-1][1]) <= BAND and seed[0] - group[0][0] <= size + BAND:
-                    group.append(seed)
+            size, needed = len(self.words[template]), self.needed[template]
+            for low, high in _diagonals(seeds, size):
+                around = words[max(0, low) : max(0, high + size)].tolist()
+                if not self._may_match(template, around, min_coverage):
                     continue
-                low, high = min(d for _, d in group) - BAND, max(d for _, d in group) + BAND
                 matched, first, last = align(self.words[template], words, low, high)
-                if matched >= min_coverage * size:
+                if matched >= min_coverage * size and needed <= set(words[first : last + 1].tolist()):
                     number, name = self.names[template]
                     found.append(Match(name, number, matched, size, first, last))
-                group = [seed]
-        return _best(found)
+        return found
+
+    def _may_match(self, template: int, around: list[int], min_coverage: float) -> bool:
+        """Whether words enough of the template occur at all; no alignment matches more."""
+        if not self.needed[template] <= set(around):
+            return False
+        here = Counter(around)
+        return sum(min(n, here[w]) for w, n in self.counts[template].items()) >= min_coverage * len(self.words[template])
+
+
+def _needed(text: str, hashes: PlainHashes) -> frozenset[int]:
+    """The words without which a notice is another one: its numbers, and in a line all but the stock words."""
+    words = [w.lower() for w in PLAIN_WORD.findall(text)]
+    if len(words) > NOTICE:
+        return frozenset()
+    tell = [w for w in words if any(c.isdigit() for c in w) or (len(words) <= LINE and w not in STOCK)]
+    return frozenset(hashes.of(tell).tolist())
+
+
+def _diagonals(seeds: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """The band of diagonals of each candidate; seeds of others may lie between those of one."""
+    done, running = [], []
+    for place, diagonal in sorted(seeds):
+        still = []
+        for group in running:
+            (still if place - group[0] <= size + BAND else done).append(group)
+        running = still
+        near = [g for g in running if abs(diagonal - g[3]) <= BAND]
+        if near:
+            group = min(near, key=lambda g: abs(diagonal - g[3]))
+            group[1:] = min(group[1], diagonal), max(group[2], diagonal), diagonal
+        else:
+            running.append([place, diagonal, diagonal, diagonal])
+    return sorted({(low - BAND, high + BAND) for _, low, high, _ in done + running})
 
 
 def align(template: list[int], words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
@@ -148,9 +198,9 @@ def align(template: list[int], words: np.ndarray, low: int, high: int) -> tuple[
 
 
 def _best(found: list[Match]) -> list[Match]:
-    """Of matches that overlap, the one with the most matched words, then coverage, then the earliest template."""
+    """Of matches that overlap, the nearest: the most matched words less half of the missing ones, then coverage, then the earliest template."""
     kept: list[Match] = []
-    for m in sorted(found, key=lambda m: (-m.matched, -m.coverage, m.template, m.first)):
+    for m in sorted(found, key=lambda m: (m.words - 3 * m.matched, -m.coverage, m.template, m.first)):
         if all(m.last < k.first or k.last < m.first for k in kept):
             kept.append(m)
     return sorted(kept, key=lambda m: m.first)
@@ -162,18 +212,20 @@ def scan_licenses(docs: DataFrame, keep: list[str], templates: tuple[tuple[str,
     Texts without a match, null and empty ones give no rows; repeated rows give theirs each.
     """
     numbered = [(k, name, body) for k, (name, body) in enumerate(templates)]
-    passes = [numbered[k : k + TEMPLATES_PER_PASS] for k in range(0, len(numbered), TEMPLATES_PER_PASS)] or [[]]
-    return reduce(DataFrame.unionAll, [_pass(docs, keep, part, min_coverage, text) for part in passes])
-
+    passes = [numbered[k : k + TEMPLATES_PER_PASS] for k in range(0, len(numbered), TEMPLATES_PER_PASS)]
 
-def _pass(docs: DataFrame, keep: list[str], templates: list[tuple[int, str, str]], min_coverage: float, text: str) -> DataFrame:
     def make():
-        index, hashes = Index(templates), PlainHashes()
+        only, hashes = Index(passes[0]) if len(passes) == 1 else None, PlainHashes()
 
         def work(texts):
+            matches = [[] for _ in texts]
+            for part in passes:
+                index = only or Index(part)
+                for k, t in enumerate(texts):
+                    matches[k] += index.matches(hashes.of_text(t), min_coverage)
             at, found, places = [], [], []
             for k, t in enumerate(texts):
-                for m in index.matches(hashes.of_text(t), min_coverage):
+                for m in _best(matches[k]):
                     spans = [x.span() for x in PLAIN_WORD.finditer(t)] if not (at and at[-1] == k) else spans
                     at.append(k)
                     found.append(m)

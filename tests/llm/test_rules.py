@@ -196,3 +196,28 @@ def test_licenses_in_several_passes_and_odd_rows(monkeypatch, spark, odd, none):
     assert sorted(licenses.scan_licenses(_notice(spark, rows * 2), ["doc_id"]).collect()) == once and len(once) == 4
     assert licenses.scan_licenses(odd, ["doc_id", "label"]).count() == 0
     assert licenses.scan_licenses(none, ["doc_id"]).count() == 0
+
+
+def test_the_nearest_license_and_version(spark):
+    from corpusq.llm.license_texts import BODIES, MORE_TEMPLATES
+
+    gnu = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+    texts = {
+        "GPL-2.0": gnu.format("program", "", "2"), "GPL-3.0": gnu.format("program", "", "3"), "AGPL-3.0": gnu.format("program", "Affero ", "3"),
+        "LGPL-2.1": gnu.format("library", "Lesser ", "2.1"), "LGPL-3.0": gnu.format("library", "Lesser ", "3"),
+        "MPL-2.0": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution",
+        "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.", "CC0-1.0": "Licensed under CC0 1.0 Universal.", "Unlicense": "Released under the Unlicense.",
+        "Apache-1.1": "Licensed under the Apache License, Version 1.1.", "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.", "BUSL-1.1": "SPDX-License-Identifier: BUSL-1.1",
+    }
+    bodies = {name: body for name, body in MORE_TEMPLATES if name in BODIES or name.startswith(("BSD", "MIT", "ISC", "0BSD")) and len(body) > 500}
+    rows = [(k, f"words before\n{t}\nand words after") for k, t in enumerate([*texts.values(), *bodies.values()])]
+    found = {}
+    for r in licenses.scan_licenses(_notice(spark, rows), ["doc_id"]).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    assert found == {k: {name} for k, name in enumerate([*texts, *bodies])}
+
+
+def test_unknown_versions_and_names_are_no_match(spark):
+    rows = [(1, "Licensed under the Apache License, Version 7.0."), (2, "Released under the Foo License."), (3, licenses.TEMPLATES[6][1].replace("version 3", "version 9"))]
+    assert licenses.scan_licenses(_notice(spark, rows), ["doc_id"]).count() == 0
