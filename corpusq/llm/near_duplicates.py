@@ -6,6 +6,10 @@ samples of it that two texts share with a probability equal to their weighted
 Jaccard similarity. Samples are joined into bands; texts that share a band are
 candidates, and the exact weighted similarity decides.
 
+Document frequencies are exact, of every shingle's 64-bit hash. Texts are packed into
+chunks; the different shingles of a chunk are dealt out by their hash, summed there,
+and the frequencies over 1 go back to the chunk. So no table grows with the corpus in one place.
+
 Exact copies are one text from the start. Within a band's bucket texts are first
 compared with a central one, so a bucket of n texts costs n comparisons; linked
 texts form classes. What is then still in one bucket but in different classes is
@@ -15,16 +19,18 @@ sampling finds is lost to the choice of the centre.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import WordHashes, map_texts, mix, shingles
+from corpusq.llm.texts import WordHashes, mix, share_code, shingles
 from corpusq.sources.storage import materialize
 
 
@@ -32,10 +38,8 @@ from corpusq.sources.storage import materialize
 class Settings:
     """``samples`` / ``rows`` bands. At similarity 0.8 a pair misses all 16 bands of 4 rows with a probability of 0.0002.
 
-    ``df_bits``: document frequencies are counted in 2**df_bits hashed buckets, a
-    table of fixed size whatever the corpus. ``idf``: an inverse document frequency
-    counts 1 + idf * ln((N + 1) / (df + 1)) / ln(2**df_bits), so that a shingle of many
-    copies still counts; without that, the parts that a large group of copies
+    ``idf``: an inverse document frequency counts 1 + idf * ln((N + 1) / (df + 1)) / ln(2**df_bits), so
+    that a shingle of many copies still counts; without that, the parts that a large group of copies
     shares would weigh next to nothing and its edits everything.
     """
 
@@ -60,8 +64,23 @@ class Settings:
 
 @dataclass
 class Weights:
-    idf: np.ndarray
+    """``rows``: all documents. ``grams``, ``df``: frequencies of shingles, sorted; those of others are 1 (or handed over with a text)."""
+
+    rows: int
     settings: Settings
+    grams: np.ndarray | None = None
+    df: np.ndarray | None = None
+
+    def of(self, df: np.ndarray) -> np.ndarray:
+        s = self.settings
+        return 1 + s.idf * np.log((self.rows + 1) / (df + 1.0)) / (s.df_bits * np.log(2))
+
+    @property
+    def idf(self) -> np.ndarray:
+        """By the first ``df_bits`` bits of a hash, the weight of the most frequent shingle there."""
+        df = np.zeros(2**self.settings.df_bits)
+        np.maximum.at(df, (self.grams >> np.uint64(64 - self.settings.df_bits)).astype(np.int64), self.df)
+        return self.of(df)
 
 
 _POOL_BITS, _BLOCK = 12, 16
@@ -93,9 +112,15 @@ class Bags:
     def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(self.all_shingles(text), return_counts=True)
 
-    def bag(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def bag(self, text: str, df: np.ndarray | np.int64 | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``df``: the frequencies of the different shingles, in order of their hashes."""
         grams, counts = self.shingles(text)
-        return grams, counts * self.weights.idf[(grams >> np.uint64(64 - self.weights.settings.df_bits)).astype(np.int64)]
+        if df is None:
+            df = np.ones(len(grams))
+            if len(self.weights.grams):
+                at = np.minimum(np.searchsorted(self.weights.grams, grams), len(self.weights.grams) - 1)
+                df = np.where(self.weights.grams[at] == grams, self.weights.df[at], df)
+        return grams, counts * self.weights.of(df)
 
 
 def sample(grams: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
@@ -130,28 +155,115 @@ def sample(grams: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
     return mix(won + level.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def document_weights(docs: DataFrame, s: Settings, text: str = "text") -> Weights:
-    """Inverse document frequencies over all documents, copies included; a table of 2**df_bits numbers."""
+# Bytes of the texts of a chunk, and of the texts whose shingles one task sums up.
+CHUNK_BYTES, PART_BYTES = 4 * 2**20, 16 * 2**20
+# The least number of parts is 2**8.
+_LEAST_PART_BITS = 8
+
+
+def _packed(usable: DataFrame) -> DataFrame:
+    """Different texts in chunks: key, id, copies and text of each as lists; the smallest id of a text's rows."""
+    share_code(usable.sparkSession)
+    texts = usable.select("id", text_key().alias("key"), "text").groupBy("key").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("text").alias("text")
+    )
+    kinds = dict(texts.dtypes)
+    schema = "chunk string, bytes bigint, rows bigint, " + ", ".join(f"{c} array<{kinds[c]}>" for c in ("key", "id", "copies", "text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def row() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            lists = [pa.ListArray.from_arrays(pa.array([0, whole.num_rows], pa.int32()), whole.column(c)) for c in ("key", "id", "copies", "text")]
+            front = [pa.array([uuid.uuid4().hex]), pa.array([size], pa.int64()), pa.array([sum(whole.column("copies").to_pylist())], pa.int64())]
+            return pa.RecordBatch.from_arrays([*front, *lists], names=["chunk", "bytes", "rows", "key", "id", "copies", "text"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags, found, n = Bags(Weights(np.zeros(0), s)), np.zeros(2**s.df_bits, np.int64), 0
         for batch in batches:
-            for one in batch.column(0):
-                grams = bags.all_shingles(one.as_py())
-                found[np.unique((grams >> np.uint64(64 - s.df_bits)).astype(np.int32))] += 1
-                n += 1
-            bags.hashes.trim()
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([-1, *at], pa.int64()), "n": pa.array([n, *found[at]], pa.int64())})
+            start = 0
+            for k, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+                if size and size + n > CHUNK_BYTES:
+                    held.append(batch.slice(start, k - start))
+                    yield row()
+                    held, size, start = [], 0, k
+                size += n
+            held.append(batch.slice(start))
+        if held:
+            yield row()
+
+    return materialize(texts.mapInArrow(pack, schema), "packed")
 
-    texts = docs.where(F.col(text).isNotNull()).select(text)
-    summed = texts.mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table = summed.toArrow()
-    df, bucket = np.zeros(2**s.df_bits), table["bucket"].to_numpy()
-    counts = table["n"].to_numpy()
-    total = int(counts[bucket == -1].sum())
-    df[bucket[bucket >= 0]] = counts[bucket >= 0]
-    return Weights(1 + s.idf * np.log((total + 1) / (df + 1)) / (s.df_bits * np.log(2)), s)
+
+def _frequencies(packed: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
+    """(chunk, part, grams, df) of all stretches of a chunk's shingles in which one has a frequency over 1; the bits of a part's number; all rows.
+
+    The different shingles of a chunk, sorted, are cut into parts by their first bits.
+    Equal shingles of all chunks meet in one task, a row of them for each chunk.
+    """
+    size, rows = packed.agg(F.sum("bytes"), F.sum("rows")).first()
+    bits = max(_LEAST_PART_BITS, int(np.ceil(np.log2(max(1, (size or 0) / PART_BYTES)))))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags = Bags(Weights(0, s))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                copies = batch.column(1)[k].values.to_numpy()
+                each = [np.unique(bags.all_shingles(t.as_py())) for t in batch.column(2)[k].values]
+                grams, where = np.unique(np.concatenate(each), return_inverse=True)
+                n = np.bincount(where, np.repeat(copies, [len(x) for x in each]), len(grams)).astype("<i8")
+                bags.hashes.trim()
+                edges = _edges(grams, bits)
+                full = np.flatnonzero(edges[1:] > edges[:-1])
+                spans = [slice(edges[p], edges[p + 1]) for p in full]
+                columns = [[batch.column(0)[k].as_py()] * len(full), full.tolist(), [_squeezed(grams[x]) for x in spans], [n[x].tobytes() for x in spans]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "part", "grams", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        packs, counts = table["grams"].to_pylist(), table["n"].to_pylist()
+        grams = np.concatenate([_stretched(x) for x in packs])
+        n = np.concatenate([np.frombuffer(x, "<i8") for x in counts])
+        known, where = np.unique(grams, return_inverse=True)
+        df = np.bincount(where, n, len(known)).astype("<i8")[where]
+        ends = np.cumsum([len(x) // 8 for x in counts])
+        parts = [df[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        some = [k for k, x in enumerate(parts) if (x > 1).any()]
+        left = table.take(pa.array(some, pa.int64()))
+        return pa.table({"chunk": left["chunk"], "part": left["part"], "grams": left["grams"], "df": pa.array([parts[k].tobytes() for k in some], pa.binary())})
+
+    rows_ = packed.select("chunk", "copies", "text").mapInArrow(cut, "chunk string, part int, grams binary, n binary")
+    return rows_.groupBy("part").applyInArrow(add, "chunk string, part int, grams binary, df binary"), bits, int(rows or 0)
+
+
+def _edges(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Where each part of sorted hashes begins, and the end of the last."""
+    starts = np.arange(2**bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.append(np.searchsorted(grams, starts), len(grams))
+
+
+def _squeezed(grams: np.ndarray) -> bytes:
+    """Sorted hashes as the first one and differences of as many bytes as the largest needs."""
+    steps = np.diff(grams)
+    wide = (int(steps.max()).bit_length() + 7) // 8 if len(steps) else 0
+    return bytes([wide]) + grams[:1].astype("<u8").tobytes() + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].tobytes()
+
+
+def _stretched(packed: bytes) -> np.ndarray:
+    wide, first = packed[0], np.frombuffer(packed, "<u8", 1, 1)
+    steps = np.frombuffer(packed, np.uint8, offset=9).reshape(-1, max(wide, 1))
+    full = np.zeros((len(steps), 8), np.uint8)
+    full[:, :wide] = steps
+    return np.cumsum(np.concatenate((first, full.view("<u8")[:, 0])), dtype=np.uint64)
+
+
+def document_weights(docs: DataFrame, s: Settings, text: str = "text") -> Weights:
+    """Inverse document frequencies over all documents, copies included, of a corpus whose shingles one process can hold."""
+    usable = docs.where(F.col(text).isNotNull()).select(F.lit(0).cast("long").alias("id"), F.col(text).alias("text"))
+    found, _, rows = _frequencies(_packed(usable), s)
+    table = found.select("grams", "df").toArrow()
+    grams = np.concatenate([np.zeros(0, np.uint64), *(_stretched(x) for x in table["grams"].to_pylist())])
+    df = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, "<i8") for x in table["df"].to_pylist())])
+    grams, at = np.unique(grams, return_index=True)
+    return Weights(rows, s, grams, df[at])
 
 
 def text_key(text: str = "text") -> Column:
@@ -196,49 +308,59 @@ def first_of_class(docs: DataFrame, settings: Settings = Settings(), id_: str =
 def _classed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Usable rows as (id, key of the text), and (key, class_id, copies, class_texts) for every different text."""
     usable = docs.where("id is not null and text is not null")
-    sent = docs.sparkSession.sparkContext.broadcast(document_weights(usable, s))
+    packed = _packed(usable)
+    found, bits, rows = _frequencies(packed, s)
+    stretches = found.select("chunk", F.struct("part", "df").alias("one")).groupBy("chunk").agg(F.collect_list("one").alias("stretches"))
+    weights = Weights(rows, s)
 
-    def make():
-        bags = Bags(sent.value)
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags = Bags(weights)
         edge = (np.arange(s.bands, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-
-        def work(texts):
-            bands, samples = [], []
-            for t in texts:
-                grams, weights = bags.bag(t)
-                if len(grams) == 0:
-                    bands.append([])
-                    samples.append(b"")
-                    continue
-                drawn = sample(grams, weights, s)
-                total = edge.copy()
-                for k in range(s.rows):
-                    total = mix(total * np.uint64(31) + drawn[k :: s.rows])
-                bands.append(total.view(np.int64).tolist())
-                samples.append((drawn & np.uint64(0xFFFF)).astype("<u2").tobytes())
-            bags.hashes.trim()
-            return {"bands": bands, "samples": samples}
-
-        return work
-
-    keyed = usable.select("id", text_key().alias("key"), "text")
-    drawn = materialize(map_texts(keyed, ["id", "key"], make, "bands array<bigint>, samples binary"), "drawn")
-    texts = drawn.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("samples").alias("samples"))
-    texts = materialize(texts, "texts")
-    labels = _labels(usable, texts, sent, s)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                keys, ids, copies, texts, known = (batch.column(c)[k] for c in range(5))
+                each = [bags.shingles(t.as_py()) for t in texts.values]
+                grams, where = np.unique(np.concatenate([g for g, _ in each]), return_inverse=True)
+                all_df, edges = np.ones(len(grams), np.int64), _edges(grams, bits)
+                for one in known.as_py() or []:
+                    all_df[edges[one["part"]] : edges[one["part"] + 1]] = np.frombuffer(one["df"], "<i8")
+                all_df, at, bands, samples, dfs = all_df[where], 0, [], [], []
+                for g, counts in each:
+                    df, at = all_df[at : at + len(g)], at + len(g)
+                    dfs.append(df.astype("<i8").tobytes() if (df > 1).any() else b"")
+                    if len(g) == 0:
+                        bands.append([])
+                        samples.append(b"")
+                        continue
+                    drawn = sample(g, counts * weights.of(df), s)
+                    total = edge.copy()
+                    for r in range(s.rows):
+                        total = mix(total * np.uint64(31) + drawn[r :: s.rows])
+                    bands.append(total.view(np.int64).tolist())
+                    samples.append((drawn & np.uint64(0xFFFF)).astype("<u2").tobytes())
+                bags.hashes.trim()
+                columns = [keys.values, ids.values, copies.values, pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.binary()), pa.array(dfs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "copies", "bands", "samples", "df"])
+
+    whole = packed.select("chunk", "key", "id", "copies", "text").join(stretches, "chunk", "left").drop("chunk")
+    kind = docs.schema["id"].dataType.simpleString()
+    schema = f"key binary, id {kind}, copies bigint, bands array<bigint>, samples binary, df binary"
+    texts = materialize(whole.mapInArrow(draw, schema), "texts")
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+    labels = _labels(packed, texts, sent, s)
     classes = texts.select("key", "id", "copies").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = classes.groupBy("label").agg(F.min("id").alias("class_id"), F.count("*").alias("class_texts"))
-    return drawn.select("id", "key"), materialize(classes.join(least, "label").select("key", "class_id", "copies", "class_texts"), "classes")
+    return usable.select("id", text_key().alias("key")), materialize(classes.join(least, "label").select("key", "class_id", "copies", "class_texts"), "classes")
 
 
-def _labels(docs: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame:
+def _labels(packed: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame:
     """(key, label) of all texts that have a link; the label is the smallest key of the class."""
     members = texts.select("key", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(members.join(shared, "bucket"), "members")
-    candidates = members.select("key").distinct()
-    wanted = docs.withColumn("key", text_key()).join(candidates, "key", "left_semi")
-    pool = materialize(wanted.groupBy("key").agg(F.any_value("text").alias("text")), "pool")
+    candidates = members.select("key").distinct().join(texts.select("key", "df"), "key")
+    each = packed.select(F.explode(F.arrays_zip("key", "text")).alias("one")).select("one.*")
+    pool = materialize(each.join(candidates, "key").select("key", "text", "df"), "pool")
     # The centre of a bucket is the text that shares the most buckets with others.
     central = members.groupBy("key").agg(F.sum("n").alias("weight"))
     leaders = members.join(central, "key").groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("leader"))
@@ -255,8 +377,8 @@ def _labels(docs: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame:
     hopeful = materialize(_met(blocks, "bucket bigint, key binary", lambda: _hopeful(s)).distinct(), "hopeful")
     # Only texts with such a partner are read, again in blocks of bounded size.
     sized = hopeful.join(placed.drop("n"), ["bucket", "key"]).join(pool, "key")
-    total = sized.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    blocks = _blocks(sized.join(total, "bucket"), F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)), "text")
+    total = sized.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.octet_length("text") + F.octet_length("df")).alias("bytes"))
+    blocks = _blocks(sized.join(total, "bucket"), F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)), "text", "df")
     more = _met(blocks, "a binary, b binary", lambda: _linked(sent.value))
     return connected(materialize(links.unionAll(more.distinct()), "links"))
 
@@ -331,8 +453,7 @@ def _linked(weights: Weights):
         i, j = _candidates(bucket.as_py(), same.as_py(), a, b, s)
         if len(i) == 0:
             return []
-        left = {k: bags.bag(a.rows.field("text")[k].as_py()) for k in set(i.tolist())}
-        right = {k: bags.bag(b.rows.field("text")[k].as_py()) for k in set(j.tolist())}
+        left, right = ({k: bags.bag(x.rows.field("text")[k].as_py(), _df(x.rows.field("df")[k])) for k in set(at.tolist())} for x, at in ((a, i), (b, j)))
         bags.hashes.trim()
         near = all_jaccard(left, right, i, j) >= s.similar
         return [tuple(sorted((a.keys[x], b.keys[y]))) for x, y in zip(i[near].tolist(), j[near].tolist())]
@@ -340,6 +461,12 @@ def _linked(weights: Weights):
     return work
 
 
+def _df(packed: pa.BinaryScalar) -> np.ndarray | np.int64:
+    """The frequencies of a text's shingles; none are kept if all are 1."""
+    kept = packed.as_py()
+    return np.frombuffer(kept, "<i8") if kept else np.int64(1)
+
+
 def all_jaccard(left: dict[int, tuple], right: dict[int, tuple], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The weighted Jaccard similarity of the pairs (i, j) of two sets of bags.
 
@@ -393,23 +520,23 @@ def _verified(pairs: DataFrame, pool: DataFrame, sent) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags, known = Bags(sent.value), {}
 
-        def bag(key: bytes, text) -> tuple[np.ndarray, np.ndarray]:
+        def bag(key: bytes, text, df) -> tuple[np.ndarray, np.ndarray]:
             if key not in known:
                 if len(known) >= 64:
                     known.clear()
-                known[key] = bags.bag(text.as_py())
+                known[key] = bags.bag(text.as_py(), _df(df))
             return known[key]
 
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             found = []
             for k in range(batch.num_rows):
-                found.append(weighted_jaccard(bag(a[k], batch.column(2)[k]), bag(b[k], batch.column(3)[k])))
+                found.append(weighted_jaccard(*(bag(key, batch.column(c)[k], batch.column(c + 1)[k]) for key, c in ((a[k], 2), (b[k], 4)))))
             bags.hashes.trim()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
-    text = lambda side: pool.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}"))
-    rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
+    text = lambda side: pool.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}"), F.col("df").alias(f"df_{side}"))
+    rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "df_a", "text_b", "df_b")
     return rows.mapInArrow(compare, "a binary, b binary, similarity double")
 
 

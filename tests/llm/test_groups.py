@@ -117,6 +117,23 @@ def test_document_frequencies_count_every_row(spark):
     assert np.isclose(w.idf[at], 1 + s.idf * np.log(5 / 4) / (s.df_bits * np.log(2)))
 
 
+def test_frequencies_are_those_of_each_shingle(spark, documents, monkeypatch):
+    monkeypatch.setattr(N, "CHUNK_BYTES", 20_000)
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    s, count = N.Settings(), Counter()
+    w = N.document_weights(documents, s)
+    bags = N.Bags(w)
+    for _, t in rows:
+        count.update(set(bags.all_shingles(t).tolist()))
+    for _, t in rows[:200]:
+        grams, weights = bags.bag(t)
+        times = bags.shingles(t)[1]
+        df = np.array([count[g] for g in grams.tolist()])
+        assert np.allclose(weights, times * (1 + s.idf * np.log((len(rows) + 1) / (df + 1)) / (s.df_bits * np.log(2))))
+    grams = np.unique(np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2))
+    assert (N._stretched(N._squeezed(grams)) == grams).all() and (N._stretched(N._squeezed(grams[:1])) == grams[:1]).all()
+
+
 def test_connected_chains(spark):
     pairs = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (103, 102)]
     rows = [(bytes([0, a]), bytes([0, b])) for a, b in pairs]
