@@ -57,9 +57,9 @@ class Settings:
 
     @property
     def least_matches(self) -> int:
-        """A pair of the wanted similarity shares at least so many samples, but for 1 in 10,000."""
+        """A pair of the wanted similarity shares at least so many samples (30 of 64), but for less than 1 in 100 million."""
         p = self.similar
-        return int(p * self.samples - 3.7 * (self.samples * p * (1 - p)) ** 0.5)
+        return int(p * self.samples - 6.6 * (self.samples * p * (1 - p)) ** 0.5)
 
 
 @dataclass

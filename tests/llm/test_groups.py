@@ -1,5 +1,6 @@
 """Near duplicates and benchmark decontamination against brute force."""
 
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -134,6 +135,12 @@ def test_frequencies_are_those_of_each_shingle(spark, documents, monkeypatch):
     assert (N._stretched(N._squeezed(grams)) == grams).all() and (N._stretched(N._squeezed(grams[:1])) == grams[:1]).all()
 
 
+def test_samples_rule_out_next_to_no_pair():
+    s = N.Settings()
+    missed = sum(math.comb(s.samples, k) * s.similar**k * (1 - s.similar) ** (s.samples - k) for k in range(s.least_matches))
+    assert missed < 1e-8
+
+
 def test_connected_chains(spark):
     pairs = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (103, 102)]
     rows = [(bytes([0, a]), bytes([0, b])) for a, b in pairs]
