@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusq.llm import compression, decontaminate, kdtree, licenses, near_duplicates, packing, pii, quality, secret_scan, tokens, warc
+from corpusq.llm import (
+    compression,
+    conversation_trie,
+    decontaminate,
+    kdtree,
+    licenses,
+    near_duplicates,
+    packing,
+    periodic_runs,
+    pii,
+    quality,
+    secret_scan,
+    tokens,
+    url_filter,
+    warc,
+)
 from corpusq.llm.texts import read_table, share_code
 
 QUERIES = {}
@@ -85,3 +100,53 @@ def op10_subword_quality(spark, sf):
     model = quality.train(docs, read_table(spark, sf, "labels"))
     rows = docs.select("doc_id", quality.held_out().alias("held_out"), "text")
     return quality.score_texts(rows, ["doc_id", "held_out"], model)
+
+
+@register
+def op11_parentheses_trie(spark, sf):
+    return conversation_trie.prefix_trie(read_table(spark, sf, "conversations"), grafted=True)
+
+
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+# Sites whose pages are listed: the second label of their hosts' domain names.
+LISTED_SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+@register
+def op12_blocked_bloom(spark, sf):
+    """The listed URLs are those of the pages of ``LISTED_SITES``."""
+    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    site = F.element_at(F.split(url_filter.host_of(F.col("url")), "\\."), -3)
+    listed = pages.where(site.isin(*LISTED_SITES)).select("url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(pages, rules, listed, ["page_id"])
+
+
+@register
+def op13_basic_factors(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    tile = F.when(h % 10 == 0, F.floor(h / 10))
+    found = periodic_runs.periodic_runs(docs, ["doc_id"], tile=tile)
+    runs = F.arrays_zip("starts", "lengths", "periods")
+    line = lambda r: F.concat_ws(",", r["starts"], r["lengths"], r["periods"])
+    # Runs come by start and period, so the first of the longest is wanted.
+    best = F.get("runs", F.array_position("lengths", F.array_max("lengths")).cast("int") - 1)
+    rows = found.withColumn("runs", runs).withColumn("best", best)
+    return rows.select(
+        "doc_id",
+        F.size("starts").cast("bigint").alias("n_runs"),
+        F.col("best.starts").alias("start"),
+        F.col("best.lengths").alias("length"),
+        F.col("best.periods").alias("period"),
+        F.expr("(1000 * best.lengths) div best.periods").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
