@@ -17,13 +17,15 @@ FEW_SPLITS = 256
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal out an input that has fewer splits than the cluster has cores, and few at all.
+    """Deal out a scan that has fewer splits than the cluster has cores, and few at all.
 
-    A corpus of many files passes through untouched; only an input of at most
+    A corpus of many files passes through untouched; only a scan of at most
     ``FEW_SPLITS`` splits is shuffled, so that the costly text work uses every
-    core. ``df`` should be a scan: asking a plan with shuffles for its partitions
-    runs them.
+    core. An input that shuffles on its own passes as well: it is dealt out already, and asking
+    for its partitions would run it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusq.functions.text import STOP_WORDS, term_bucket
 from corpusq.operators import postings as P
-from corpusq.operators.index import LITERAL_TERMS, Index
+from corpusq.operators.index import ANCHOR, LITERAL_TERMS, Index
 from corpusq.operators.joins import fits_broadcast, sized_join
 
 
@@ -61,6 +61,13 @@ def measured_terms(
     return QueryTerms(rows, tuple(sorted(terms)) if len(terms) <= LITERAL_TERMS else None, True)
 
 
+def terms_for(index: Index, queries: DataFrame | QueryTerms, stop: P.StopWords | None = None) -> QueryTerms:
+    """The terms of queries as the index has them: without its stop words (or those given), as its lemmas."""
+    if isinstance(queries, QueryTerms):
+        return queries
+    return measured_terms(queries, index.words.stop if stop is None else stop, index.words.lemmas)
+
+
 def known_terms(index: Index, terms: QueryTerms, field: str) -> DataFrame:
     """Query terms found in a field, with their ``df``: ``(query_id, term, qtf, qlen, df)``."""
     stats = index.of_terms(index.term_stats.where(F.col("field") == field), terms.terms)
@@ -76,10 +83,18 @@ def matches(index: Index, weighted: DataFrame, terms: QueryTerms, field: str) ->
     ``weighted`` has ``query_id``, ``term`` and any weights, at most one row per
     row of ``terms``. Small batches are broadcast to the scan of the postings,
     which is cut down to their terms; for large ones with a ``df`` a frequent term
-    is spread over several tasks by document.
+    is spread over several tasks by document. Terms that ``min_df`` hides are
+    taken out of the queries, not out of the postings.
     """
-    found = index.of_terms(index.postings.where(F.col("field") == field), terms.terms)
-    found = found.select("bucket", "term", "doc_id", "tf", "dl")
+    return postings_of_terms(index, index.all_postings, weighted, terms, field).select(*weighted.columns, "doc_id", "tf", "dl")
+
+
+def postings_of_terms(index: Index, postings: DataFrame, weighted: DataFrame, terms: QueryTerms, field: str) -> DataFrame:
+    """Rows of ``postings`` (any that have field, bucket and term) beside the weights of their terms."""
+    if index.analysis.min_df > 0 and "df" not in weighted.columns:
+        shown = index.of_terms(index.term_stats.where(F.col("field") == field), terms.terms).select("term")
+        weighted = shown.join(F.broadcast(weighted), "term") if terms.small else sized_join(weighted, shown, ["term"], spread="query_id")
+    found = index.of_terms(postings.where(F.col("field") == field), terms.terms).drop("field")
     # The bucket of a term lets the join prune directories, for batches of any size.
     keyed = weighted.withColumn("bucket", term_bucket(F.col("term"), index.num_buckets))
     df = "df" if "df" in weighted.columns else None
@@ -87,18 +102,28 @@ def matches(index: Index, weighted: DataFrame, terms: QueryTerms, field: str) ->
     return sized_join(found, keyed, on, spread="doc_id", small_fits=terms.small, rows=df).drop("bucket")
 
 
-def candidates(index: Index, queries: DataFrame, field: str, stop: P.StopWords = STOP_WORDS) -> DataFrame:
+def with_lengths(index: Index, rows: DataFrame, field: str) -> DataFrame:
+    """Matches with the length of each document: stored with its postings, for link texts that of the page they point to.
+
+    A page that the index does not have counts as empty.
+    """
+    if field != ANCHOR:
+        return rows
+    return rows.drop("dl").join(index.doc_len, "doc_id", "left").withColumn("dl", F.coalesce("dl", F.lit(0).cast("bigint")))
+
+
+def candidates(index: Index, queries: DataFrame | QueryTerms, field: str, stop: P.StopWords | None = None) -> DataFrame:
     """``(query_id, doc_id)``: documents that hold at least one term of the query."""
-    terms = measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     wanted = terms.rows.select("query_id", "term")
     return matches(index, wanted, terms, field).select("query_id", "doc_id").distinct()
 
 
 def holding_all_terms(
-    index: Index, queries: DataFrame, field: str, stop: P.StopWords = STOP_WORDS
+    index: Index, queries: DataFrame | QueryTerms, field: str, stop: P.StopWords | None = None
 ) -> DataFrame:
     """``(query_id, doc_id)``: documents that hold every distinct term of the query."""
-    terms = measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     need = terms.rows.groupBy("query_id").agg(F.count("*").alias("need"))
     held = (
         matches(index, terms.rows.select("query_id", "term"), terms, field)

@@ -36,7 +36,7 @@ def kept_token_rows(
     docs: DataFrame, text: str, stop: StopWords = STOP_WORDS, id_col: str = "doc_id"
 ) -> DataFrame:
     """``(id, term)``: every token that is not a stop word."""
-    words, table = _stop_parts(stop)
+    words, table = stop_parts(stop)
     docs = spread(docs.select(id_col, text), id_col)
     rows = docs.select(id_col, F.explode_outer(kept_tokens(F.col(text), words)).alias("term"))
     return _without(rows.where(F.col("term").isNotNull()), table, spread=id_col)
@@ -64,7 +64,7 @@ def document_terms(
     length_field = length_field or fields[-1]
     docs = docs.select(id_col, *fields)
     given = {f for f in fields if isinstance(docs.schema[f].dataType, ArrayType)}
-    words, table = _stop_parts([] if given == set(fields) else stop, stop_literals)
+    words, table = stop_parts([] if given == set(fields) else stop, stop_literals)
     docs = spread(docs, id_col) if is_scan else docs
 
     def kept(f: str) -> Column:
@@ -100,7 +100,7 @@ def lemma_postings(
     ``lemmas(form, lemma)`` has one row per form; a term without one stays as it
     is. ``binary_tf`` counts each lemma once per document.
     """
-    words, table = _stop_parts(stop)
+    words, table = stop_parts(stop)
     forms = lemmas.select(F.col("form").alias("term"), "lemma")
     mapped = sized_join(postings, forms, ["term"], "left", spread="doc_id").withColumn(
         "term", F.coalesce("lemma", "term")
@@ -206,7 +206,7 @@ def _field_postings(doc_terms: DataFrame, field: str, id_col: str) -> DataFrame:
     )
 
 
-def _stop_parts(stop: StopWords, literals: int = STOP_LITERALS) -> tuple[list[str], DataFrame | None]:
+def stop_parts(stop: StopWords, literals: int = STOP_LITERALS) -> tuple[list[str], DataFrame | None]:
     """A stop list as literals, or as a table when it is too long for that."""
     if not isinstance(stop, DataFrame):
         return sorted(set(stop)), None

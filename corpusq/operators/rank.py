@@ -8,17 +8,19 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusq.functions.text import STOP_WORDS
 from corpusq.functions.weights import bm25_saturation, half_even, idf_bm25, idf_smoothed, ratio
 from corpusq.operators import postings as P
-from corpusq.operators.index import Index
-from corpusq.operators.joins import sized_join
-from corpusq.operators.match import QueryTerms, known_terms, matches, measured_terms
+from corpusq.operators.index import ANCHOR, Index
+from corpusq.operators.joins import fits_broadcast, sized_join
+from corpusq.operators.match import QueryTerms, known_terms, matches, postings_of_terms, terms_for, with_lengths
 from corpusq.sources.storage import materialize
 
 BM25_PLACES = 4
 TFIDF_PLACES = 5
 
+# Indexes of so many documents prune by block bounds; below, the extra jobs cost more than they save.
+PRUNE_DOCS = 1_000_000
+
 # Slices in which the results of a query are ranked first, for limits above Spark's own.
 SLICES = 32
 
@@ -74,7 +76,7 @@ def bm25_scores(
     field: str = "body",
     params: Bm25 = Bm25(),
     *,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
     doc_len: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` of every candidate, rounded to 4 places.
@@ -82,7 +84,7 @@ def bm25_scores(
     Lengths are those stored with the postings; ``doc_len(doc_id, dl)`` replaces
     them. A document of unknown length counts as empty.
     """
-    terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     n, avg_dl = index.n, index.avg_dl
     if doc_len is not None:
         n, avg_dl = doc_len.agg(F.count("*"), F.avg("dl")).first()
@@ -92,6 +94,8 @@ def bm25_scores(
     rows = matches(index, weighted, terms, field)
     if doc_len is not None:
         rows = rows.drop("dl").join(doc_len.select("doc_id", "dl"), "doc_id", "left")
+    else:
+        rows = with_lengths(index, rows, field)
     length = F.coalesce("dl", F.lit(0))
     part = F.col("weight") * bm25_saturation(F.col("tf"), length, avg_dl, params.k1, params.b)
     return rows.groupBy("query_id", "doc_id").agg(half_even(F.sum(part), BM25_PLACES).alias("score"))
@@ -104,22 +108,77 @@ def bm25(
     params: Bm25 = Bm25(),
     n: int = 100,
     *,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
     doc_len: DataFrame | None = None,
+    prune: bool | None = None,
 ) -> DataFrame:
-    """``(query_id, doc_id, score, rank)``: the ``n`` best documents per query."""
+    """``(query_id, doc_id, score, rank)``: the ``n`` best documents per query.
+
+    ``prune`` leaves out, by the bounds of document blocks, what cannot be among them; unless told, from
+    ``PRUNE_DOCS`` documents on. The rows are the same. Link texts and other lengths have no bounds.
+    """
+    bounded = field != ANCHOR and doc_len is None
+    if bounded and (index.n >= PRUNE_DOCS if prune is None else prune):
+        return pruned_bm25(index, queries, field, params, n, stop=stop)
     return top_k(bm25_scores(index, queries, field, params, stop=stop, doc_len=doc_len), n)
 
 
+def pruned_bm25(
+    index: Index, queries: DataFrame | QueryTerms, field: str, params: Bm25, n: int, *, stop: P.StopWords | None = None
+) -> DataFrame:
+    """``(query_id, doc_id, score, rank)``: as ``bm25``, without scoring every match.
+
+    Terms that are rare in a batch of documents have no bounds stored there; their parts are added up first. The
+    n-th best sum of a query is its threshold: n documents score that much at least. Each of the
+    other, dense terms has bounds per block of documents, which say what it can add there at most. A
+    document with rare terms stays if its sum and what its block can add reach the threshold; a block
+    stays if such a document lies in it or its dense terms alone can reach it. Only
+    postings of dense terms in blocks that stay are read on and added. All else cannot come within half a
+    rounding step of the n-th best, so the ranks are those of the full scores.
+    """
+    terms = terms_for(index, queries, stop)
+    avg_dl = index.avg_dl
+    weighted = known_terms(index, terms, field).select(
+        "query_id", "term", "df", (F.col("qtf") * idf_bm25(float(index.n), F.col("df"))).alias("weight")
+    )
+    weighted = materialize(weighted, "weighted")
+    at = ["query_id", "batch", "block"]
+    bounds = postings_of_terms(index, index.block_bounds, weighted.select("query_id", "term", "weight", "df"), terms, field)
+    reach = F.greatest(F.col("min_dl").cast("double"), F.col("max_tf") * F.col("min_span"))
+    most = F.col("weight") * bm25_saturation(F.col("max_tf"), reach, avg_dl, params.k1, params.b)
+    can_add = materialize(bounds.groupBy(*at).agg(F.sum(most).alias("can_add")), "can_add")
+    dense = index.of_terms(index.block_bounds.where(F.col("field") == field), terms.terms)
+    dense = dense.join(F.broadcast(weighted.select("term").distinct()), "term", "left_semi") if terms.small else dense
+    dense = materialize(dense.select("batch", "term").distinct(), "dense_terms")
+    dense_fits = fits_broadcast(dense)
+    rows = postings_of_terms(index, index.blocked_postings(), weighted, terms, field)
+    part = F.col("weight") * bm25_saturation(F.col("tf"), F.coalesce("dl", F.lit(0)), avg_dl, params.k1, params.b)
+    rows = rows.select(*at, "term", "doc_id", part.alias("part"))
+    rare = sized_join(rows, dense, ["batch", "term"], "left_anti", spread="doc_id", small_fits=dense_fits)
+    sums = materialize(rare.groupBy(*at, "doc_id").agg(F.sum("part").alias("score")), "rare_sums")
+    threshold = top_k(sums, n).where(F.col("rank") == n).select("query_id", (F.col("score") - 10.0**-BM25_PLACES).alias("threshold"))
+    threshold = materialize(threshold, "thresholds")
+    reached = F.col("threshold").isNull() | (F.coalesce("score", F.lit(0.0)) + F.coalesce("can_add", F.lit(0.0)) >= F.col("threshold"))
+    # A row per query at most.
+    by_query = F.broadcast(threshold) if terms.small else threshold
+    alive = materialize(sums.join(can_add, at, "left").join(by_query, "query_id", "left").where(reached).select(*at, "doc_id", "score"), "alive")
+    alone = can_add.withColumn("score", F.lit(0.0)).join(by_query, "query_id", "left").where(reached)
+    blocks = materialize(alive.select(*at).unionByName(alone.select(*at)).distinct(), "blocks")
+    common = sized_join(rows, dense, ["batch", "term"], "left_semi", spread="doc_id", small_fits=dense_fits)
+    common = sized_join(common, blocks, at, "left_semi", spread="doc_id")
+    both = alive.select("query_id", "doc_id", "score").unionByName(common.select("query_id", "doc_id", F.col("part").alias("score")))
+    return top_k(both.groupBy("query_id", "doc_id").agg(half_even(F.sum("score"), BM25_PLACES).alias("score")), n)
+
+
 def bm25_fields(
-    index: Index, queries: DataFrame, profiles: Mapping[str, Bm25], n: int = 100, stop: P.StopWords = STOP_WORDS
+    index: Index, queries: DataFrame, profiles: Mapping[str, Bm25], n: int = 100, stop: P.StopWords | None = None
 ) -> DataFrame:
     """BM25 over several fields, each with its own parameters and its own top ``n``.
 
     ``(field, query_id, doc_id, score, rank)``. The queries are tokenised and
     measured once.
     """
-    terms = measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     parts = [
         bm25(index, terms, field, params, n).select(
             F.lit(field).alias("field"), "query_id", "doc_id", "score", "rank"
@@ -139,17 +198,14 @@ def query_vectors(index: Index, terms: QueryTerms, field: str) -> DataFrame:
 
 
 def tfidf_candidates(
-    index: Index, queries: DataFrame, field: str = "body", stop: P.StopWords = STOP_WORDS
+    index: Index, queries: DataFrame, field: str = "body", stop: P.StopWords | None = None
 ) -> DataFrame:
     """``(query_id, doc_id, term, weight)``: ``tf/dl * ln(n/df + 1e-9)`` per match."""
-    terms = measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     weight = ratio(F.col("tf"), F.col("dl")) * idf_smoothed(float(index.n), F.col("df"))
     wanted = known_terms(index, terms, field).select("query_id", "term", "df")
-    return (
-        matches(index, wanted, terms, field)
-        .where(F.col("dl").isNotNull())
-        .select("query_id", "doc_id", "term", weight.alias("weight"))
-    )
+    found = with_lengths(index, matches(index, wanted, terms, field), field)
+    return found.where(F.col("dl").isNotNull()).select("query_id", "doc_id", "term", weight.alias("weight"))
 
 
 def tfidf_scores(
@@ -157,7 +213,7 @@ def tfidf_scores(
     queries: DataFrame | QueryTerms,
     field: str = "body",
     *,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
     norms: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score)``: query and document vectors multiplied.
@@ -165,18 +221,17 @@ def tfidf_scores(
     Without ``norms`` the plain dot product; with ``norms(doc_id, weight_norm)``
     it is divided by the lengths of both vectors. Rounded to 5 places.
     """
-    terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     idf = idf_smoothed(float(index.n), F.col("df"))
     share = F.col("qtf") / F.col("qlen") * idf
     wanted = known_terms(index, terms, field).select(
         "query_id", "term", "df", (share * idf).alias("weight"), (share * share).alias("square")
     )
-    dots = (
-        matches(index, wanted, terms, field)
-        .where(F.col("dl").isNotNull())
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("weight") * ratio(F.col("tf"), F.col("dl"))).alias("dot"))
-    )
+    found = with_lengths(index, matches(index, wanted, terms, field), field).where(F.col("dl").isNotNull())
+    if norms is not None:
+        # Dealt out by document, for the sums as well as for the norms.
+        found = found.repartition("doc_id")
+    dots = found.groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * ratio(F.col("tf"), F.col("dl"))).alias("dot"))
     score = F.col("dot")
     if norms is not None:
         query_norms = wanted.groupBy("query_id").agg(F.sqrt(F.sum("square")).alias("query_norm"))
@@ -194,7 +249,7 @@ def tfidf(
     field: str = "body",
     n: int = 100,
     *,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
     norms: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score, rank)`` by TF-IDF dot product, or cosine with ``norms``."""
@@ -208,7 +263,7 @@ def term_match(
     rank_by: str = "tf_sum",
     limit: int | None = 100,
     *,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
 ) -> DataFrame:
     """Documents of a field by how often (``tf_sum``) query terms occur in it, or
     by how many different ones do (``distinct_terms``).
@@ -216,7 +271,7 @@ def term_match(
     ``(query_id, doc_id, score, rank)``. ``limit=None`` gives all matches in
     order of query and rank.
     """
-    terms = queries if isinstance(queries, QueryTerms) else measured_terms(queries, stop)
+    terms = terms_for(index, queries, stop)
     weights = {"tf_sum": F.sum(F.col("qtf") * F.col("tf")), "distinct_terms": F.count("*")}
     scored = (
         matches(index, terms.rows.select("query_id", "term", "qtf"), terms, field)

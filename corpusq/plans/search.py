@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from corpusq.functions.text import STOP_WORDS
 from corpusq.operators import postings as P
 from corpusq.operators.evaluate import evaluate
 from corpusq.operators.fuse import attach_titles, merge_fields
@@ -35,7 +34,7 @@ def search(
     page_views: DataFrame,
     titles: DataFrame,
     params: SearchParams = SearchParams(),
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
 ) -> DataFrame:
     """BM25 on title and body, merged and boosted: ``(query_id, doc_id, score, rank, title)``."""
     ranked = bm25_fields(index, queries, params.profiles, params.per_field, stop)
@@ -58,24 +57,34 @@ def search_body(
     n: int = 100,
     *,
     norms: DataFrame | None = None,
-    stop: P.StopWords = STOP_WORDS,
+    stop: P.StopWords | None = None,
 ) -> DataFrame:
     """TF-IDF over the body, by dot product, or by cosine when given ``norms``."""
     return attach_titles(tfidf(index, queries, "body", n, stop=stop, norms=norms), titles)
 
 
 def search_title(
-    index: Index, queries: DataFrame, titles: DataFrame, rank_by: str = "tf_sum", limit: int | None = 100
+    index: Index,
+    queries: DataFrame,
+    titles: DataFrame,
+    rank_by: str = "tf_sum",
+    limit: int | None = 100,
+    stop: P.StopWords | None = None,
 ) -> DataFrame:
     """Documents with query words in their title."""
-    return attach_titles(term_match(index, queries, "title", rank_by, limit), titles)
+    return attach_titles(term_match(index, queries, "title", rank_by, limit, stop=stop), titles)
 
 
 def search_anchor(
-    index: Index, queries: DataFrame, titles: DataFrame, rank_by: str = "tf_sum", limit: int | None = 100
+    index: Index,
+    queries: DataFrame,
+    titles: DataFrame,
+    rank_by: str = "tf_sum",
+    limit: int | None = 100,
+    stop: P.StopWords | None = None,
 ) -> DataFrame:
     """Documents with query words in the texts of links to them."""
-    return attach_titles(term_match(index, queries, "anchor", rank_by, limit), titles)
+    return attach_titles(term_match(index, queries, "anchor", rank_by, limit, stop=stop), titles)
 
 
 def batch_evaluation(results: DataFrame, qrels: DataFrame, queries: DataFrame, k: int = 40) -> DataFrame:

@@ -182,6 +182,7 @@ CTES = {
     "b_stats": _statistics("b_post"),
     "b_len": _lengths("page", "b_post"),
     "b_total": _totals("b_len"),
+    "a_stats": _statistics("a_post"),
     "t25": _bm25("t_post", "t_stats", "b_len", "b_total", 2.0, 0.05),
     "b25": _bm25("b_post", "b_stats", "b_len", "b_total", 5.0, 0.2),
     "t_top": _top("t25", 100),
@@ -194,6 +195,12 @@ CTES = {
         "FROM q JOIN t_stats USING (term) JOIN t_post USING (term) JOIN b_len USING (doc_id) CROSS JOIN b_total"
     ),
     "t_dot": _dots("t_parts"),
+    "a_parts": (
+        "SELECT query_id, doc_id, term, qtf::double / qlen * ln(n::double / df + 1e-9::double) AS qw, "
+        "CASE WHEN dl > 0 THEN tf::double / dl ELSE 0 END * ln(n::double / df + 1e-9::double) AS w "
+        "FROM q JOIN a_stats USING (term) JOIN a_post USING (term) LEFT JOIN b_len USING (doc_id) CROSS JOIN b_total"
+    ),
+    "a_dot": _dots("a_parts"),
     "edge": "SELECT DISTINCT doc_id AS src, target_id AS dst FROM anchor",
     "degree": "SELECT src, count(*) AS links FROM edge GROUP BY src",
     "node": "SELECT src AS doc_id FROM edge UNION SELECT dst FROM edge",
@@ -335,6 +342,15 @@ ORACLE: dict[str, str] = {
     ),
     "index_append": _with("SELECT term, df, cf, n, total_len FROM stats CROSS JOIN total"),
     "index_append_tokens": _with("SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id)"),
+    "index_append_three_fields": _with(
+        "SELECT 'title' AS field, term, doc_id, tf, dl, df, cf FROM t_post JOIN t_stats USING (term) JOIN b_len USING (doc_id) "
+        "UNION ALL SELECT 'body', term, doc_id, tf, dl, df, cf FROM b_post JOIN b_stats USING (term) JOIN b_len USING (doc_id) "
+        "UNION ALL SELECT 'anchor', term, doc_id, tf, NULL::bigint, df, cf FROM a_post JOIN a_stats USING (term)"
+    ),
+    "index_compact": _with(
+        "SELECT 'body' AS field, term, doc_id, tf, dl, df, cf, 1::bigint AS batches "
+        "FROM post JOIN stats USING (term) JOIN len USING (doc_id)"
+    ),
     "index_append_min_df": _with(
         "SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id) JOIN stats USING (term) WHERE df > 50"
     ),
@@ -360,6 +376,7 @@ ORACLE: dict[str, str] = {
     "tfidf_dot": _with("SELECT query_id, doc_id, score FROM dot"),
     "tfidf_topk": _with(_top("dot", 3)),
     "title_tfidf_topk": _with(_top("t_dot", 20)),
+    "anchor_tfidf_topk": _with(_top("a_dot", 20)),
     "tfidf_cosine": _with(
         _top(
             "(SELECT query_id, doc_id, "
@@ -379,6 +396,7 @@ ORACLE: dict[str, str] = {
     "candidates": _with("SELECT DISTINCT query_id, doc_id FROM q JOIN post USING (term)"),
     "bm25_scores": _with(_bm25("post", "stats", "len", "total", 1.5, 0.75)),
     "bm25_topk": _with("SELECT query_id, doc_id, score, rank FROM result"),
+    "bm25_topk_pruned": _with(_top("body25", 10)),
     "title_tf_sum": _with(_top(f"({_match('t_post', 'sum(qtf * tf)')})", 100)),
     "title_distinct": _with(_every(f"({_match('t_post', 'count(*)')})")),
     "anchor_postings_stop_table": _with(

@@ -260,6 +260,33 @@ def index_append_min_df(spark, sf):
     return grown.postings.select("term", "doc_id", "tf", "dl")
 
 
+def _with_stats(index: ix.Index) -> DataFrame:
+    keys = ["field", "bucket", "term"]
+    rows = sized_join(index.postings, index.term_stats, keys, spread="doc_id", rows="df")
+    return rows.select("field", "term", "doc_id", "tf", "dl", "df", "cf")
+
+
+@register
+def index_append_three_fields(spark, sf):
+    """Title, body and link texts grow by a batch of pages; links of both batches point to the same pages."""
+    pages, links, path = fx.pages(spark, sf), fx.anchors(spark, sf), fresh_path(spark, "grown")
+    late = F.col("doc_id") % 3 == 0
+    base = ix.write_index(pages.where(~late), path, ["title", "body"], anchors=links.where(~late), num_buckets=fx.NUM_BUCKETS)
+    return _with_stats(ix.append_documents(base, pages.where(late), anchors=links.where(late)))
+
+
+@register
+def index_compact(spark, sf):
+    """Three batches merged into one."""
+    docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
+    index = ix.write_index(docs.where("lang <=> 'en'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
+    for more in ("lang <=> 'de'", "not lang <=> 'en' and not lang <=> 'de'"):
+        index = ix.append_documents(index, docs.where(more))
+    index = ix.compact_index(index)
+    batches = F.lit(len(index.parts)).cast("bigint")
+    return _with_stats(index).select("*", batches.alias("batches"))
+
+
 @register
 def index_append_tokens(spark, sf):
     docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
@@ -364,6 +391,12 @@ def title_tfidf_topk(spark, sf):
     return rank.tfidf(fx.pages_index(spark, sf), fx.queries(spark, sf), "title", n=20)
 
 
+@register
+def anchor_tfidf_topk(spark, sf):
+    """Pages by the texts of the links to them; a page that is not there has length 0."""
+    return rank.tfidf(fx.pages_index(spark, sf), fx.queries(spark, sf), "anchor", n=20)
+
+
 @register
 def tfidf_cosine(spark, sf):
     index, norms = fx.documents_index(spark, sf), fx.norms(spark, sf)
@@ -392,6 +425,12 @@ def bm25_topk(spark, sf):
     return rank.bm25(fx.documents_index(spark, sf), fx.queries(spark, sf), "body", BODY_BM25)
 
 
+@register
+def bm25_topk_pruned(spark, sf):
+    """The ten best by block bounds, without scoring every match."""
+    return rank.bm25(fx.documents_index(spark, sf), fx.queries(spark, sf), "body", BODY_BM25, 10, prune=True)
+
+
 @register
 def title_tf_sum(spark, sf):
     return rank.term_match(fx.pages_index(spark, sf), fx.queries(spark, sf), "title", "tf_sum")

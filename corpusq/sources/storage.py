@@ -45,6 +45,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories in a directory; none if it is not there."""
+    fs, target = _on_file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def version_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Size, number of files and time of change below a path."""
     fs, target = _on_file_system(spark, path)
