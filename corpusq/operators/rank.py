@@ -132,11 +132,17 @@ def pruned_bm25(
     n-th best sum of a query is its threshold: n documents score that much at least. Each of the
     other, dense terms has bounds per block of documents, which say what it can add there at most. A
     document with rare terms stays if its sum and what its block can add reach the threshold; a block
-    stays if such a document lies in it or its dense terms alone can reach it. Only
-    postings of dense terms in blocks that stay are read on and added. All else cannot come within half a
-    rounding step of the n-th best, so the ranks are those of the full scores.
+    is open to all its documents if its dense terms alone can reach it. Only
+    postings of dense terms in open blocks or of documents that stay are read on and added. All else cannot
+    come within half a rounding step of the n-th best, so the ranks are those of the full scores. A
+    query with fewer than n documents with rare terms has no threshold and is scored in full.
     """
-    terms = terms_for(index, queries, stop)
+    parts = bounded_parts(index, terms_for(index, queries, stop), field, params, n)
+    return top_k(parts.groupBy("query_id", "doc_id").agg(half_even(F.sum("part"), BM25_PLACES).alias("score")), n)
+
+
+def bounded_parts(index: Index, terms: QueryTerms, field: str, params: Bm25, n: int) -> DataFrame:
+    """``(query_id, doc_id, part)`` that add up to the BM25 score of every document that can be among the ``n`` best."""
     avg_dl = index.avg_dl
     weighted = known_terms(index, terms, field).select(
         "query_id", "term", "df", (F.col("qtf") * idf_bm25(float(index.n), F.col("df"))).alias("weight")
@@ -163,11 +169,13 @@ def pruned_bm25(
     by_query = F.broadcast(threshold) if terms.small else threshold
     alive = materialize(sums.join(can_add, at, "left").join(by_query, "query_id", "left").where(reached).select(*at, "doc_id", "score"), "alive")
     alone = can_add.withColumn("score", F.lit(0.0)).join(by_query, "query_id", "left").where(reached)
-    blocks = materialize(alive.select(*at).unionByName(alone.select(*at)).distinct(), "blocks")
+    both = alive.select(*at, F.lit(False).alias("open")).unionByName(alone.select(*at, F.lit(True).alias("open")))
+    blocks = materialize(both.groupBy(*at).agg(F.max("open").alias("open")), "blocks")
     common = sized_join(rows, dense, ["batch", "term"], "left_semi", spread="doc_id", small_fits=dense_fits)
-    common = sized_join(common, blocks, at, "left_semi", spread="doc_id")
-    both = alive.select("query_id", "doc_id", "score").unionByName(common.select("query_id", "doc_id", F.col("part").alias("score")))
-    return top_k(both.groupBy("query_id", "doc_id").agg(half_even(F.sum("score"), BM25_PLACES).alias("score")), n)
+    common = sized_join(common, blocks, at, spread="doc_id")
+    living = alive.select("query_id", "doc_id", F.lit(True).alias("living"))
+    common = sized_join(common, living, ["query_id", "doc_id"], "left", spread="block").where("open or living")
+    return alive.select("query_id", "doc_id", F.col("score").alias("part")).unionByName(common.select("query_id", "doc_id", "part"))
 
 
 def bm25_fields(
