@@ -5,7 +5,7 @@ decreasing. Dual feasible functions give each partition a lower bound on its
 number of bins; a partition that meets it is certified optimal. What is not
 proven full goes on: partitions with a gap hand their unfilled bins, the others
 their emptiest one, to a pool that is dealt anew and packed again, as long as
-that saves bins.
+that saves bins; a deal that saves none is followed by one more.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from corpusq.sources.storage import materialize
 
 # Pieces of a partition: what one task holds and sorts at a time.
 PER_PARTITION = 4096
-ROUNDS = 4
+
+# So many deals in a row that save nothing end the exchange.
+IDLE_DEALS = 2
 
 ADDED = ("sequence_id", "offset", "sequence_fill", "partition_bins", "partition_bound", "__part", "__bin", "__least", "__open")
 _BINS = 2**20
@@ -75,13 +77,14 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-def pack(pieces: DataFrame, capacity: int, length: str = "length", per_partition: int = PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, length: str = "length", per_partition: int = PER_PARTITION, rounds: int | None = None) -> DataFrame:
     """Rows of ``pieces`` with their sequence and place.
 
     Adds sequence_id, offset (gapless from 0 in a sequence), sequence_fill, and
     the certificate of the partition a sequence was made in: partition_bins,
     partition_bound (equal: proven optimal). Lengths must be 1 to ``capacity``;
-    rows without a length are an error. Repeated rows are packed each; an empty
+    rows without a length are an error. ``rounds`` bounds the exchange; without it
+    deals go on as long as they save bins. Repeated rows are packed each; an empty
     table gives no rows. Columns of the names that are added give way to them.
     """
     pieces = materialize(pieces.drop(*(c for c in ADDED if c != length)), "pieces")
@@ -105,7 +108,9 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", per_partition
         return rows.withColumn("__part", part.cast("long")).groupBy("__part").applyInPandas(one, schema)
 
     packed = materialize(deal(pieces, n, 0), "packed")
-    for round_ in range(1, rounds + 1):
+    round_ = idle = 0
+    while idle < IDLE_DEALS and round_ != rounds:
+        round_ += 1
         least = packed.groupBy("__part").agg(F.min(F.struct("sequence_fill", "__bin"))["__bin"].alias("__least"))
         marked = packed.join(least, "__part").withColumn(
             "__open", (F.col("sequence_fill") < capacity)
@@ -117,7 +122,9 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", per_partition
         pool = materialize(marked.where("__open").select(pieces.columns), "pool")
         again = materialize(deal(pool, size, round_), "packed")
         if again.agg(F.count_distinct("__part", "__bin")).first()[0] >= bins:
-            break
+            idle += 1
+            continue
+        idle = 0
         packed = materialize(marked.where("not __open").select(names).unionByName(again), "packed")
     sequence = (F.col("__part") * _BINS + F.col("__bin")).alias("sequence_id")
     return packed.select(*pieces.columns, sequence, "offset", "sequence_fill", "partition_bins", "partition_bound")

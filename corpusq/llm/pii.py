@@ -83,7 +83,7 @@ _STRIP = "\"'`,;[]{}<>.:!?#*$%&|"
 def _shape(core: str) -> str:
     """Runs with their lengths up to 9: letters X and x, digits 9, marks as they are."""
     out = []
-    for r in _RUNS.findall(core[:60])[:10]:
+    for r in _RUNS.findall(core):
         kind = "9" if "0" <= r[0] <= "9" else "X" if "A" <= r[0] <= "Z" else "x" if "a" <= r[0] <= "z" else r
         out.append(f"{kind}{min(len(r), 9)}" if kind in "9Xx" else kind)
     return "".join(out)
@@ -96,13 +96,13 @@ def _hint(word: str) -> int:
 
 def own_features(word: str) -> list[str]:
     core = word.strip(_STRIP)
-    if core.isalpha() or not any("0" <= c <= "9" for c in core[:60]):
+    if core.isalpha() or not any("0" <= c <= "9" for c in core):
         return ["bias", "no digit", f"hint={_hint(word)}", f"open={word[:1] == '('}"]
-    digits = sum("0" <= c <= "9" for c in core[:60])
+    digits = sum("0" <= c <= "9" for c in core)
     shape = _shape(core)
     return [
         "bias", "digits", f"n={min(digits, 24)}", "shape=" + shape, "loose=" + re.sub(r"[0-9]", "", shape.replace("9", "d")),
-        f"marks={''.join(sorted({c for c in core[:60] if not c.isalnum()}))[:5]}", f"letters={any(c.isalpha() for c in core)}", f"whole={core.isdigit()}/{digits}",
+        f"marks={''.join(sorted({c for c in core if not c.isalnum()}))}", f"letters={any(c.isalpha() for c in core)}", f"whole={core.isdigit()}/{digits}",
     ]
 
 
@@ -113,7 +113,7 @@ def word_class(word: str) -> int:
     """1 and 2: hints of phones and accounts, 3-7 parts of numbers by shape, 8 other words with digits, 9 words without."""
     if h := _hint(word):
         return h
-    core = word.strip(_STRIP)[:40]
+    core = word.strip(_STRIP)
     if core.isalpha() or not any("0" <= c <= "9" for c in core):
         return 9
     plain = re.sub(r"[A-Z]", "X", re.sub(r"[0-9]", "9", core))
@@ -121,7 +121,7 @@ def word_class(word: str) -> int:
 
 
 def text_class(text: str) -> int:
-    """1: the whole text speaks of phones or accounts."""
+    """One class for all texts: the words beside a number tell its kind."""
     return 0
 
 

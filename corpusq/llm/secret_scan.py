@@ -46,8 +46,8 @@ _QUOTES = "\"'`,;()[]{}<>"
 
 
 def _shape(word: str) -> str:
-    kinds = ["X" if r[0].isupper() and r.isascii() else "x" if r.isalpha() else "9" if r.isdigit() else r[0] for r in _RUNS.findall(word[:80])]
-    return "".join(k for j, k in enumerate(kinds[:8]) if j == 0 or kinds[j - 1] != k)
+    kinds = ["X" if r[0].isupper() and r.isascii() else "x" if r.isalpha() else "9" if r.isdigit() else r[0] for r in _RUNS.findall(word)]
+    return "".join(k for j, k in enumerate(kinds) if j == 0 or kinds[j - 1] != k)
 
 
 def _bits(word: str) -> float:
@@ -65,20 +65,19 @@ def _hint(word: str) -> str | None:
 
 def own_features(word: str) -> list[str]:
     core = word.strip(_QUOTES)
-    head = core[:200]
-    upper, lower = head != head.lower(), head != head.upper()
-    digit = not head.isalpha() and any(map(str.isdigit, head))
-    mixed = sum(a.isdigit() != b.isdigit() for a, b in zip(core[:60], core[1:60])) if digit else 0
+    upper, lower = core != core.lower(), core != core.upper()
+    digit = not core.isalpha() and any(map(str.isdigit, core))
+    mixed = sum(a.isdigit() != b.isdigit() for a, b in zip(core, core[1:])) if digit else 0
     size = min(len(core), 64).bit_length() if len(core) < 20 else 5 + len(core) // 20 if len(core) < 100 else 10
     found = ["bias", f"size={size}", f"case={upper:d}{lower:d}{digit:d}", f"mixed={min(mixed, 6)}"]
     if len(core) >= 8 and (digit or not core.isalpha()):
-        found.append(f"bits={int(2 * _bits(core[:100]))}/{size}")
+        found.append(f"bits={int(2 * _bits(core))}/{size}")
         found.append(f"dense={upper + lower + digit}/{size}/{min(mixed, 3)}")
     if word.isalpha():
         found.append("word")
     else:
         found.append("shape=" + _shape(word))
-        found.append("marks=" + "".join(sorted({c for c in core[:100] if not c.isalnum()}))[:6])
+        found.append("marks=" + "".join(sorted({c for c in core if not c.isalnum()})))
     if h := _hint(word):
         found.append("hint=" + h)
         found.append("hint+" + word[-1:])

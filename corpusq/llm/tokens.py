@@ -20,7 +20,8 @@ from corpusq.llm.texts import flat_map_texts
 # Remembered words of a task (about 200 bytes each).
 CACHE = 600_000
 
-_PLAIN = re.compile(r"([^\W\d_]+)([^\w\s']*)")
+# Letters, then marks. The digits and fractions ² ³ ¹ ¼ ½ ¾ are word characters too, but the tokenizer splits them from letters.
+_PLAIN = re.compile(r"([^\W\d_²³¹¼½¾]+)([^\w\s']*)")
 _loaded: dict[str, WordTokens] = {}
 
 

@@ -65,6 +65,14 @@ def test_ids_are_the_tokenizers(documents):
         assert np.frombuffer(raw, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_every_latin_character_in_every_place():
+    encoder, plain = tokens.WordTokens(tokens.default_tokenizer()), Tokenizer.from_file(tokens.default_tokenizer())
+    texts = [word for c in map(chr, range(0x180)) for word in (c, f"{c}ab", f"a{c}b", f"ab{c}", f"ab{c}{c}", f"Ab{c}.", f"{c}1{c}", f"ab{c} cd")]
+    texts += ["Fläche 12 km² und 5 m² groß", "CO² x¹ ab½ ¼ll ¾ 2³"]
+    for text, raw in zip(texts, encoder.ids(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_query(spark, documents):
     found = QUERIES["op8_certified_packing"](spark, SF).toPandas()
     plain = Tokenizer.from_file(tokens.default_tokenizer())

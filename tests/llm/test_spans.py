@@ -156,3 +156,12 @@ def test_odd_rows(odd, none):
 def test_spans_beside():
     taken = [("a", 5, 10), ("b", 0, 6), ("c", 20, 21)]
     assert crf.beside([("x", 9, 12), ("x", 10, 20), ("x", 19, 22), ("x", 30, 31)], taken) == [("x", 10, 20), ("x", 30, 31)]
+
+
+def test_features_read_whole_words():
+    """What stands behind a long start of a word counts as much as what stands in front."""
+    for module in (pii, secret_scan):
+        for start in ("b" * 500, "é" * 90, "." * 300):
+            assert module.own_features(start + "7") != module.own_features(start)
+            assert module.own_features(start + "-9x" * 12) != module.own_features(start + "-9x" * 11)
+    assert pii.word_class("b" * 100 + "5") == 8 and pii.word_class("b" * 100) == 9
