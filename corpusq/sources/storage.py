@@ -39,6 +39,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """As ``materialize``, with the rows in files by the hash of a column.
+
+    A join or aggregation by that column over as many partitions then reads the rows where they
+    lie and shuffles the other side only. The catalog knows the table just while it is opened.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    table = f"corpusq_{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").option("path", path).bucketBy(buckets, column).saveAsTable(table)
+    opened = spark.table(table)
+    opened.schema  # noqa: B018  resolved before its name goes
+    spark.sql(f"DROP TABLE {table}")
+    return opened
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or directory exists on the Hadoop file system of its path."""
     fs, target = _on_file_system(spark, path)
