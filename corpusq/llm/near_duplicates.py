@@ -19,7 +19,6 @@ sampling finds is lost to the choice of the centre.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,11 +26,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import WordHashes, mix, share_code, shingles
-from corpusq.sources.storage import materialize
+from corpusq.llm.texts import WordHashes, give_back, mix, share_code, shingles
+from corpusq.sources.storage import materialize, materialize_bucketed
 
 
 @dataclass(frozen=True)
@@ -162,21 +162,24 @@ _LEAST_PART_BITS = 8
 
 
 def _packed(usable: DataFrame) -> DataFrame:
-    """Different texts in chunks: key, id, copies and text of each as lists; the smallest id of a text's rows."""
+    """Different texts in chunks: key, id, copies and text of each as lists; the smallest id of a text's rows.
+
+    Chunks have numbers and lie in files by their hash, so that what is joined to them moves and the texts do not.
+    """
     share_code(usable.sparkSession)
     texts = usable.select("id", text_key().alias("key"), "text").groupBy("key").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("text").alias("text")
     )
     kinds = dict(texts.dtypes)
-    schema = "chunk string, bytes bigint, rows bigint, " + ", ".join(f"{c} array<{kinds[c]}>" for c in ("key", "id", "copies", "text"))
+    schema = "chunk bigint, bytes bigint, rows bigint, " + ", ".join(f"{c} array<{kinds[c]}>" for c in ("key", "id", "copies", "text"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
 
         def row() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             lists = [pa.ListArray.from_arrays(pa.array([0, whole.num_rows], pa.int32()), whole.column(c)) for c in ("key", "id", "copies", "text")]
-            front = [pa.array([uuid.uuid4().hex]), pa.array([size], pa.int64()), pa.array([sum(whole.column("copies").to_pylist())], pa.int64())]
+            front = [pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([sum(whole.column("copies").to_pylist())], pa.int64())]
             return pa.RecordBatch.from_arrays([*front, *lists], names=["chunk", "bytes", "rows", "key", "id", "copies", "text"])
 
         for batch in batches:
@@ -185,13 +188,14 @@ def _packed(usable: DataFrame) -> DataFrame:
                 if size and size + n > CHUNK_BYTES:
                     held.append(batch.slice(start, k - start))
                     yield row()
-                    held, size, start = [], 0, k
+                    held, size, start, number = [], 0, k, number + 1
                 size += n
             held.append(batch.slice(start))
         if held:
             yield row()
 
-    return materialize(texts.mapInArrow(pack, schema), "packed")
+    buckets = int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize_bucketed(texts.mapInArrow(pack, schema), "packed", "chunk", buckets)
 
 
 def _frequencies(packed: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
@@ -216,7 +220,10 @@ def _frequencies(packed: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
                 full = np.flatnonzero(edges[1:] > edges[:-1])
                 spans = [slice(edges[p], edges[p + 1]) for p in full]
                 columns = [[batch.column(0)[k].as_py()] * len(full), full.tolist(), [_squeezed(grams[x]) for x in spans], [n[x].tobytes() for x in spans]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "part", "grams", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "part", "grams", "n"])
+                del each, grams, where, n, columns
+        del bags
+        give_back()
 
     def add(table: pa.Table) -> pa.Table:
         packs, counts = table["grams"].to_pylist(), table["n"].to_pylist()
@@ -230,8 +237,8 @@ def _frequencies(packed: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
         left = table.take(pa.array(some, pa.int64()))
         return pa.table({"chunk": left["chunk"], "part": left["part"], "grams": left["grams"], "df": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
-    rows_ = packed.select("chunk", "copies", "text").mapInArrow(cut, "chunk string, part int, grams binary, n binary")
-    return rows_.groupBy("part").applyInArrow(add, "chunk string, part int, grams binary, df binary"), bits, int(rows or 0)
+    rows_ = packed.select("chunk", "copies", "text").mapInArrow(cut, "chunk bigint, part int, grams binary, n binary")
+    return rows_.groupBy("part").applyInArrow(add, "chunk bigint, part int, grams binary, df binary"), bits, int(rows or 0)
 
 
 def _edges(grams: np.ndarray, bits: int) -> np.ndarray:
@@ -341,6 +348,9 @@ def _classed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
                 bags.hashes.trim()
                 columns = [keys.values, ids.values, copies.values, pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.binary()), pa.array(dfs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "copies", "bands", "samples", "df"])
+                del each, grams, where, all_df, dfs, columns
+        del bags
+        give_back()
 
     whole = packed.select("chunk", "key", "id", "copies", "text").join(stretches, "chunk", "left").drop("chunk")
     kind = docs.schema["id"].dataType.simpleString()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -37,6 +38,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def give_back() -> None:
+    """At the end of a task: return freed memory to the system, for workers live on and later stages need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(
     docs: DataFrame,
     keep: list[str],
@@ -47,7 +56,7 @@ def map_texts(
     """Columns computed from whole texts, behind the kept columns; one row per input row.
 
     ``make`` runs once per task and returns a function from texts to named
-    columns. Null texts arrive as "". ``schema`` names and types the new columns; a
+    columns; what it remembers goes with the task. Null texts arrive as "". ``schema`` names and types the new columns; a
     kept column of the same name gives way.
     """
     share_code(docs.sparkSession)
@@ -65,6 +74,9 @@ def map_texts(
                 arrays = [part.column(k) for k in range(len(keep))]
                 arrays += [pa.array(found[n], type=t) for n, t in types.items()]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *types])
+                del texts, found, arrays
+        del work
+        give_back()
 
     return rows.mapInArrow(run, out)
 
@@ -76,7 +88,7 @@ def flat_map_texts(
     schema: str,
     text: str = "text",
 ) -> DataFrame:
-    """As ``map_texts``, with any number of rows per text: the function also returns each row's text number."""
+    """As ``map_texts``, with any number of rows per text: the function also returns each row's text number; its ``done``, if any, is called at the end of a task."""
     share_code(docs.sparkSession)
     keep = _beside(keep, schema)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
@@ -94,6 +106,11 @@ def flat_map_texts(
                     arrays = [part.column(k).take(at) for k in range(len(keep))]
                     arrays += [pa.array(found[n], type=t) for n, t in types.items()]
                     yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *types])
+                    del arrays
+                del texts, found
+        getattr(work, "done", lambda: None)()
+        del work
+        give_back()
 
     return rows.mapInArrow(run, out)
 
@@ -110,6 +127,9 @@ def map_rows(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch, list[
                 left = work(part, texts)
                 if left.num_rows:
                     yield left
+                del left, texts
+        del work
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

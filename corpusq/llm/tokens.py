@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 
 from corpusq.llm.texts import flat_map_texts
 
-# Remembered words of a task (about 200 bytes each).
-CACHE = 600_000
+# Remembered words of a call (about 200 bytes each), and of a worker between tasks.
+CACHE, KEPT = 400_000, 100_000
 
 # Letters, then marks. The digits and fractions ² ³ ¹ ¼ ½ ¾ are word characters too, but the tokenizer splits them from letters.
 _PLAIN = re.compile(r"([^\W\d_²³¹¼½¾]+)([^\w\s']*)")
@@ -55,11 +55,14 @@ class WordTokens:
         self.words: dict[str, bytes] = {"": b""}
         self.cores: dict[str, bytes] = {"": b""}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE:
+    def forget(self, limit: int = KEPT) -> None:
+        if len(self.words) > limit:
             self.words = {"": b""}
-        if len(self.cores) > CACHE:
+        if len(self.cores) > limit:
             self.cores = {"": b""}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        self.forget(CACHE)
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known, new = self.words, set()
         for words in split:
@@ -133,6 +136,7 @@ def token_pieces(docs: DataFrame, keep: list[str], capacity: int, tokenizer: str
                     crc.append(zlib.crc32(part))
             return at, {"piece": piece, "start": start, "length": length, "ids_crc32": crc}
 
+        work.done = encoder.forget
         return work
 
     return flat_map_texts(docs, keep, make, "piece int, start bigint, length bigint, ids_crc32 bigint")
