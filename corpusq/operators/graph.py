@@ -33,11 +33,13 @@ def pagerank(
         return nodes.select("doc_id", F.lit(None).cast("double").alias("pr"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slotted = _slotted(edges, nodes).repartition(partitions, "src", "slot").persist()
-    slotted.count()  # the layout of the kept links is known to the planner from now on
-    state = nodes.withColumn("pr", F.lit(1.0 / total))
-    for _ in range(steps):
-        state = materialize(_step(state, slotted, total, damping), "ranks")
-    slotted.unpersist()
+    try:
+        slotted.count()  # the layout of the kept links is known to the planner from now on
+        state = nodes.withColumn("pr", F.lit(1.0 / total))
+        for _ in range(steps):
+            state = materialize(_step(state, slotted, total, damping), "ranks")
+    finally:
+        slotted.unpersist()
     return state.select("doc_id", "pr")
 
 

@@ -7,6 +7,7 @@ Layout below the index path::
     term_stats/batch=N/field=F/bucket=B/   term, df, cf: what the batch adds to them
     block_bounds/batch=N/field=F/bucket=B/ term, block and bounds of tf and dl, of the batch's dense terms
     lemmas/batch=N/, stop_words/batch=N/   word tables, of the batch that set them
+    by_document/batch=N/field=F/           a second copy of all postings in files by document, if wanted
     corpus_stats/gen=N/                    one row: totals, live batches, how the index was analysed
 
 A generation is a row of ``corpus_stats``, written last; it names the batches that are
@@ -30,12 +31,13 @@ from functools import cached_property
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusq.functions.text import STOP_WORDS, term_bucket, term_bucket_of
 from corpusq.functions.weights import ratio
 from corpusq.operators import postings as P
 from corpusq.operators.joins import sized_join
-from corpusq.sources.storage import delete_path, names_in, path_exists
+from corpusq.sources.storage import delete_path, names_in, path_exists, read_bucketed, write_bucketed
 
 NUM_BUCKETS = 124
 
@@ -47,11 +49,14 @@ LITERAL_TERMS = 1_000
 # Documents of a block, on average; a block is a span of ids chosen per batch.
 BLOCK_DOCS = 64
 
+# Postings of a file of the layout by document.
+SEGMENT_ROWS = 20_000_000
+
 # A term has bounds per block if it is in more than one of so many documents of a batch; others have
 # hardly more postings than blocks.
 DENSE_SHARE = 16
 
-TABLES = ("corpus_stats", "term_stats", "block_bounds", "postings", "doc_terms", "lemmas", "stop_words")
+TABLES = ("corpus_stats", "term_stats", "block_bounds", "postings", "doc_terms", "by_document", "lemmas", "stop_words")
 
 POSTINGS_SCHEMA = "term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT, batch INT, field STRING, bucket INT"
 TERM_STATS_SCHEMA = "term STRING, df BIGINT, cf BIGINT, batch INT, field STRING, bucket INT"
@@ -271,6 +276,33 @@ def compact_index(index: Index) -> Index:
     return open_index(spark, index.path)
 
 
+def lay_out_by_document(index: Index, field: str, segments: int | None = None) -> None:
+    """Store the postings of a field a second time, in ``segments`` files by the hash of the document, sorted by term.
+
+    All postings of a document are then read by one task, so that its score is
+    complete without a shuffle of matches. The copy belongs to this generation; a grown or
+    rebuilt index needs a new one.
+    """
+    rows = index.all_postings.where(F.col("field") == field).select("bucket", "term", "doc_id", "tf", "dl")
+    if segments is None:
+        segments = max(rows.count() // SEGMENT_ROWS + 1, index.doc_terms.sparkSession.sparkContext.defaultParallelism)
+    path = f"{index.path}/by_document/batch={index.gen}/field={field}"
+    delete_path(rows.sparkSession, f"{index.path}/by_document/batch={index.gen}/segments-{field}")
+    write_bucketed(rows.repartition(segments, "doc_id"), path, "doc_id", segments, ("bucket", "term"))
+    # Written last: without it the copy does not exist.
+    rows.sparkSession.range(1).select(F.lit(segments).alias("segments")).write.parquet(f"{index.path}/by_document/batch={index.gen}/segments-{field}")
+
+
+def postings_by_document(index: Index, field: str) -> DataFrame | None:
+    """``(field, bucket, term, doc_id, tf, dl)`` of such a copy, None if this generation has none."""
+    spark, base = index.doc_terms.sparkSession, f"{index.path}/by_document/batch={index.gen}"
+    if not path_exists(spark, f"{base}/segments-{field}"):
+        return None
+    segments = spark.read.schema("segments INT").parquet(f"{base}/segments-{field}").first().segments
+    schema = StructType.fromDDL("bucket INT, term STRING, doc_id BIGINT, tf BIGINT, dl BIGINT")
+    return read_bucketed(spark, f"{base}/field={field}", schema, "doc_id", segments).withColumn("field", F.lit(field))
+
+
 def clean_index(spark: SparkSession, path: str, keep: int = 1) -> None:
     """Remove all but the last ``keep`` generations, and the batches that none of those left names.
 
@@ -280,7 +312,7 @@ def clean_index(spark: SparkSession, path: str, keep: int = 1) -> None:
     rows = sorted(stored.select("gen", "batches.no", "stop_batch", "lemma_batch").collect(), key=lambda r: -r.gen)
     for row in rows[keep:]:
         delete_path(spark, f"{path}/corpus_stats/gen={row.gen}")
-    left = {f"batch={no}" for r in rows[:keep] for no in [*r.no, r.stop_batch, r.lemma_batch]}
+    left = {f"batch={no}" for r in rows[:keep] for no in [*r.no, r.gen, r.stop_batch, r.lemma_batch]}
     for table in TABLES[1:]:
         for name in set(names_in(spark, f"{path}/{table}")) - left:
             if name.startswith("batch="):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusq.sources.storage import materialize
+
 # A broadcast side holds at most this many rows. Rows are an id or a term of at
 # most 50 characters plus a few numbers, so the table stays under about 100 MB.
 BROADCAST_ROWS = 500_000
@@ -12,6 +14,9 @@ BROADCAST_ROWS = 500_000
 # Beyond that, a key is spread over one task for so many of its rows.
 ROWS_PER_SALT = 2_000_000
 
+# A key that is looked up more often is joined by broadcast.
+HOT_LOOKUPS = 100_000
+
 # Inputs of fewer splits are dealt out, whatever the number of cores.
 FEW_SPLITS = 256
 
@@ -78,12 +83,27 @@ def lookup(rows: DataFrame, key: str, *tables: DataFrame) -> DataFrame:
     An outer join cannot broadcast the side it preserves, so the plain join would
     shuffle the whole table. Instead the wanted keys are broadcast to cut every
     table down first. ``rows`` should be cheap to read several times. With too many
-    keys to broadcast the joins are plain ones, where adaptive execution splits
-    the partitions of keys that occur very often in ``rows``.
+    keys to broadcast the joins are shuffles, for all rows but those of keys that are asked for
+    more than ``HOT_LOOKUPS`` times: their few table rows are broadcast. Rows
+    without a key have no partner and are not joined.
     """
     keys = rows.select(key).distinct()
-    small = fits_broadcast(rows) or fits_broadcast(keys)
+    if fits_broadcast(rows) or fits_broadcast(keys):
+        for table in tables:
+            rows = rows.join(table.join(F.broadcast(keys), key, "left_semi"), key, "left")
+        return rows
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_times"))
+    hot = materialize(counts.where(F.col("_times") > HOT_LOOKUPS).select(key), "hot_keys")
+    keyed, parts = rows.where(F.col(key).isNotNull()), []
+    if not hot.isEmpty() and fits_broadcast(hot):
+        often = keyed.join(F.broadcast(hot), key, "left_semi")
+        for table in tables:
+            often = often.join(F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key, "left")
+        parts, keyed = [often], keyed.join(F.broadcast(hot), key, "left_anti")
+    none = rows.where(F.col(key).isNull())
     for table in tables:
-        wanted = table.join(F.broadcast(keys), key, "left_semi") if small else table
-        rows = rows.join(wanted, key, "left")
-    return rows
+        keyed = keyed.join(table, key, "left")
+        none = none.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != key])
+    for part in [*parts, none]:
+        keyed = keyed.unionByName(part)
+    return keyed

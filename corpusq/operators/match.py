@@ -77,7 +77,9 @@ def known_terms(index: Index, terms: QueryTerms, field: str) -> DataFrame:
     return sized_join(terms.rows, stats, ["term"], spread="query_id")
 
 
-def matches(index: Index, weighted: DataFrame, terms: QueryTerms, field: str) -> DataFrame:
+def matches(
+    index: Index, weighted: DataFrame, terms: QueryTerms, field: str, postings: DataFrame | None = None
+) -> DataFrame:
     """Postings of weighted query terms, one row per query, document and term.
 
     ``weighted`` has ``query_id``, ``term`` and any weights, at most one row per
@@ -86,7 +88,8 @@ def matches(index: Index, weighted: DataFrame, terms: QueryTerms, field: str) ->
     is spread over several tasks by document. Terms that ``min_df`` hides are
     taken out of the queries, not out of the postings.
     """
-    return postings_of_terms(index, index.all_postings, weighted, terms, field).select(*weighted.columns, "doc_id", "tf", "dl")
+    postings = index.all_postings if postings is None else postings
+    return postings_of_terms(index, postings, weighted, terms, field).select(*weighted.columns, "doc_id", "tf", "dl")
 
 
 def postings_of_terms(index: Index, postings: DataFrame, weighted: DataFrame, terms: QueryTerms, field: str) -> DataFrame:

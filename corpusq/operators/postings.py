@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -160,6 +160,34 @@ def posting_lists(postings: DataFrame, block_span: int = BLOCK_SPAN) -> DataFram
     )
 
 
+def equal_posting_lists(postings: DataFrame, size: int = BLOCK_SPAN) -> DataFrame:
+    """``(term, block, postings)``: posting lists sorted by document id, in blocks of equal numbers of rows.
+
+    A list of up to ``size`` rows is one block; a longer one is cut into as few blocks as hold
+    it, which differ by one row at most, however its ids are spread. Only long lists are
+    numbered: they are range-partitioned and written, each stretch of a list is
+    numbered on its own, and its rows in earlier partitions are added. ``postings`` is read several times,
+    so pass a stored table.
+    """
+    pair = F.struct("doc_id", "tf")
+    rows = postings.select("term", "doc_id", "tf")
+    # One row per `size` postings at most.
+    long = materialize(rows.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") > size), "long_lists")
+    short = sized_join(rows, long.select("term"), ["term"], "left_anti", spread="doc_id").withColumn("block", F.lit(0).cast("bigint"))
+    parts = sized_join(rows, long, ["term"], spread="doc_id", rows="df").repartitionByRange("term", "doc_id")
+    parts = materialize(parts.withColumn("_part", F.spark_partition_id()), "long_postings")
+    before = Window.partitionBy("term").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("term", "_part").agg(F.count("*").alias("_rows"))
+    offsets = counts.select("term", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("term", "_part").orderBy("doc_id")) - 1
+    numbered = parts.withColumn("_place", place).join(offsets, ["term", "_part"])
+    blocks = F.ceil(F.col("df") / F.lit(size))
+    block = F.floor((F.col("_place") + F.col("_before")) * blocks / F.col("df")).cast("bigint")
+    cut = numbered.select("term", "doc_id", "tf", block.alias("block"))
+    both = short.unionByName(cut)
+    return both.groupBy("term", "block").agg(F.sort_array(F.collect_list(pair)).alias("postings"))
+
+
 def document_norms(postings: DataFrame, term_stats: DataFrame, n: int) -> DataFrame:
     """``(doc_id, norm, weight_norm)``: vector lengths of the documents of one field.
 

@@ -78,11 +78,13 @@ def bm25_scores(
     *,
     stop: P.StopWords | None = None,
     doc_len: DataFrame | None = None,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` of every candidate, rounded to 4 places.
 
     Lengths are those stored with the postings; ``doc_len(doc_id, dl)`` replaces
-    them. A document of unknown length counts as empty.
+    them. A document of unknown length counts as empty. ``postings`` is another copy of the index's
+    postings, as ``postings_by_document`` opens: with it and a batch that can be broadcast, matches are not shuffled.
     """
     terms = terms_for(index, queries, stop)
     n, avg_dl = index.n, index.avg_dl
@@ -91,7 +93,7 @@ def bm25_scores(
     weighted = known_terms(index, terms, field).select(
         "query_id", "term", "df", (F.col("qtf") * idf_bm25(float(n), F.col("df"))).alias("weight")
     )
-    rows = matches(index, weighted, terms, field)
+    rows = matches(index, weighted, terms, field, postings)
     if doc_len is not None:
         rows = rows.drop("dl").join(doc_len.select("doc_id", "dl"), "doc_id", "left")
     else:

@@ -311,6 +311,11 @@ ORACLE: dict[str, str] = {
         f"SELECT term, doc_id // {BLOCK} AS block, string_agg(doc_id || ':' || tf, ' ' ORDER BY doc_id) AS postings "
         "FROM post GROUP BY ALL"
     ),
+    "posting_lists_equal": _with(
+        "SELECT term, (place * blocks // df)::bigint AS block, string_agg(id || ':' || tf, ' ' ORDER BY id) AS postings "
+        "FROM (SELECT *, doc_id * 65536000003 AS id, (df + 49) // 50 AS blocks, "
+        "row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1 AS place FROM post JOIN stats USING (term)) GROUP BY ALL"
+    ),
     "term_lookup": _with("SELECT query_id, term, doc_id, tf FROM q JOIN post USING (term)"),
     "tokenize": _with(
         "SELECT doc_id, (unnest(range(len(t))))::int AS pos, unnest(t) AS term FROM "
@@ -340,6 +345,9 @@ ORACLE: dict[str, str] = {
     "doc_norms": _with(
         f"SELECT doc_id, {_half_even('norm', 6)} AS norm, {_half_even('weight_norm', 6)} AS weight_norm FROM norm"
     ),
+    "norms_after_append": _with(
+        f"SELECT doc_id, {_half_even('norm', 6)} AS norm, {_half_even('weight_norm', 6)} AS weight_norm FROM norm"
+    ),
     "index_append": _with("SELECT term, df, cf, n, total_len FROM stats CROSS JOIN total"),
     "index_append_tokens": _with("SELECT term, doc_id, tf, dl FROM post JOIN len USING (doc_id)"),
     "index_append_three_fields": _with(
@@ -396,6 +404,7 @@ ORACLE: dict[str, str] = {
     "candidates": _with("SELECT DISTINCT query_id, doc_id FROM q JOIN post USING (term)"),
     "bm25_scores": _with(_bm25("post", "stats", "len", "total", 1.5, 0.75)),
     "bm25_topk": _with("SELECT query_id, doc_id, score, rank FROM result"),
+    "bm25_topk_by_document": _with("SELECT query_id, doc_id, score, rank FROM result"),
     "bm25_topk_pruned": _with(_top("body25", 10)),
     "title_tf_sum": _with(_top(f"({_match('t_post', 'sum(qtf * tf)')})", 100)),
     "title_distinct": _with(_every(f"({_match('t_post', 'count(*)')})")),

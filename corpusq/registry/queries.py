@@ -17,6 +17,7 @@ from corpusq.functions.weights import half_even, idf, idf_bm25
 from corpusq.operators import evaluate as E
 from corpusq.operators import fuse, graph, match, rank
 from corpusq.operators import index as ix
+from corpusq.operators import norms as N
 from corpusq.operators import postings as P
 from corpusq.operators.joins import sized_join, spread
 from corpusq.operators.numbering import number_values
@@ -24,7 +25,7 @@ from corpusq.plans import search as S
 from corpusq.registry import fixtures as fx
 from corpusq.sources import corpus as C
 from corpusq.sources import tables as T
-from corpusq.sources.storage import fresh_path
+from corpusq.sources.storage import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +128,14 @@ def posting_lists(spark, sf):
     return lists.select("term", "block", _joined("postings", "doc_id", "tf"))
 
 
+@register
+def posting_lists_equal(spark, sf):
+    """Lists of ids that lie far apart, in blocks of up to 50 rows."""
+    postings = fx.documents_index(spark, sf).postings.withColumn("doc_id", F.col("doc_id") * 65_536_000_003)
+    lists = P.equal_posting_lists(postings, 50)
+    return lists.select("term", "block", _joined("postings", "doc_id", "tf"))
+
+
 @register
 def term_lookup(spark, sf):
     index = fx.documents_index(spark, sf)
@@ -242,6 +251,17 @@ def doc_norms(spark, sf):
     return fx.norms(spark, sf).select("doc_id", _six("norm"), _six("weight_norm"))
 
 
+@register
+def norms_after_append(spark, sf):
+    """Norms brought up to date from the terms that an append has changed."""
+    docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
+    base = ix.write_index(docs.where("not lang <=> 'de'"), path, ["body"], num_buckets=fx.NUM_BUCKETS)
+    sums = materialize(N.norm_sums(base), "norm_sums")
+    grown = ix.append_documents(base, docs.where("lang <=> 'de'"))
+    found = N.norms_of(N.norm_sums_after_append(sums, base, grown), grown.n)
+    return found.select("doc_id", _six("norm"), _six("weight_norm"))
+
+
 @register
 def index_append(spark, sf):
     docs, path = fx.documents(spark, sf), fresh_path(spark, "grown")
@@ -431,6 +451,16 @@ def bm25_topk_pruned(spark, sf):
     return rank.bm25(fx.documents_index(spark, sf), fx.queries(spark, sf), "body", BODY_BM25, 10, prune=True)
 
 
+@register
+def bm25_topk_by_document(spark, sf):
+    """Scores from postings laid out by document, without a shuffle of matches."""
+    index = fx.documents_index(spark, sf)
+    if ix.postings_by_document(index, "body") is None:
+        ix.lay_out_by_document(index, "body")
+    scores = rank.bm25_scores(index, fx.queries(spark, sf), "body", BODY_BM25, postings=ix.postings_by_document(index, "body"))
+    return rank.top_k(scores, 100)
+
+
 @register
 def title_tf_sum(spark, sf):
     return rank.term_match(fx.pages_index(spark, sf), fx.queries(spark, sf), "title", "tf_sum")

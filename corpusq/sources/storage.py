@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own_dirs: dict[str, str] = {}
 
@@ -54,6 +55,25 @@ def materialize_bucketed(df: DataFrame, name: str, column: str, buckets: int) ->
     return opened
 
 
+def write_bucketed(df: DataFrame, path: str, column: str, buckets: int, order: tuple[str, ...] = ()) -> None:
+    """Write files by the hash of a column, sorted inside."""
+    table = f"corpusq_{uuid.uuid4().hex}"
+    writer = df.write.mode("overwrite").option("path", path).bucketBy(buckets, column)
+    (writer.sortBy(*order) if order else writer).saveAsTable(table)
+    df.sparkSession.sql(f"DROP TABLE {table}")
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: StructType, column: str, buckets: int) -> DataFrame:
+    """Open such files in any session. The catalog knows the table only while it is opened."""
+    table = f"corpusq_{uuid.uuid4().hex}"
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({schema.toDDL()}) USING parquet CLUSTERED BY ({column}) INTO {buckets} BUCKETS LOCATION '{place}'")
+    opened = spark.table(table)
+    opened.schema  # noqa: B018  resolved before its name goes
+    spark.sql(f"DROP TABLE {table}")
+    return opened
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or directory exists on the Hadoop file system of its path."""
     fs, target = _on_file_system(spark, path)
