@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusq.operators.joins import sized_join
 from corpusq.sources.storage import fresh_path, materialize
 
 MAGIC = b"\x1f\x8b\x08"
@@ -46,8 +47,8 @@ def write_archives(pages: DataFrame, folder: str, id_: str = "page_id", uri: str
     is the response and the others revisit it. Rows of the same id and payload are
     all responses if that id is the largest. A null html is an empty payload; a
     null id is written as a response with an id of its own. Only the digests of
-    payloads that occur more than once are joined to the pages, so hot payloads
-    are summed before they move. A task writes a file under a name of its own and
+    payloads that occur more than once are joined to the pages: by broadcast while they are few, so that
+    pages do not move, else by a shuffle that spreads payloads of millions of copies. A task writes a file under a name of its own and
     the manifest names the files of tasks that ended, so a repeated or a lost
     task leaves no records behind.
     """
@@ -55,10 +56,13 @@ def write_archives(pages: DataFrame, folder: str, id_: str = "page_id", uri: str
     rows = pages.select(
         F.col(id_).cast("long").alias("id"), F.col(uri).cast("string").alias("uri"), payload.alias("payload"), F.sha1(payload).alias("digest"),
     )
-    large = rows.where((F.octet_length("payload") >= min_revisit) & F.col("id").isNotNull())
-    many = large.groupBy("digest").agg(F.max("id").alias("newest"), F.count("*").alias("n")).where("n > 1").select("digest", "newest")
-    marked = rows.join(many, "digest", "left").withColumn(
-        "refers_to", F.when((F.octet_length("payload") >= min_revisit) & (F.col("id") < F.col("newest")), F.col("newest"))
+    can_repeat = (F.octet_length("payload") >= min_revisit) & F.col("id").isNotNull()
+    many = rows.where(can_repeat).groupBy("digest").agg(F.max("id").alias("newest"), F.count("*").alias("n")).where("n > 1")
+    many = materialize(many.select(F.col("digest").alias("key"), "newest", "n"), "repeated_payloads")
+    # Rows that cannot be revisits are dealt out on keys of their own, which no payload has.
+    key = F.when(can_repeat, F.col("digest")).otherwise(F.concat(F.lit("-"), F.pmod(F.xxhash64("id", "digest"), F.lit(2**20))))
+    marked = sized_join(rows.withColumn("key", key), many, ["key"], "left", spread="id", rows="n").withColumn(
+        "refers_to", F.when(F.col("id") < F.col("newest"), F.col("newest"))
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
