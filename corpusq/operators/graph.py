@@ -11,6 +11,9 @@ from corpusq.sources.storage import materialize
 # A page with more links than this has them spread over several tasks.
 LINKS_PER_SLOT = 100_000
 
+# Rounds between two writes of the ranks.
+ROUNDS_PER_WRITE = 2
+
 
 def pagerank(
     links: DataFrame, steps: int = 10, damping: float = 0.85, links_per_slot: int = LINKS_PER_SLOT
@@ -25,14 +28,9 @@ def pagerank(
     folder after every step: plans stay short, and a lost executor costs at most
     the current step and its share of the laid-out links.
     """
-    spark = links.sparkSession
-    edges = materialize(links.select("src", "dst").distinct().withColumn("slot", F.lit(0)), "links")
-    nodes = _nodes(edges, links_per_slot)
-    total = nodes.count()
+    nodes, slotted, total = _laid_out(links, links_per_slot)
     if total == 0:
         return nodes.select("doc_id", F.lit(None).cast("double").alias("pr"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slotted = _slotted(edges, nodes).repartition(partitions, "src", "slot").persist()
     try:
         slotted.count()  # the layout of the kept links is known to the planner from now on
         state = nodes.withColumn("pr", F.lit(1.0 / total))
@@ -43,6 +41,34 @@ def pagerank(
     return state.select("doc_id", "pr")
 
 
+def pagerank_to_tolerance(
+    links: DataFrame, tolerance: float = 1e-8, damping: float = 0.85, links_per_slot: int = LINKS_PER_SLOT
+) -> DataFrame:
+    """``(doc_id, pr)`` that differ from the limit of all steps by less than ``tolerance`` in total.
+
+    The limit is in proportion to the solution y of ``y = 1 + damping * (what pages with links send of y)``:
+    giving the rank of pages without links to all evenly only changes the factor. Each page keeps what it has of y and a
+    rest that it has not sent on yet. In a round only pages whose rest is above a limit take it over into y
+    and send it along their links, so that later rounds move the rows of fewer and fewer pages. What is left of
+    all rests when none is above the limit bounds the error.
+    """
+    nodes, slotted, total = _laid_out(links, links_per_slot)
+    if total == 0:
+        return nodes.select("doc_id", F.lit(None).cast("double").alias("pr"))
+    least = tolerance * (1.0 - damping)
+    try:
+        slotted.count()
+        state = nodes.withColumn("y", F.lit(0.0)).withColumn("rest", F.lit(1.0))
+        while not state.where(F.col("rest") > least).isEmpty():
+            for _ in range(ROUNDS_PER_WRITE):
+                state = _push(state, slotted, damping, least)
+            state = materialize(state, "ranks")
+    finally:
+        slotted.unpersist()
+    whole = state.agg(F.sum("y")).first()[0]
+    return state.select("doc_id", (F.col("y") / F.lit(whole)).alias("pr"))
+
+
 def monthly_page_views(views: DataFrame) -> DataFrame:
     """``(doc_id, month, views)`` from ``views(doc_id, ts)``, one row per view."""
     return views.groupBy("doc_id", F.trunc("ts", "month").alias("month")).agg(F.count("*").alias("views"))
@@ -58,6 +84,15 @@ def total_page_views(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("doc_id").agg(F.sum("views").alias("views"))
 
 
+def _laid_out(links: DataFrame, links_per_slot: int) -> tuple[DataFrame, DataFrame, int]:
+    """Pages, their different links laid out by source and kept, and how many pages there are."""
+    spark = links.sparkSession
+    edges = materialize(links.select("src", "dst").distinct().withColumn("slot", F.lit(0)), "links")
+    nodes = _nodes(edges, links_per_slot)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return nodes, _slotted(edges, nodes).repartition(partitions, "src", "slot").persist(), nodes.count()
+
+
 def _nodes(edges: DataFrame, links_per_slot: int) -> DataFrame:
     """``(doc_id, links, slots)``: every page, its links, the tasks they take."""
     ends = edges.select(F.col("src").alias("doc_id"), F.lit(1).alias("out")).unionByName(
@@ -80,18 +115,26 @@ def _slotted(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _step(state: DataFrame, slotted: DataFrame, total: int, damping: float) -> DataFrame:
-    """One power iteration. Only pages with several slots are repeated."""
+    """One power iteration."""
     idle = state.agg(F.sum(F.when(F.col("links") == 0, F.col("pr")))).first()[0] or 0.0
-    senders = (
-        state.where(F.col("links") > 0)
-        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-        .select(F.col("doc_id").alias("src"), "slot", (F.col("pr") / F.col("links")).alias("share"))
-    )
-    received = (
-        slotted.join(senders, ["src", "slot"])
-        .groupBy(F.col("dst").alias("doc_id"))
-        .agg(F.sum("share").alias("received"))
-    )
+    received = _received(state.where(F.col("links") > 0), slotted, "pr")
     to_all = (1.0 - damping + damping * idle) / total
     pr = F.lit(to_all) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
     return state.drop("pr").join(received, "doc_id", "left").select("doc_id", "links", "slots", pr.alias("pr"))
+
+
+def _push(state: DataFrame, slotted: DataFrame, damping: float, least: float) -> DataFrame:
+    """One round: rests above the limit are taken over and sent on."""
+    active = F.col("rest") > least
+    received = _received(state.where(active & (F.col("links") > 0)), slotted, "rest")
+    taken = F.when(active, F.col("rest")).otherwise(0.0)
+    rest = F.col("rest") - taken + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+    return state.join(received, "doc_id", "left").select("doc_id", "links", "slots", (F.col("y") + taken).alias("y"), rest.alias("rest"))
+
+
+def _received(senders: DataFrame, slotted: DataFrame, value: str) -> DataFrame:
+    """``(doc_id, received)``: an even share of a page's value along each of its links. Only pages with several slots are repeated."""
+    shares = senders.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).select(
+        F.col("doc_id").alias("src"), "slot", (F.col(value) / F.col("links")).alias("share")
+    )
+    return slotted.join(shares, ["src", "slot"]).groupBy(F.col("dst").alias("doc_id")).agg(F.sum("share").alias("received"))

@@ -288,6 +288,13 @@ def _with_buckets(num_buckets: int, select: str) -> str:
     return whole.replace("\n" + select, f",\n{CRC_TABLE},\nbucketed AS MATERIALIZED ({bucket})\n{select}")
 
 
+def _converged(steps: int) -> str:
+    """Ranks after so many full steps."""
+    base = _with("SELECT doc_id, pr FROM pr0 /* edge degree node */").removesuffix("SELECT doc_id, pr FROM pr0 /* edge degree node */").strip()
+    chain = [f"pr{i} AS MATERIALIZED ({_rank_step(f'pr{i - 1}')})" for i in range(1, steps + 1)]
+    return base + ",\n" + ",\n".join(chain) + f"\nSELECT doc_id, {_half_even('pr', 6)} AS pr FROM pr{steps}"
+
+
 def _metric(name: str) -> str:
     return _with(f"SELECT query_id, {_half_even(name, 6)} AS {name} FROM metric")
 
@@ -452,6 +459,7 @@ ORACLE: dict[str, str] = {
         "SELECT doc_id, strftime(ts, '%Y-%m') AS month, count(*) AS views FROM visit GROUP BY ALL"
     ),
     "pagerank": _with(f"SELECT doc_id, {_half_even('pr', 8)} AS pr FROM {RANKS}"),
+    "pagerank_converged": _converged(100),
     "rel_intersection": _with("SELECT query_id, doc_id, rank FROM hit"),
     "evaluate": _with(
         "SELECT query_id, " + ", ".join(f"{_half_even(m, 6)} AS {m}" for m in METRICS) + " FROM metric"

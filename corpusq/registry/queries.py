@@ -558,6 +558,12 @@ def pagerank(spark, sf):
     return fx.page_rank(spark, sf).select("doc_id", half_even(F.col("pr"), 8).alias("pr"))
 
 
+@register
+def pagerank_converged(spark, sf):
+    found = graph.pagerank_to_tolerance(fx.links(spark, sf), tolerance=1e-8)
+    return found.select("doc_id", half_even(F.col("pr"), 6).alias("pr"))
+
+
 # Evaluation
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpusq.operators import graph
 from corpusq.operators import index as ix
 from corpusq.operators import joins
 from corpusq.operators import norms as N
@@ -100,3 +101,24 @@ def test_lookups_of_hot_ids_are_not_shuffled(spark, monkeypatch):
         assert max(r["count"] for r in sizes) < 1000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_pagerank_to_a_tolerance(spark):
+    """A chain, a hub, a cycle, pages without links and repeated links, against many plain steps."""
+    edges = [(k, k + 1) for k in range(6)] + [(k, 50) for k in range(20, 40)] + [(50, 20), (50, 51), (60, 61), (61, 60), (61, 60), (70, 70)]
+    links = spark.createDataFrame(edges, "src BIGINT, dst BIGINT")
+    known, out = sorted({x for e in edges for x in e}), {}
+    for a, b in set(edges):
+        out.setdefault(a, []).append(b)
+    rank = dict.fromkeys(known, 1 / len(known))
+    for _ in range(300):
+        idle = sum(r for d, r in rank.items() if d not in out)
+        new = dict.fromkeys(known, (0.15 + 0.85 * idle) / len(known))
+        for a, ends in out.items():
+            for b in ends:
+                new[b] += 0.85 * rank[a] / len(ends)
+        rank = new
+    for tolerance in (1e-3, 1e-6):
+        got = dict(graph.pagerank_to_tolerance(links, tolerance, links_per_slot=1).collect())
+        assert got.keys() == rank.keys() and sum(abs(got[d] - rank[d]) for d in known) < tolerance
+    assert graph.pagerank_to_tolerance(links.limit(0)).count() == 0
