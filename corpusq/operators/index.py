@@ -44,7 +44,10 @@ NUM_BUCKETS = 124
 ANCHOR = "anchor"
 
 # At most this many terms become literals of a pushed-down filter.
-LITERAL_TERMS = 1_000
+LITERAL_TERMS = 5_000
+
+# Size of a row group of terms: small enough that most hold none of a batch's terms.
+ROW_GROUP_BYTES = 16 * 2**20
 
 # Documents of a block, on average; a block is a span of ids chosen per batch.
 BLOCK_DOCS = 64
@@ -160,7 +163,7 @@ class Index:
         """Rows of ``postings`` or ``term_stats`` for some terms.
 
         The buckets of the terms prune directories; the terms themselves reach
-        the parquet scan, where the sort order lets whole row groups be skipped.
+        the parquet scan, where sort order and Bloom filters let whole row groups be skipped.
         """
         if terms is None:
             return table
@@ -168,7 +171,7 @@ class Index:
         if len(terms) > LITERAL_TERMS:
             return table
         buckets = sorted({term_bucket_of(t, self.num_buckets) for t in terms})
-        return table.where(F.col("bucket").isin(buckets) & F.col("term").isin(terms))
+        return table.where(F.col("bucket").isin(buckets) & _among(terms))
 
     def posting_list(self, term: str, field: str) -> DataFrame:
         """``(doc_id, tf)`` of one term, by document id; empty if the term is unknown."""
@@ -563,16 +566,29 @@ def _write_doc_terms(doc_terms: DataFrame, path: str, batch: int) -> DataFrame:
     return doc_terms.sparkSession.read.schema(doc_terms.schema).parquet(target)
 
 
-def _write_bucketed(rows: DataFrame, order: list[str], target: str) -> None:
+def _among(terms: Sequence[str]) -> Column:
+    """Whether ``term`` is one of some terms, as one expression: a literal each would be thousands of calls."""
+    if not terms:
+        return F.lit(False)
+    return F.expr("term IN (" + ", ".join(f"CAST(X'{t.encode().hex()}' AS STRING)" for t in terms) + ")")
+
+
+def _write_bucketed(rows: DataFrame, order: list[str], target: str, row_group_bytes: int | None = None) -> None:
     """One directory per bucket, sorted inside the files.
 
     Rebalancing leaves the partition sizes to adaptive execution: a bucket that
     holds a very frequent term is split over many tasks, small ones are joined.
+    Each row group has a Bloom filter of its terms, as large as they need: the bounds of
+    a row group say little about a batch of thousands of terms.
     """
+    row_group_bytes = ROW_GROUP_BYTES if row_group_bytes is None else row_group_bytes
     (
         rows.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", *order)
         .write.mode("overwrite")
+        .option("parquet.block.size", row_group_bytes)
+        .option("parquet.bloom.filter.enabled#term", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("bucket")
         .parquet(target)
     )

@@ -122,3 +122,35 @@ def test_pagerank_to_a_tolerance(spark):
         got = dict(graph.pagerank_to_tolerance(links, tolerance, links_per_slot=1).collect())
         assert got.keys() == rank.keys() and sum(abs(got[d] - rank[d]) for d in known) < tolerance
     assert graph.pagerank_to_tolerance(links.limit(0)).count() == 0
+
+
+def scanned_rows(df):
+    """Rows that the scans of a query without exchanges handed on, all row groups that they read."""
+    df._jdf.collectToPython()
+    todo, found = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        children = plan.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if children.size() == 0:
+            found += plan.metrics().apply("numOutputRows").value()
+    return found
+
+
+def test_thousands_of_terms_read_few_row_groups(spark, tmp_path, monkeypatch):
+    """Bloom filters of the row groups: most hold none of the terms, though these span all of the alphabet."""
+    docs = fx.documents(spark, SF).withColumn(
+        "body",
+        F.concat_ws(" ", "body", F.transform(F.sequence(F.lit(0), F.lit(399)), lambda i: F.concat(F.lit("w"), F.md5(F.concat_ws("-", "doc_id", i)).substr(1, 12)))),
+    )
+    monkeypatch.setattr(ix, "ROW_GROUP_BYTES", 16 * 1024)
+    index = ix.write_index(docs, str(tmp_path / "rows"), ["body"], num_buckets=2)
+    terms = [r.term for r in index.term_stats.where("df = 1").orderBy(F.xxhash64("term")).limit(20).select("term").collect()]
+    batch = terms + [f"w{i:x}-absent" for i in range(3_771)] + ["it's\\", "\"quoted\"", "日本"]
+    found = index.of_terms(index.all_postings, batch)
+    assert sorted(r.term for r in found.collect()) == sorted(terms)
+    assert 0 < scanned_rows(found) < index.all_postings.count() / 2
+    # The same rows as by a join, which literals replace for batches of up to LITERAL_TERMS terms.
+    joined = index.all_postings.join(spark.createDataFrame([(t,) for t in batch], "term STRING"), "term", "left_semi")
+    assert sorted(found.select("term", "doc_id", "tf").collect()) == sorted(joined.select("term", "doc_id", "tf").collect())
+    assert index.of_terms(index.all_postings, []).count() == 0
