@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from corpusq.functions.text import STOP_WORDS
-from corpusq.functions.typed import DATE, TIME
 from corpusq.operators.evaluate import METRICS
 from corpusq.registry.fixtures import LINK, NOT_TEXT, NUM_BUCKETS, PAGERANK_STEPS, TAG, TITLE
+from corpusq.registry.typed_sql import DATE, TIME, TOKEN_CLASS_COUNTS, TYPED_TOKENS
 
 
 def _text(value: str) -> str:
@@ -343,6 +343,8 @@ ORACLE: dict[str, str] = {
         f"SELECT event_id, unnest(regexp_extract_all(strftime(ts, 'seen %-H:%M:%S or %-I.%MPM today'), "
         f"{_text(f'(?i)(?:{TIME})')})) AS time FROM events"
     ),
+    "typed_tokens": TYPED_TOKENS,
+    "token_class_counts": TOKEN_CLASS_COUNTS,
     "term_freq": _with("SELECT term, doc_id, tf FROM post"),
     "doc_freq": _with("SELECT term, df FROM stats"),
     "coll_freq": _with("SELECT term, cf FROM stats"),

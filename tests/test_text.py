@@ -179,3 +179,38 @@ def test_class_counts(spark):
     for row in found.select("text", *typed.class_counts(F.col("found"))).collect():
         counts = Counter(cls for _, cls in python_typed(row.text))
         assert {c: row[c] for c in typed.CLASSES} == {c: counts[c] for c in typed.CLASSES}
+
+
+def test_typed_sql_walks_as_python_does():
+    """The SQL twin on lines that hold every class, dates across blanks, nulls and random mixtures."""
+    import random
+
+    import duckdb
+    from corpusq.registry.typed_sql import TOKEN_CLASS_COUNTS, TYPED_TOKENS
+
+    rng = random.Random(5)
+    parts = [
+        "9", " ", "October", "2021", ",", "a", "'", "-", ".", "%", "(", "\n", "é", "Feb", "12", ":30:05", "PM", "a.m.", "_", "+",
+        "1,234", "x-y", "\t", "日", "\u00a0",
+    ]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(1_000)]
+    texts += [
+        "", None, "9 October 2021,9 October 2021 x", "1 May 2020-1 May 2020-Jun 3, 1999 dogs'\ndogs' 12%",
+        "Feb 26, 2020; 50 percent (42) 9am x9 don't well-known dogs' a 5 Feb26 , 2020 31 January 1999",
+        "3.1415 +12 1,000,000.50 99% 100%! 23:59:59 24:00:00\nNew line 7\n8 eight 28 February 2001",
+    ]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    found = {}
+    for doc_id, token, cls in con.execute(f"SELECT doc_id, token, cls FROM ({TYPED_TOKENS}) ORDER BY doc_id, pos").fetchall():
+        found.setdefault(doc_id, []).append((token, cls))
+    want = {i: python_typed(text) for i, text in enumerate(texts) if text}
+    assert found == want
+    assert {cls for tokens in want.values() for _, cls in tokens} == set(typed.CLASSES)
+    counts = con.execute(f"SELECT doc_id, {', '.join(typed.CLASSES)} FROM ({TOKEN_CLASS_COUNTS})").fetchall()
+    for doc_id, *row in counts:
+        classes = [cls for _, cls in want.get(doc_id, [])]
+        expected = [None] * 7 if texts[doc_id] is None else [classes.count(c) for c in typed.CLASSES]
+        assert row == expected
+    assert len(counts) == len(texts)
