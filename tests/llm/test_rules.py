@@ -162,6 +162,71 @@ def test_banded_alignment_equals_the_full_one():
         assert 7 <= first <= last < 7 + len(text)
 
 
+def full_span(template, words):
+    """As ``full_alignment``, with the first and last word of the text that match; ties go as in the engine."""
+    none = (0, 0, -1, -1)
+    best, above = none, [none] * (len(words) + 1)
+    for t in template:
+        row = [none]
+        for j, w in enumerate(words):
+            s, n, first, _ = above[j]
+            here = (s + 2, n + 1, first if n else j, j) if t == w else (s - 1, *above[j][1:])
+            here = max(here, (above[j + 1][0] - 1, *above[j + 1][1:]), (row[j][0] - 1, *row[j][1:]), key=lambda x: x[0])
+            row.append(here if here[0] > 0 else none)
+            if row[-1][:2] > best[:2]:
+                best = row[-1]
+        above = row
+    return best[1:]
+
+
+def test_license_matches_equal_alignment_with_every_template():
+    """Edited notices against all templates: no other template or coverage than full alignments give, and the nearest of them."""
+    from corpusq.llm.texts import PlainHashes
+
+    rng, hashes = np.random.default_rng(4), PlainHashes()
+    short = [(k, name, body) for k, (name, body) in enumerate(licenses.TEMPLATES) if 9 <= len(hashes.of_text(body)) <= 60]
+    index = licenses.Index(short)
+    texts = []
+    for k in rng.choice(len(short), 25, replace=False).tolist():
+        words = re.findall(r"[^\W_]+", short[k][2])
+        words[int(rng.integers(0, 2))] = "other"
+        words.insert(int(rng.integers(len(words) - 1, len(words))), "more")
+        texts.append(hashes.of_text(" ".join(["start", "of", "a", "file", *words, "and", "its", "end"])))
+    every, nearest = index.all_matches(texts, 0.7), index.nearest(texts, 0.7)
+    for words, found, near in zip(texts, every, nearest):
+        wanted = {}
+        for j, (number, _, _) in enumerate(short):
+            matched, first, last = full_span(index.words[j].tolist(), words.tolist())
+            if matched >= 0.7 * len(index.words[j]) and np.isin(index.needed[j], words[first : last + 1]).all():
+                wanted[number] = matched
+        got = {}
+        for m in found:
+            got[m.template] = max(m.matched, got.get(m.template, 0))
+        # Winnowing answers for templates of which the text has five words in a row.
+        runs = {tuple(words[k : k + 5].tolist()) for k in range(len(words) - 4)}
+        sure = {short[j][0] for j, w in enumerate(index.words) if any(tuple(w[k : k + 5].tolist()) in runs for k in range(len(w) - 4))}
+        assert got.items() <= wanted.items() and wanted.keys() & sure <= got.keys() and got
+        assert licenses._best(near) == licenses._best(found)
+
+
+def test_nearest_of_whole_and_edited_bodies():
+    from corpusq.llm.license_texts import BODIES, MORE_TEMPLATES
+    from corpusq.llm.texts import PlainHashes
+
+    rng, hashes = np.random.default_rng(6), PlainHashes()
+    index = licenses.Index([(k, name, body) for k, (name, body) in enumerate(licenses.TEMPLATES)])
+    bodies = [body for name, body in MORE_TEMPLATES if name in BODIES and 500 < len(body) < 20_000]
+    texts = []
+    for body in bodies:
+        words = [w for w in body.split() if rng.random() > 0.03]
+        at = int(rng.integers(0, len(words)))
+        texts += [body, " ".join(words[:at] + ["inserted"] * 5 + words[at:]), body + " " + bodies[0]]
+    texts = [hashes.of_text(t) for t in texts]
+    for every, near in zip(index.all_matches(texts, 0.7), index.nearest(texts, 0.7)):
+        assert licenses._best(near) == licenses._best(every)
+    assert licenses.Index([]).nearest(texts[:1], 0.7) == [[]]
+
+
 def test_winnowing_keeps_a_fingerprint_of_every_shared_run():
     rng = np.random.default_rng(2)
     for _ in range(50):
