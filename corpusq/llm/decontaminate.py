@@ -24,8 +24,11 @@ SIZE = 5
 SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS = 8, 16
 RADIUS = 31
-# Items of one pass over the documents; more are done in several.
-ITEMS_PER_PASS = 500
+# Items of one pass over the documents, and their characters; more are done in several.
+ITEMS_PER_PASS = 20_000
+CHARS_PER_PASS = 16_000_000
+# Fingerprints that are looked up together.
+PRINTS = 256
 
 SCHEMA = "item_id bigint, similarity double, distance int, first_word bigint, n_words bigint, start bigint, end bigint"
 _SALT = np.uint64(0xA5A5A5A55A5A5A5A)
@@ -62,56 +65,76 @@ def _counted(grams: np.ndarray) -> dict[int, int]:
 
 
 class Items:
-    """Items by their shingles and by the blocks of their fingerprints."""
+    """Items by their shingles and by the blocks of their fingerprints, in flat arrays."""
 
     def __init__(self, items: list[tuple[int, str]], similar: float):
         hashes = PlainHashes()
         self.similar = similar
         self.ids, self.bags, self.words = [], [], []
-        where = defaultdict(list)
         for item_id, text in items:
             words = PLAIN_WORD.findall(text or "")
             if not words:
                 continue
-            grams = shingles(hashes.of(words), SIZE)
-            for place, g in enumerate(grams.tolist()):
-                where[g].append((len(self.ids), place))
             self.ids.append(item_id)
-            self.bags.append((grams, shingle_weights(words, SIZE)))
+            self.bags.append((shingles(hashes.of(words), SIZE), shingle_weights(words, SIZE)))
             self.words.append(len(words))
+            hashes.trim()
+        sizes = np.minimum(SIZE, np.array(self.words, np.int64))
         self.by_size: dict[int, tuple] = {}
         # Items under SIZE words have shingles of their own length.
-        for size in {min(SIZE, n) for n in self.words}:
-            keys = np.array([g for g, at in where.items() if min(SIZE, self.words[at[0][0]]) == size], np.uint64)
-            lookup = Lookup(keys)
-            self.by_size[size] = lookup, [where[int(k)] for k in lookup.keys]
+        for size in np.unique(sizes).tolist():
+            of = np.flatnonzero(sizes == size)
+            grams = np.concatenate([self.bags[k][0] for k in of])
+            lengths = np.array([len(self.bags[k][0]) for k in of])
+            item = np.repeat(of, lengths).astype(np.int32)
+            place = (np.arange(len(grams)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+            order = np.argsort(grams, kind="stable")
+            lookup = Lookup(grams)
+            ends = np.append(np.searchsorted(grams[order], lookup.keys), len(grams))
+            self.by_size[size] = lookup, ends, item[order], place[order]
         prints = [fingerprints(grams, weights, np.zeros(1, np.int64), len(grams))[0] for grams, weights in self.bags]
         self.prints = np.array(prints, np.uint16).reshape(-1, BLOCKS)
+        # Each item stands once a block, under its own value; the values nearby are listed when a fingerprint is looked up.
         reach = [0] + [sum(1 << b for b in c) for n in range(1, RADIUS // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), n)]
-        near = self.prints[:, :, None] ^ np.array(reach, np.uint16)
+        self.reach = np.array(reach, np.uint16)
         self.blocks = []
         for k in range(BLOCKS):
-            values = near[:, k].ravel()
-            order = np.argsort(values, kind="stable")
-            self.blocks.append((np.searchsorted(values[order], np.arange(2**BLOCK_BITS + 1)), order // len(reach)))
+            order = np.argsort(self.prints[:, k], kind="stable")
+            ends = np.searchsorted(self.prints[order, k], np.arange(2**BLOCK_BITS + 1)).astype(np.int32)
+            self.blocks.append((ends, order, np.diff(ends) > 0))
 
     def within(self, print_: np.ndarray) -> list[tuple[int, int]]:
         """All items at most ``RADIUS`` bits away, with their distance."""
-        near = np.unique(np.concatenate([
-            items[ends[v] : ends[v + 1]] for (ends, items), v in zip(self.blocks, print_.tolist())
-        ]))
-        distance = np.bitwise_count(self.prints[near] ^ print_).sum(1)
-        return [(int(k), int(d)) for k, d in zip(near, distance) if d <= RADIUS]
+        return self.all_within(print_[None])[0]
+
+    def all_within(self, prints: np.ndarray) -> list[list[tuple[int, int]]]:
+        """As ``within`` for each fingerprint."""
+        found: list[list[tuple[int, int]]] = [[] for _ in prints]
+        for start in range(0, len(prints), PRINTS):
+            some, pairs = prints[start : start + PRINTS], []
+            for k, (ends, items, there) in enumerate(self.blocks):
+                values = some[:, k, None] ^ self.reach
+                row, col = np.nonzero(there[values])
+                value = values[row, col]
+                first, times = ends[value], ends[value.astype(np.int64) + 1] - ends[value]
+                at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+                pairs.append(np.repeat(row, times) * len(self.ids) + items[at])
+            row, item = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.ids)))
+            distance = np.bitwise_count(self.prints[item] ^ some[row]).sum(1)
+            near = distance <= RADIUS
+            for r, i, d in zip(row[near].tolist(), item[near].tolist(), distance[near].tolist()):
+                found[start + r].append((i, d))
+        return found
 
     def windows(self, words: np.ndarray) -> dict[tuple[int, int], set[int]]:
         """(words of a shingle, words of a window): starts of the windows to look at."""
         found = defaultdict(set)
-        for size, (lookup, places) in self.by_size.items():
+        for size, (lookup, ends, items, places) in self.by_size.items():
             if len(words) < size:
                 continue
             at, key = lookup.hits(shingles(words, size))
             for p, k in zip(at.tolist(), key.tolist()):
-                for item, place in places[k]:
+                for item, place in zip(items[ends[k] : ends[k + 1]].tolist(), places[ends[k] : ends[k + 1]].tolist()):
                     wide = self.words[item]
                     slack = int((wide - size + 1) * (1 - self.similar) / (1 + self.similar)) + 1
                     last = max(0, len(words) - wide)
@@ -132,8 +155,8 @@ class Items:
             for group in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
                 a, b = group[0], group[-1] + n
                 prints = fingerprints(grams[a:b], weights[a:b], group - a, n)
-                for start, print_ in zip(group.tolist(), prints):
-                    for item, distance in self.within(print_):
+                for start, near in zip(group.tolist(), self.all_within(prints)):
+                    for item, distance in near:
                         if min(SIZE, self.words[item]) != size:
                             continue
                         s = similarity((grams[start : start + n], weights[start : start + n]), self.bags[item])
@@ -146,8 +169,8 @@ class Items:
 def item_passes(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
     """The items in blocks of bounded size, for one pass over the documents each. Items without an id or text are left out."""
     known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    n = known.count()
-    parts = max(1, -(-n // ITEMS_PER_PASS))
+    n, chars = known.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // ITEMS_PER_PASS), -(-chars // CHARS_PER_PASS))
     if parts == 1:
         return [[(r.item_id, r.text) for r in known.orderBy("item_id").collect()]]
     part = F.pmod(F.xxhash64("item_id"), F.lit(parts))

@@ -228,6 +228,33 @@ def test_contamination_query_holds_all_verbatim_passages(spark, documents):
     assert found == set(brute_contamination([(r.doc_id, r.text) for r in documents.collect()], [(i.item_id, i.text) for i in items]))
 
 
+def test_items_are_passed_by_number_and_length(monkeypatch, spark):
+    items = spark.createDataFrame([(k, f"item {k} " * 10) for k in range(40)] + [(50, None)], "item_id long, text string")
+    assert [len(p) for p in D.item_passes(items)] == [40]
+    for name, bound in (("ITEMS_PER_PASS", 7), ("CHARS_PER_PASS", 900)):
+        with monkeypatch.context() as m:
+            m.setattr(D, name, bound)
+            passes = D.item_passes(items)
+        assert len(passes) > 3 and sorted(k for p in passes for k, _ in p) == list(range(40))
+
+
+def test_thousands_of_items_in_one_index(documents):
+    """Items out of the documents themselves, among others: each is found where it stands, as by comparison with all fingerprints."""
+    rng = np.random.default_rng(8)
+    texts = [r.text for r in documents.orderBy("doc_id").limit(40).collect()]
+    long = [t.split() for t in texts if len(t.split()) > 60]
+    items = [(k, " ".join(f"x{w}" for w in rng.integers(0, 5000, 30))) for k in range(3000)]
+    own = {3000 + k: " ".join(w[5:45]) for k, w in enumerate(long)}
+    index, hashes = D.Items(items + list(own.items()), 0.8), D.PlainHashes()
+    for k, words in enumerate(long):
+        text = " ".join(words)
+        assert index.search(hashes.of_text(text), text)[3000 + k][0] == 1.0
+    prints = index.prints[rng.integers(0, len(index.ids), 400)] ^ (np.uint16(1) << rng.integers(0, 16, (400, 8)).astype(np.uint16))
+    for print_, near in zip(prints, index.all_within(prints)):
+        distance = np.bitwise_count(index.prints ^ print_).sum(1)
+        assert near == [(int(i), int(distance[i])) for i in np.flatnonzero(distance <= D.RADIUS)]
+
+
 def test_clean_documents(monkeypatch, spark, odd, none):
     items = spark.createDataFrame([(k, f"alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho item{k}") for k in range(6)] + [(9, None), (None, "one")], "item_id long, text string")
     monkeypatch.setattr(D, "ITEMS_PER_PASS", 2)
