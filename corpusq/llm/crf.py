@@ -1,4 +1,7 @@
-"""A linear-chain conditional random field over the words of a line, trained and decoded in numpy.
+"""A linear-chain conditional random field over the words of a line or block, trained and decoded in numpy.
+
+A word ends at blanks and at the marks that a model cuts at, so that values inside
+markup are words of their own. A chain is a line, or a stretch of lines that belong together.
 
 The score of a label at a word is what the word's own hashed features say, plus a
 term for the class of the word before, one for the class of the word after and
@@ -20,7 +23,6 @@ import xxhash
 from corpusq.llm.texts import CACHE_WORDS
 
 OUT = 0
-WORD = re.compile(r"\S+")
 _FORBIDDEN = -1e4
 
 
@@ -38,6 +40,10 @@ class Features:
     text_class: Callable[[str], int]
     text_classes: int
     buckets: int = 2**13
+    #: What is a word; no word holds a blank.
+    word: re.Pattern = re.compile(r"\S+")
+    #: Where a text is cut into chains: (start, end) in order, without words outside.
+    chains: Callable[[str], list[tuple[int, int]]] | None = None
 
 
 @dataclass
@@ -54,6 +60,39 @@ class Model:
         return [xxhash.xxh32_intdigest(f) % self.features.buckets for f in own]
 
 
+def lines(text: str) -> list[tuple[int, int]]:
+    found, at = [], 0
+    for line in text.split("\n"):
+        found.append((at, at + len(line)))
+        at += len(line) + 1
+    return found
+
+
+def marked(line: str, marks: dict[str, str]) -> tuple[str, list[tuple[str, int, int]]]:
+    """A labelled line without its marks, and its spans. ``marks`` names the kind of each pair of an opening and a closing mark."""
+    opening, closing = {m[0]: kind for m, kind in marks.items()}, {m[1] for m in marks}
+    out, spans, start = [], [], (None, 0)
+    for c in line:
+        if c in opening:
+            start = opening[c], len(out)
+        elif c in closing:
+            spans.append((*start, len(out)))
+        else:
+            out.append(c)
+    return "".join(out), spans
+
+
+def tagged(text: str, spans: list[tuple[str, int, int]], features: Features) -> tuple[list[str], list[str]]:
+    """The words of a labelled text and their tags."""
+    words, tags, last = [], [], None
+    for m in features.word.finditer(text):
+        inside = next((s for s in spans if s[1] < m.end() and m.start() < s[2]), None)
+        words.append(m[0])
+        tags.append("O" if inside is None else ("I-" if inside is last else "B-") + inside[0])
+        last = inside
+    return words, tags
+
+
 def allowed(labels: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Penalties that let I-x follow only B-x and I-x."""
     move, start = np.zeros((len(labels), len(labels))), np.zeros(len(labels))
@@ -196,28 +235,27 @@ class Decoder:
         """(kind, start, end) of each text, by start; positions in characters."""
         if len(self.number) > CACHE_WORDS:
             self.begin()
-        words = [np.fromiter(map(self.number.__getitem__, t.split()), np.int64) for t in texts]
+        f = self.model.features
+        words = [np.fromiter(map(self.number.__getitem__, f.word.findall(t)), np.int64) for t in texts]
         self.learn()
-        kinds = [self.model.features.text_class(t) for t in texts]
-        lines = []  # (text, places, numbers)
+        kinds = [f.text_class(t) for t in texts]
+        chains = []  # (text, places, numbers)
         for k, ids in enumerate(words):
             if len(ids) and self._may_gain(ids, kinds[k]):
-                at = 0
-                for line in texts[k].split("\n"):
-                    places = [(m.start() + at, m.end() + at) for m in WORD.finditer(line)]
+                for a, b in (f.chains or lines)(texts[k]):
+                    places = [m.span() for m in f.word.finditer(texts[k], a, b)]
                     if places:
-                        numbers = np.array([self.number[texts[k][a:b]] for a, b in places])
+                        numbers = np.array([self.number[texts[k][i:j]] for i, j in places])
                         if self._may_gain(numbers, kinds[k]):
-                            lines.append((k, places, numbers))
-                    at += len(line) + 1
+                            chains.append((k, places, numbers))
         found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-        lines.sort(key=lambda x: len(x[1]))
+        chains.sort(key=lambda x: len(x[1]))
         start = 0
-        while start < len(lines):
-            wide, end = len(lines[start][1]), start + 1
-            while end < len(lines) and len(lines[end][1]) <= max(16, 1.3 * wide) and (end - start) * 1.3 * wide < self.BATCH_WORDS:
+        while start < len(chains):
+            wide, end = len(chains[start][1]), start + 1
+            while end < len(chains) and len(chains[end][1]) <= max(16, 1.3 * wide) and (end - start) * 1.3 * wide < self.BATCH_WORDS:
                 end += 1
-            self._decode(lines[start:end], kinds, texts, found)
+            self._decode(chains[start:end], kinds, texts, found)
             start = end
         return [sorted(x, key=lambda s: (s[1], s[2])) for x in found]
 

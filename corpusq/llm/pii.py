@@ -74,9 +74,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # The model: what it looks at.
 
+#: Words end at quotes, tags, brackets but round ones, =, : and ; and at commas before no digit.
+WORD = re.compile(r"""(?:[^\s"'`<>\[\]{}=:;,|&]|,(?=[0-9]))+""")
 _RUNS = re.compile(r"[A-Z]+|[a-z]+|[0-9]+|[^A-Za-z0-9]")
 _PHONE_HINTS = ("phone", "tel", "call", "mobile", "fax", "telefon", "teléfono", "téléphone", "cell", "whatsapp", "anrufen")
 _ACCOUNT_HINTS = ("ssn", "iban", "passport", "social", "security", "account", "konto", "cuenta", "compte", "taxpayer")
+_NUMBER_WORDS = ("number", "no", "nr", "num", "nummer", "número", "numéro", "id")
 _STRIP = "\"'`,;[]{}<>.:!?#*$%&|"
 
 
@@ -97,7 +100,7 @@ def _hint(word: str) -> int:
 def own_features(word: str) -> list[str]:
     core = word.strip(_STRIP)
     if core.isalpha() or not any("0" <= c <= "9" for c in core):
-        return ["bias", "no digit", f"hint={_hint(word)}", f"open={word[:1] == '('}"]
+        return ["bias", "no digit", f"hint={_hint(word)}", f"number={word_class(word) == 10}", f"open={word[:1] == '('}"]
     digits = sum("0" <= c <= "9" for c in core)
     shape = _shape(core)
     return [
@@ -110,9 +113,11 @@ _CLASSES = {"(999)": 3, "999": 4, "9999": 5, "999-9999": 6, "XX99": 7}
 
 
 def word_class(word: str) -> int:
-    """1 and 2: hints of phones and accounts, 3-7 parts of numbers by shape, 8 other words with digits, 9 words without."""
+    """1 and 2: hints of phones and accounts, 3-7 parts of numbers by shape, 8 other words with digits, 9 words without, 10 those that announce a number."""
     if h := _hint(word):
         return h
+    if word.lower().strip(_STRIP) in _NUMBER_WORDS:
+        return 10
     core = word.strip(_STRIP)
     if core.isalpha() or not any("0" <= c <= "9" for c in core):
         return 9
@@ -121,14 +126,17 @@ def word_class(word: str) -> int:
 
 
 def text_class(text: str) -> int:
-    """One class for all texts: the words beside a number tell its kind."""
+    """The words beside a number tell its kind, whatever the text: all texts are of class 0."""
     return 0
 
 
-FEATURES = crf.Features(("O", "B-crf_phone", "I-crf_phone", "B-crf_account", "I-crf_account"), own_features, word_class, 10, text_class, 1, 2**12)
+FEATURES = crf.Features(
+    ("O", "B-crf_phone", "I-crf_phone", "B-crf_account", "I-crf_account"), own_features, word_class, 11, text_class, 1, 2**12, word=WORD
+)
+_MARKS = {"«»": "crf_phone", "‹›": "crf_account"}
 
 
-def labelled_lines(seed: int = 11, size: int = 1000) -> list[str]:
+def labelled_lines(seed: int = 11, size: int = 1600) -> list[str]:
     """The small labelled table: lines with phones in « » and accounts in ‹ ›, made from patterns and a seed."""
     r = random.Random(seed)
     n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
@@ -141,16 +149,23 @@ def labelled_lines(seed: int = 11, size: int = 1000) -> list[str]:
     ])()
     hinted = lambda: r.choice([phone, lambda: n(10), lambda: f"{n(3)} {n(3)} {n(4)}", lambda: f"0{n(3)}/{n(6)}"])()
     two = lambda: "".join(r.choice("ABCDEFGHIJKLMNOPRSTUVWXYZ") for _ in range(2))
+    passport = lambda: r.choice("ABCEGHKLMNPRTXY") + n(r.choice([7, 8]))
     account = lambda: r.choice([
         lambda: f"{n(3)}-{n(2)}-{n(4)}", lambda: f"{two()}{n(2)}{n(18)}", lambda: f"{two()}{n(2)} {n(4)} {n(4)} {n(4)} {n(4)} {n(2)}",
     ])()
     plain = lambda: r.choice([
-        lambda: n(r.randint(1, 12)), lambda: f"{r.randint(1, 255)}.{n(2)}.{n(3)}.{n(2)}", lambda: f"{r.randint(1900, 2100)}-{n(2)}-{n(2)}", lambda: f"{n(2)}:{n(2)}:{n(2)}",
+        lambda: n(r.randint(1, 12)), lambda: n(r.randint(9, 11)), lambda: f"{r.randint(1, 255)}.{n(2)}.{n(3)}.{n(2)}", lambda: f"{r.randint(1900, 2100)}-{n(2)}-{n(2)}", lambda: f"{n(2)}:{n(2)}:{n(2)}",
         lambda: f"{n(r.randint(1, 3))},{n(3)}.{n(2)}", lambda: f"+1 ({n(3)}) 555-{n(4)}", lambda: f"{word().strip(',.')}.{n(2)}@mail{n(1)}.example.com", lambda: f"({n(4)})", lambda: f"{n(4)}-{n(4)}",
         lambda: f"v{n(1)}.{n(2)}.{n(1)}", lambda: f"{n(2)}/{n(2)}/{n(4)}", lambda: f"{n(3)} pages", lambda: f"978-{n(1)}-{n(4)}-{n(4)}-{n(1)}", lambda: n(16), lambda: f"{n(4)} {n(4)} {n(4)} {n(4)}",
         lambda: "".join(r.choice("0123456789abcdef") for _ in range(40)), lambda: f"Version {n(1)}.{n(1)}.", lambda: f"{n(2)} {n(3)}", lambda: f"({n(1)})", lambda: f"[{n(2)}]", lambda: f"{n(2)}%",
         lambda: f"AKIA{n(6)}XYZW{n(6)}", lambda: f"{word()}{n(2)}", lambda: f"{two()}-{n(3)}", lambda: f"{two()}{n(4)}", lambda: f"{n(1)} {n(2)} {n(3)}", lambda: f"{n(5)}-{n(4)}", lambda: f"{n(4)}-{n(2)}",
     ])()
+    field = lambda: word().strip(",.")
+    simple = lambda: r.choice([field, plain, plain])()
+    pair = lambda v, name=None: r.choice([
+        lambda: f'"{name or field()}":"{v}"', lambda: f"{name or field()}={v}", lambda: f"<{name or field()}>{v}</{name or field()}>", lambda: f"<p>{v}</p>",
+        lambda: f"{name or field()}:{v}", lambda: f"'{name or field()}': '{v}'", lambda: f"[{name or field()}={v}]", lambda: f"{{{name or field()}: {v}}}",
+    ])()
     rows = []
     for _ in range(size):
         kind = r.random()
@@ -162,26 +177,30 @@ def labelled_lines(seed: int = 11, size: int = 1000) -> list[str]:
             rows.append(f"{prose()} ‹{account()}› {prose(0, 6)}")
         elif kind < 0.42:
             rows.append(f"{prose(0, 4)} {r.choice(_ACCOUNT_HINTS)}{r.choice(['', ':', ' number'])} ‹{account()}› {prose(0, 6)}")
-        elif kind < 0.47:
+        elif kind < 0.45:
+            rows.append(f"{prose(0, 4)} passport{r.choice(['', ':', ' number', ' no', ' no.'])} ‹{passport()}›{r.choice(['', '.', ','])} {prose(0, 6)}")
+        elif kind < 0.65:
+            which = r.random()
+            if which < 0.2:
+                hidden = pair(f"«{phone()}»")
+            elif which < 0.35:
+                hidden = pair(f"«{hinted()}»", r.choice(_PHONE_HINTS))
+            elif which < 0.55:
+                hidden = pair(f"‹{account()}›", r.choice([None, *_ACCOUNT_HINTS]))
+            elif which < 0.6:
+                hidden = pair(f"‹{passport()}›", "passport")
+            else:
+                hidden = pair(simple())
+            pairs = [pair(simple()) for _ in range(r.randint(0, 3))] + [hidden]
+            r.shuffle(pairs)
+            rows.append(r.choice([",", ", ", " ", "; ", "&"]).join(pairs))
+        elif kind < 0.69:
             rows.append(f"{prose(0, 4)} {r.choice(_ACCOUNT_HINTS + _PHONE_HINTS)} {prose(1, 6)} {plain()}")
         else:
             rows.append(" ".join(r.choice([prose, plain, plain])() for _ in range(r.randint(1, 4))))
     return rows
 
 
-def tagged(line: str) -> tuple[list[str], list[str]]:
-    words, tags, inside = [], [], None
-    for w in line.split():
-        begins = "crf_phone" if "«" in w else "crf_account" if "‹" in w else None
-        bare = w.strip("«»‹›") if w[-1] in "»›" else re.sub("[«»‹›]", "", w)
-        inside = begins or inside
-        words.append(bare)
-        tags.append("O" if inside is None else ("B-" if begins else "I-") + inside)
-        if "»" in w or "›" in w:
-            inside = None
-    return words, tags
-
-
 @lru_cache
 def default_model() -> crf.Model:
     return train(labelled_lines())
@@ -189,7 +208,8 @@ def default_model() -> crf.Model:
 
 def train(lines: list[str]) -> crf.Model:
     """A model from marked lines; see ``labelled_lines``."""
-    return crf.train([(*tagged(line), 0) for line in lines if line.split()], FEATURES)
+    rows = [(*crf.tagged(*crf.marked(line, _MARKS), FEATURES), 0) for line in lines]
+    return crf.train([row for row in rows if row[0]], FEATURES)
 
 
 class Finder:
