@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import WordHashes, give_back, mix, share_code, shingles
+from corpusq.llm.texts import WordHashes, batches_of, give_back, mix, share_code, shingles
 from corpusq.sources.storage import materialize, materialize_bucketed
 
 
@@ -355,7 +355,8 @@ def _classed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     whole = packed.select("chunk", "key", "id", "copies", "text").join(stretches, "chunk", "left").drop("chunk")
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"key binary, id {kind}, copies bigint, bands array<bigint>, samples binary, df binary"
-    texts = materialize(whole.mapInArrow(draw, schema), "texts")
+    with batches_of(docs.sparkSession, CHUNK_BYTES):
+        texts = materialize(whole.mapInArrow(draw, schema), "texts")
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     labels = _labels(packed, texts, sent, s)
     classes = texts.select("key", "id", "copies").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -384,13 +385,16 @@ def _labels(packed: DataFrame, texts: DataFrame, sent, s: Settings) -> DataFrame
     placed = placed.join(split, "bucket").join(texts.select("key", "samples", "bands"), "key")
     placed = materialize(placed, "placed")
     blocks = _blocks(placed, F.ceil(F.col("n") / BLOCK_TEXTS))
-    hopeful = materialize(_met(blocks, "bucket bigint, key binary", lambda: _hopeful(s)).distinct(), "hopeful")
+    with batches_of(packed.sparkSession, CHUNK_BYTES):
+        hopeful = materialize(_met(blocks, "bucket bigint, key binary", lambda: _hopeful(s)).distinct(), "hopeful")
     # Only texts with such a partner are read, again in blocks of bounded size.
     sized = hopeful.join(placed.drop("n"), ["bucket", "key"]).join(pool, "key")
     total = sized.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.octet_length("text") + F.octet_length("df")).alias("bytes"))
     blocks = _blocks(sized.join(total, "bucket"), F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)), "text", "df")
     more = _met(blocks, "a binary, b binary", lambda: _linked(sent.value))
-    return connected(materialize(links.unionAll(more.distinct()), "links"))
+    with batches_of(packed.sparkSession, CHUNK_BYTES):
+        links = materialize(links.unionAll(more.distinct()), "links")
+    return connected(links)
 
 
 # Texts of a block, and their bytes: what a task holds is two blocks.

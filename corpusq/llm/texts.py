@@ -6,6 +6,7 @@ import ctypes
 import os
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql.types import StructType
 CALL_CHARS = 4_000_000
 
 # Words that a task remembers before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -46,6 +47,18 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of jobs that run inside hold about this many bytes, or one row: for rows that are large lists."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_texts(
     docs: DataFrame,
     keep: list[str],
