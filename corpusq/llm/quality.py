@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from corpusq.llm.texts import CACHE_WORDS, filter_texts, map_texts, mix
 
+# New words whose n-grams are hashed at once: each takes some kB meanwhile.
+LEARN_WORDS = 10_000
+
 _P = np.uint64(0x100000001B3)
 
 
@@ -181,9 +184,11 @@ class Scorer:
         if n > len(self.sums):
             self.sums = np.resize(self.sums, 2 * n)
             self.counts = np.resize(self.counts, 2 * n)
-        features, per_word = word_features(new, self.model.settings)
-        self.counts[n - len(new) : n] = per_word
-        self.sums[n - len(new) : n] = np.add.reduceat(self.model.weight[features].astype(np.float64), np.cumsum(per_word) - per_word)
+        for start in range(0, len(new), LEARN_WORDS):
+            some, at = new[start : start + LEARN_WORDS], n - len(new) + start
+            features, per_word = word_features(some, self.model.settings)
+            self.counts[at : at + len(some)] = per_word
+            self.sums[at : at + len(some)] = np.add.reduceat(self.model.weight[features].astype(np.float64), np.cumsum(per_word) - per_word)
 
     def __call__(self, texts: list[str]) -> dict[str, list]:
         if len(self.words) > CACHE_WORDS:

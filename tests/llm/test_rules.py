@@ -107,6 +107,18 @@ def test_score_is_the_softmax_of_the_average():
     assert quality.Scorer(model)([text])["score"][0] == pytest.approx(1 / (1 + np.exp(-(0.3 + total / n))))
 
 
+def test_new_words_are_learnt_a_block_at_a_time(monkeypatch):
+    s = quality.Settings(buckets=512)
+    model = quality.Model(np.random.default_rng(5).normal(size=512).astype(np.float32), 0.3, s)
+    text = " ".join(f"w{k * 7919}" for k in range(2500))
+    monkeypatch.setattr(quality, "LEARN_WORDS", 10**9, raising=False)
+    whole, sizes, features = quality.Scorer(model)([text]), [], quality.word_features
+    monkeypatch.setattr(quality, "LEARN_WORDS", 1000, raising=False)
+    monkeypatch.setattr(quality, "word_features", lambda words, s: sizes.append(len(words)) or features(words, s))
+    assert quality.Scorer(model)([text]) == whole
+    assert sizes == [1000, 1000, 500]
+
+
 def test_quality_query_on_held_out_rows(spark):
     found = QUERIES["op10_subword_quality"](spark, "/root/testdata/sf0.01").toPandas()
     assert list(found.columns) == ["doc_id", "held_out", "score", "predicted"]
