@@ -52,8 +52,8 @@ ROW_GROUP_BYTES = 16 * 2**20
 # Documents of a block, on average; a block is a span of ids chosen per batch.
 BLOCK_DOCS = 64
 
-# Postings of a file of the layout by document.
-SEGMENT_ROWS = 20_000_000
+# Postings of a file of the layout by document: a task sorts so many, and adds up the scores of their documents.
+SEGMENT_ROWS = 2_000_000
 
 # A term has bounds per block if it is in more than one of so many documents of a batch; others have
 # hardly more postings than blocks.

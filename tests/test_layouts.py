@@ -154,3 +154,8 @@ def test_thousands_of_terms_read_few_row_groups(spark, tmp_path, monkeypatch):
     joined = index.all_postings.join(spark.createDataFrame([(t,) for t in batch], "term STRING"), "term", "left_semi")
     assert sorted(found.select("term", "doc_id", "tf").collect()) == sorted(joined.select("term", "doc_id", "tf").collect())
     assert index.of_terms(index.all_postings, []).count() == 0
+
+
+def test_files_by_document_hold_what_a_task_can_sort():
+    """A posting takes about 100 bytes while it is sorted; four tasks share an executor."""
+    assert ix.SEGMENT_ROWS * 100 <= 500e6
