@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType
 
 from corpusq.functions.text import STOP_WORDS, kept_tokens, run_starts, runs_to_counts, tokens
 from corpusq.functions.weights import idf, idf_smoothed, ratio
-from corpusq.operators.joins import sized_join, spread
+from corpusq.operators.joins import deal_out, sized_join, spread
 from corpusq.sources.storage import materialize
 
 # A stop list up to this size becomes a literal set inside the token filter.
@@ -107,7 +107,9 @@ def lemma_postings(
     )
     kept = _without(mapped.where(~F.col("term").isin(words)) if words else mapped, table, spread="doc_id")
     tf = F.lit(1).cast("bigint") if binary_tf else F.sum("tf")
-    return kept.groupBy("field", "term", "doc_id").agg(tf.alias("tf"), F.max("dl").alias("dl"))
+    # Not by the field: where it is a constant, Spark would not see that the rows lie right.
+    dealt = deal_out(kept, postings.count(), "term", "doc_id")
+    return dealt.groupBy("field", "term", "doc_id").agg(tf.alias("tf"), F.max("dl").alias("dl"))
 
 
 def anchor_postings(

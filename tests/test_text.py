@@ -127,6 +127,20 @@ def test_lemmas_add_up_forms(spark):
     assert {(r.term, r.doc_id, r.tf) for r in once.collect()} == {("walk", 1, 1), ("walk", 2, 1)}
 
 
+def test_lemmas_are_grouped_by_more_tasks_as_rows_grow(spark, monkeypatch):
+    from corpusq.operators import joins
+
+    monkeypatch.setattr(joins, "ROWS_PER_GROUPING_TASK", 10)
+    postings = spark.range(500).select(
+        F.lit("body").alias("field"), F.concat(F.lit("walk"), F.col("id") % 2).alias("term"), (F.col("id") % 250).alias("doc_id"),
+        F.lit(1).cast("bigint").alias("tf"), F.lit(2).cast("bigint").alias("dl"),
+    )
+    lemmas = spark.createDataFrame([("walk0", "walk"), ("walk1", "walk")], "form STRING, lemma STRING")
+    found = P.lemma_postings(postings, lemmas)
+    assert found.rdd.getNumPartitions() == 51
+    assert {(r.term, r.tf) for r in found.collect()} == {("walk", 2)} and found.count() == 250
+
+
 # The same classes with Python's engine, as one alternation with seven groups.
 _PYTHON = re.compile(
     rf"({typed.DATE})|({typed.TIME})|({typed._PERCENT})|({typed._NUMBER})|({typed._WORD})|(\s+)|(.)",
