@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusq.functions.text import STOP_WORDS, term_bucket
 from corpusq.operators import postings as P
 from corpusq.operators.index import ANCHOR, LITERAL_TERMS, Index
-from corpusq.operators.joins import fits_broadcast, sized_join
+from corpusq.operators.joins import deal_out, fits_broadcast, sized_join
 
 
 # At most this many query terms are fetched to see how many there are.
@@ -128,11 +128,10 @@ def holding_all_terms(
     """``(query_id, doc_id)``: documents that hold every distinct term of the query."""
     terms = terms_for(index, queries, stop)
     need = terms.rows.groupBy("query_id").agg(F.count("*").alias("need"))
-    held = (
-        matches(index, terms.rows.select("query_id", "term"), terms, field)
-        .groupBy("query_id", "doc_id")
-        .agg(F.count("*").alias("held"))
-    )
+    wanted, keys = known_terms(index, terms, field).select("query_id", "term", "df"), ["query_id", "doc_id"]
+    # Every match is a document of a term's df.
+    count = wanted.agg(F.sum("df")).first()[0] or 0
+    held = deal_out(matches(index, wanted, terms, field), count, *keys).groupBy(*keys).agg(F.count("*").alias("held"))
     return (
         sized_join(held, need, ["query_id"], spread="doc_id")
         .where(F.col("held") == F.col("need"))

@@ -168,6 +168,16 @@ def test_all_terms_held(index, queries):
     assert rows(match.holding_all_terms(index, queries, "body"), "query_id", "doc_id") == {(10, 1), (10, 2)}
 
 
+def test_matches_are_grouped_by_more_tasks_as_they_grow(index, queries, monkeypatch):
+    from corpusq.operators import joins
+
+    dealt = []
+    monkeypatch.setattr(match, "deal_out", lambda rows, count, *keys: dealt.append((count, keys)) or joins.deal_out(rows, count, *keys))
+    assert rows(match.holding_all_terms(index, queries, "body"), "query_id", "doc_id") == {(10, 1), (10, 2)}
+    matches = match.matches(index, match.query_terms(queries).select("query_id", "term"), match.terms_for(index, queries), "body").count()
+    assert dealt == [(matches, ("query_id", "doc_id"))]
+
+
 def test_merge_is_the_full_outer_join(spark):
     ranked = spark.createDataFrame(
         [("title", 1, 1, 2.0), ("title", 1, 2, 1.0), ("body", 1, 2, 3.0), ("body", 1, 3, 4.0)],
