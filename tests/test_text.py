@@ -195,6 +195,17 @@ def test_class_counts(spark):
         assert {c: row[c] for c in typed.CLASSES} == {c: counts[c] for c in typed.CLASSES}
 
 
+def test_typed_tokens_take_one_pass_over_texts_without_marks(spark):
+    plain = ["On 9 October 2021 at 10:30:05 don't a-bc-d 5% été", "", None]
+    marked = ["a \x01 b", "\x02", "12% \x02\x01 9.05PM\x01"]
+    df = spark.createDataFrame([(t,) for t in plain + marked], "text STRING")
+    found = df.select("text", typed.typed_tokens(F.col("text")).alias("found"))
+    # The passes by group stand behind the condition that a mark is there.
+    assert "regexp_replace" in found._jdf.queryExecution().optimizedPlan().toString()
+    for text, got in found.collect():
+        assert got == (None if text is None else python_typed(text)), text
+
+
 def test_typed_sql_walks_as_python_does():
     """The SQL twin on lines that hold every class, dates across blanks, nulls and random mixtures."""
     import random
