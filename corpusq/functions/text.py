@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 # '@' and goes on with 2 to 24 word characters, each optionally after ' or -.
 # Word characters are spelled out because Java's \w is ASCII only. The possessive
 # quantifiers cannot change a match here; they spare the matcher its backtracking.
-TOKEN_PATTERN = r"[#@\p{L}\p{N}_](?:['\-]?+[\p{L}\p{N}_]){2,24}+"
+# Latin letters and digits come first as well: a table tells those, before Unicode classes are asked.
+TOKEN_PATTERN = r"[a-z0-9#@_\p{L}\p{N}](?:['\-]?+[a-z0-9_\p{L}\p{N}]){2,24}+"
 
 # The English stop words of NLTK.
 ENGLISH_STOP_WORDS = tuple(
