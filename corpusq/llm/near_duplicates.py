@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.texts import WordHashes, batches_of, give_back, mix, share_code, shingles
+from corpusq.llm.texts import batches_of, give_back, mix, share_code, shingles, word_hashes
 from corpusq.sources.storage import materialize, materialize_bucketed
 
 
@@ -104,10 +104,10 @@ class Bags:
     """Weighted shingle sets of texts."""
 
     def __init__(self, weights: Weights):
-        self.weights, self.hashes = weights, WordHashes()
+        self.weights = weights
 
     def all_shingles(self, text: str) -> np.ndarray:
-        return shingles(self.hashes.of(text.lower().split()), self.weights.settings.size)
+        return shingles(word_hashes(text.lower().split()), self.weights.settings.size)
 
     def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(self.all_shingles(text), return_counts=True)
@@ -123,35 +123,51 @@ class Bags:
         return grams, counts * self.weights.of(df)
 
 
-def sample(grams: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
+@lru_cache(8)
+def _pool_scores(samples: int, seed: int, log_w: float) -> np.ndarray:
+    """ln a of every draw of the pool for a shingle of that weight; a row per block and hash value."""
+    return _scores(_pool(samples, seed).reshape(-1, 4, _BLOCK).copy(), np.float32(log_w))
+
+
+def _scores(draws: np.ndarray, log_w: np.ndarray) -> np.ndarray:
+    """ln a of draws of the pool, which are written over."""
+    t = draws[:, 0]
+    t *= log_w
+    t += draws[:, 1]
+    np.floor(t, t)
+    a = draws[:, 3]
+    a -= draws[:, 2] * t
+    return a
+
+
+def sample(grams: np.ndarray, weights: np.ndarray, s: Settings, usual: float = 1.0) -> np.ndarray:
     """One 64-bit sample per draw: which shingle won, and the level t of its weight.
 
     For weight w: t = floor(ln w / r + beta), ln y = r (t - beta), a = c / (y e^r);
-    the smallest a wins. Ties go to the smaller shingle.
+    the smallest a wins. Ties go to the smaller shingle. ``usual`` is a weight that
+    many shingles have, whose a are kept; the samples do not depend on it.
     """
-    pool = _pool(s.samples, s.seed)
+    pool = _pool(s.samples, s.seed).reshape(-1, 4, _BLOCK)
     low = np.full(s.samples, np.inf, np.float32)
     won, level = np.zeros(s.samples, np.uint64), np.zeros(s.samples, np.float32)
-    logs = np.log(weights).astype(np.float32)
+    logs, log_usual = np.log(weights).astype(np.float32), np.log(np.array([usual])).astype(np.float32)[0]
+    kept = _pool_scores(s.samples, s.seed, float(log_usual))
+    blocks, each = np.arange(s.samples // _BLOCK), np.arange(s.samples)
+    shifts, first = (_POOL_BITS * (blocks % 5)).astype(np.uint64), blocks << _POOL_BITS
     for start in range(0, len(grams), 2048):
-        part, log_w = grams[start : start + 2048], logs[start : start + 2048, None]
-        for block in range(0, s.samples, _BLOCK):
-            shift = np.uint64(_POOL_BITS * (block // _BLOCK % 5))
-            rows = ((part >> shift) & np.uint64(2**_POOL_BITS - 1)).astype(np.int64)
-            columns = slice(block, block + _BLOCK)
-            draws = pool[block // _BLOCK].take(rows, 0)
-            t = draws[:, 0]
-            t *= log_w
-            t += draws[:, 1]
-            np.floor(t, t)
-            a = draws[:, 3]
-            a -= draws[:, 2] * t
-            best = a.argmin(0)
-            at = np.arange(a.shape[1])
-            better = np.flatnonzero(a[best, at] < low[columns])
-            low[columns][better] = a[best, at][better]
-            won[columns][better] = part[best][better]
-            level[columns][better] = t[best, at][better]
+        part, log_w = grams[start : start + 2048], logs[start : start + 2048]
+        rows = ((part[:, None] >> shifts) & np.uint64(2**_POOL_BITS - 1)).astype(np.int64) + first
+        a = kept.take(rows, 0)
+        other = np.flatnonzero(log_w != log_usual)
+        if len(other):
+            a[other] = _scores(pool.take(rows[other].ravel(), 0), np.repeat(log_w[other], len(blocks))[:, None]).reshape(len(other), *a.shape[1:])
+        a = a.reshape(len(part), s.samples)
+        best = a.argmin(0)
+        least = a[best, each]
+        better = least < low
+        draws = pool[rows[best, each // _BLOCK], :, each % _BLOCK]
+        t = np.floor(draws[:, 0] * log_w[best] + draws[:, 1])
+        low[better], won[better], level[better] = least[better], part[best][better], t[better]
     return mix(won + level.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -215,7 +231,6 @@ def _frequencies(packed: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
                 each = [np.unique(bags.all_shingles(t.as_py())) for t in batch.column(2)[k].values]
                 grams, where = np.unique(np.concatenate(each), return_inverse=True)
                 n = np.bincount(where, np.repeat(copies, [len(x) for x in each]), len(grams)).astype("<i8")
-                bags.hashes.trim()
                 edges = _edges(grams, bits)
                 full = np.flatnonzero(edges[1:] > edges[:-1])
                 spans = [slice(edges[p], edges[p + 1]) for p in full]
@@ -321,7 +336,7 @@ def _classed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     weights = Weights(rows, s)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags = Bags(weights)
+        bags, usual = Bags(weights), float(weights.of(np.float64(1)))
         edge = (np.arange(s.bands, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -339,13 +354,12 @@ def _classed(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
                         bands.append([])
                         samples.append(b"")
                         continue
-                    drawn = sample(g, counts * weights.of(df), s)
+                    drawn = sample(g, counts * weights.of(df), s, usual)
                     total = edge.copy()
                     for r in range(s.rows):
                         total = mix(total * np.uint64(31) + drawn[r :: s.rows])
                     bands.append(total.view(np.int64).tolist())
                     samples.append((drawn & np.uint64(0xFFFF)).astype("<u2").tobytes())
-                bags.hashes.trim()
                 columns = [keys.values, ids.values, copies.values, pa.array(bands, pa.list_(pa.int64())), pa.array(samples, pa.binary()), pa.array(dfs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "copies", "bands", "samples", "df"])
                 del each, grams, where, all_df, dfs, columns
@@ -468,7 +482,6 @@ def _linked(weights: Weights):
         if len(i) == 0:
             return []
         left, right = ({k: bags.bag(x.rows.field("text")[k].as_py(), _df(x.rows.field("df")[k])) for k in set(at.tolist())} for x, at in ((a, i), (b, j)))
-        bags.hashes.trim()
         near = all_jaccard(left, right, i, j) >= s.similar
         return [tuple(sorted((a.keys[x], b.keys[y]))) for x, y in zip(i[near].tolist(), j[near].tolist())]
 
@@ -546,7 +559,6 @@ def _verified(pairs: DataFrame, pool: DataFrame, sent) -> DataFrame:
             found = []
             for k in range(batch.num_rows):
                 found.append(weighted_jaccard(*(bag(key, batch.column(c)[k], batch.column(c + 1)[k]) for key, c in ((a[k], 2), (b[k], 4)))))
-            bags.hashes.trim()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
     text = lambda side: pool.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}"), F.col("df").alias(f"df_{side}"))

@@ -4,11 +4,12 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 
 from corpusq.llm import decontaminate as D
 from corpusq.llm import near_duplicates as N
 from corpusq.llm.queries import QUERIES
-from corpusq.llm.texts import PLAIN_WORD
+from corpusq.llm.texts import PLAIN_WORD, word_hashes
 
 SF = "/root/testdata/sf0.001"
 
@@ -263,3 +264,23 @@ def test_clean_documents(monkeypatch, spark, odd, none):
     assert sorted(str(r.doc_id) for r in odd.exceptAll(kept).collect()) == ["6", "7"]
     assert D.clean_documents(none, items).count() == 0
     assert D.clean_documents(odd, items.limit(0)).count() == odd.count()
+
+
+def test_draws_of_the_usual_weight_are_kept(monkeypatch):
+    """Only shingles of another weight are worked out again; the samples do not depend on what is kept."""
+    rng, s = np.random.default_rng(12), N.Settings()
+    weights = np.where(np.arange(5000) % 10 == 0, rng.choice([1.1, 2.4, 3.6], 5000), 1.2)
+    grams = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))[: len(weights)]
+    weights = weights[: len(grams)]
+    plain = N.sample(grams, weights, s, 7.5)
+    N.sample(grams[:1], weights[:1], s, 1.2)
+    worked, scores = [], N._scores
+    monkeypatch.setattr(N, "_scores", lambda draws, log_w: worked.append(len(draws)) or scores(draws, log_w))
+    assert (N.sample(grams, weights, s, 1.2) == plain).all()
+    assert sum(worked) == (weights != 1.2).sum() * s.samples // 16
+
+
+def test_word_hashes_are_those_of_xxhash_and_not_remembered():
+    words = ["a", "bé", "\ud800", "a", ""]
+    wanted = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+    assert word_hashes(words).tolist() == wanted and word_hashes([]).tolist() == []
