@@ -11,6 +11,7 @@ from corpusq.functions.text import STOP_WORDS, term_bucket
 from corpusq.operators import postings as P
 from corpusq.operators.index import ANCHOR, LITERAL_TERMS, Index
 from corpusq.operators.joins import deal_out, fits_broadcast, sized_join
+from corpusq.sources.storage import materialize
 
 
 # At most this many query terms are fetched to see how many there are.
@@ -125,15 +126,30 @@ def candidates(index: Index, queries: DataFrame | QueryTerms, field: str, stop:
 def holding_all_terms(
     index: Index, queries: DataFrame | QueryTerms, field: str, stop: P.StopWords | None = None
 ) -> DataFrame:
-    """``(query_id, doc_id)``: documents that hold every distinct term of the query."""
-    terms = terms_for(index, queries, stop)
+    """``(query_id, doc_id)``: documents that hold every distinct term of the query.
+
+    A query with a term that the index does not have has no such document, and its terms are not looked up. All
+    documents of a query's rarest term are read first. While those pairs can be broadcast, only
+    they are kept of the documents of the other terms, before anything is shuffled.
+    """
+    terms, keys = terms_for(index, queries, stop), ["query_id", "doc_id"]
     need = terms.rows.groupBy("query_id").agg(F.count("*").alias("need"))
-    wanted, keys = known_terms(index, terms, field).select("query_id", "term", "df"), ["query_id", "doc_id"]
+    known = materialize(known_terms(index, terms, field).select("query_id", "term", "df"), "known_terms")
+    whole = known.groupBy("query_id").agg(F.count("*").alias("known"), F.min(F.struct("df", "term"))["term"].alias("rarest"))
+    whole = materialize(whole.join(need, "query_id").where("known = need").select("query_id", "need", "rarest"), "whole_queries")
+    wanted = known.join(F.broadcast(whole) if terms.small else whole, "query_id")
+    first, rest = (wanted.where(by).select("query_id", "term", "df") for by in ("term = rarest", "term <> rarest"))
     # Every match is a document of a term's df.
     count = wanted.agg(F.sum("df")).first()[0] or 0
-    held = deal_out(matches(index, wanted, terms, field), count, *keys).groupBy(*keys).agg(F.count("*").alias("held"))
+    pairs = materialize(matches(index, first, terms, field).select(*keys), "rarest_matches")
+    others = matches(index, rest, terms, field).select(*keys)
+    if fits_broadcast(pairs):
+        count = pairs.count() * (whole.agg(F.max("need")).first()[0] or 0)
+        able = F.broadcast(pairs.distinct().select(F.col("query_id").alias("_query_id"), F.col("doc_id").alias("_doc_id")))
+        others = others.join(able, F.col("query_id").eqNullSafe(F.col("_query_id")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
+    held = deal_out(pairs.unionByName(others), count, *keys).groupBy(*keys).agg(F.count("*").alias("held"))
     return (
-        sized_join(held, need, ["query_id"], spread="doc_id")
+        sized_join(held, whole.select("query_id", "need"), ["query_id"], spread="doc_id")
         .where(F.col("held") == F.col("need"))
         .select("query_id", "doc_id")
     )

@@ -308,7 +308,32 @@ def test_pagerank(spark, links_per_slot):
     assert sum(got.values()) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("links_per_slot", [100_000, 2])
+def test_converged_pagerank_of_odd_graphs(spark, links_per_slot):
+    """A ring (rests do not even out), chains, a page linked to itself, pages without links or without an id."""
+    edges = {(i, (i + 1) % 6) for i in range(6)} | {(0, 20), (20, 21), (21, 21), (21, 30), (40, 0), (40, 41)}
+    links = spark.createDataFrame([*edges, *edges, (None, 3)], "src BIGINT, dst BIGINT")
+    got = dict(graph.pagerank_to_tolerance(links, 1e-10, links_per_slot=links_per_slot).collect())
+    want = plain_pagerank(edges, 300)
+    # The page without an id gets what every page gets and sends nothing; the others keep their proportions.
+    assert got.keys() == want.keys() | {None}
+    share = 1 - got.pop(None)
+    assert all(got[n] / share == pytest.approx(want[n], abs=1e-9) for n in want)
+
+
+def test_converged_pagerank_writes_its_ranks_a_few_times(spark, monkeypatch):
+    """Was 60 writes of two rounds each."""
+    edges = {(i, (i * k + 7 * k) % 40) for i in range(40) for k in range(1, 9)}
+    written = []
+    monkeypatch.setattr(graph, "materialize", lambda df, name, make=graph.materialize: written.append(name) or make(df, name))
+    got = dict(graph.pagerank_to_tolerance(spark.createDataFrame(list(edges), "src BIGINT, dst BIGINT"), 1e-8).collect())
+    want = plain_pagerank(edges, 300)
+    assert sum(abs(got[n] - want[n]) for n in want) < 1e-8
+    assert written.count("ranks") <= 20
+
+
 def test_pagerank_of_no_links(spark):
+    assert graph.pagerank_to_tolerance(spark.createDataFrame([], "src BIGINT, dst BIGINT")).count() == 0
     assert graph.pagerank(spark.createDataFrame([], "src BIGINT, dst BIGINT")).count() == 0
 
 
@@ -323,6 +348,24 @@ def test_page_views(spark):
     assert rows(graph.total_page_views(monthly), "doc_id", "views") == {(1, 3), (2, 1)}
 
 
+# Judgments
+
+
+def test_documents_of_all_terms_read_the_terms_of_whole_queries_only(spark, index, queries, monkeypatch):
+    """Queries with unknown terms are not looked up, and other terms only beside the rarest."""
+    seen = []
+    monkeypatch.setattr(match, "deal_out", lambda df, *rest, make=match.deal_out: seen.append(df.count()) or make(df, *rest))
+    more = queries.union(spark.createDataFrame([(15, "hot water"), (15, "leaves"), (16, "tea black"), (None, "tea")], queries.schema))
+    terms = [(q, t) for q, words in [*ASKED.items(), (15, ["hot", "water", "leaves"]), (16, ["tea", "black"])] for t in set(words)]
+    wanted = {(q, d) for q in {q for q, _ in terms} for d in KEPT if all(t in KEPT[d] for p, t in terms if p == q)}
+    for small in (True, False):
+        if not small:
+            monkeypatch.setattr(match, "fits_broadcast", lambda df, *_: False)
+        assert rows(match.holding_all_terms(index, more, "body"), "query_id", "doc_id") == wanted
+    # tea: 2; green, water: 2 of the one document with green; hot, water, leaves: 3 of the one with leaves; tea, black: 2 of the one with black.
+    assert seen[0] == 2 + 2 + 3 + 2 < seen[1]
+
+
 # Sources
 
 
