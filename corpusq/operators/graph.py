@@ -11,8 +11,8 @@ from corpusq.sources.storage import materialize
 # A page with more links than this has them spread over several tasks.
 LINKS_PER_SLOT = 100_000
 
-# Rounds between two writes of the ranks.
-ROUNDS_PER_WRITE = 2
+# Rounds between two writes of the ranks: a shuffle each, in a plan that grows by one join a round.
+ROUNDS_PER_WRITE = 8
 
 
 def pagerank(
@@ -47,26 +47,43 @@ def pagerank_to_tolerance(
     """``(doc_id, pr)`` that differ from the limit of all steps by less than ``tolerance`` in total.
 
     The limit is in proportion to the solution y of ``y = 1 + damping * (what pages with links send of y)``:
-    giving the rank of pages without links to all evenly only changes the factor. Each page keeps what it has of y and a
-    rest that it has not sent on yet. In a round only pages whose rest is above a limit take it over into y
-    and send it along their links, so that later rounds move the rows of fewer and fewer pages. What is left of
-    all rests when none is above the limit bounds the error.
+    giving the rank of pages without links to all evenly only changes the factor. Only pages with links send, so
+    only links between those are followed in rounds. Each such page keeps what it has of y and a rest that it has
+    not sent on yet. In a round pages whose rest is above a limit take it over into y and send it along their
+    links. Rests soon shrink by an even rate; what all later rounds would then bring is taken over
+    at once, before the next rounds, as long as that leaves less than rounds alone are sure to. The rest is worked out from what
+    was taken over, whatever that is, and may be below 0. What is left of
+    all rests when none is above the limit bounds the error. In the end all pages get their y from those that link to them.
     """
-    nodes, slotted, total = _laid_out(links, links_per_slot)
+    edges, nodes = _edges_and_nodes(links, links_per_slot)
+    total = nodes.count()
     if total == 0:
         return nodes.select("doc_id", F.lit(None).cast("double").alias("pr"))
     least = tolerance * (1.0 - damping)
+    slotted = _slotted(edges, nodes)
+    senders = nodes.where("links > 0 and doc_id is not null")
+    keys = ["src"] if senders.where("slots > 1").isEmpty() else ["src", "slot"]
+    ways = _ways(slotted, senders, keys).persist()
     try:
-        slotted.count()
-        state = nodes.withColumn("y", F.lit(0.0)).withColumn("rest", F.lit(1.0))
-        while not state.where(F.col("rest") > least).isEmpty():
-            for _ in range(ROUNDS_PER_WRITE):
-                state = _push(state, slotted, damping, least)
+        ways.count()  # the layout of the kept links is known to the planner from now on
+        state = senders.withColumn("y", F.lit(0.0)).withColumn("rest", F.lit(1.0)).withColumn("was", F.lit(0.0))
+        left, rate, ahead = None, 0.0, True
+        while True:
+            most, now, before = state.agg(F.max(F.abs("rest")), F.sum(F.abs("rest")), F.sum(F.abs("was"))).first()
+            if most is None or most <= least:
+                break
+            ahead = ahead and (left is None or rate == 0.0 or now <= left * damping**ROUNDS_PER_WRITE)
+            left, rate = now, min(now / before, damping) if ahead and before else 0.0
+            for k in range(ROUNDS_PER_WRITE):
+                state = _push(state, ways, keys, damping, least, 1.0 / (1.0 - rate) if k == 0 else 1.0)
             state = materialize(state, "ranks")
     finally:
-        slotted.unpersist()
-    whole = state.agg(F.sum("y")).first()[0]
-    return state.select("doc_id", (F.col("y") / F.lit(whole)).alias("pr"))
+        ways.unpersist()
+    received = _received(state, slotted, "y")
+    found = nodes.join(received, "doc_id", "left")
+    found = materialize(found.select("doc_id", (F.lit(1.0) + F.lit(damping) * F.coalesce("received", F.lit(0.0))).alias("y")), "ranks")
+    whole = found.agg(F.sum("y")).first()[0]
+    return found.select("doc_id", (F.col("y") / F.lit(whole)).alias("pr"))
 
 
 def monthly_page_views(views: DataFrame) -> DataFrame:
@@ -86,13 +103,16 @@ def total_page_views(monthly: DataFrame) -> DataFrame:
 
 def _laid_out(links: DataFrame, links_per_slot: int) -> tuple[DataFrame, DataFrame, int]:
     """Pages, their different links laid out by source and kept, and how many pages there are."""
-    spark = links.sparkSession
-    edges = materialize(links.select("src", "dst").distinct().withColumn("slot", F.lit(0)), "links")
-    nodes = _nodes(edges, links_per_slot)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges, nodes = _edges_and_nodes(links, links_per_slot)
+    partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return nodes, _slotted(edges, nodes).repartition(partitions, "src", "slot").persist(), nodes.count()
 
 
+def _edges_and_nodes(links: DataFrame, links_per_slot: int) -> tuple[DataFrame, DataFrame]:
+    edges = materialize(links.select("src", "dst").distinct().withColumn("slot", F.lit(0)), "links")
+    return edges, _nodes(edges, links_per_slot)
+
+
 def _nodes(edges: DataFrame, links_per_slot: int) -> DataFrame:
     """``(doc_id, links, slots)``: every page, its links, the tasks they take."""
     ends = edges.select(F.col("src").alias("doc_id"), F.lit(1).alias("out")).unionByName(
@@ -123,13 +143,37 @@ def _step(state: DataFrame, slotted: DataFrame, total: int, damping: float) -> D
     return state.drop("pr").join(received, "doc_id", "left").select("doc_id", "links", "slots", pr.alias("pr"))
 
 
-def _push(state: DataFrame, slotted: DataFrame, damping: float, least: float) -> DataFrame:
-    """One round: rests above the limit are taken over and sent on."""
-    active = F.col("rest") > least
-    received = _received(state.where(active & (F.col("links") > 0)), slotted, "rest")
-    taken = F.when(active, F.col("rest")).otherwise(0.0)
-    rest = F.col("rest") - taken + F.lit(damping) * F.coalesce("received", F.lit(0.0))
-    return state.join(received, "doc_id", "left").select("doc_id", "links", "slots", (F.col("y") + taken).alias("y"), rest.alias("rest"))
+def _ways(slotted: DataFrame, senders: DataFrame, keys: list[str]) -> DataFrame:
+    """``(src, slot, dst, own)``: links between pages with links, and a row of its own from each such page to itself, laid out and sorted by ``keys``."""
+    inner = slotted.join(senders.select(F.col("doc_id").alias("dst")), "dst", "left_semi").select("src", "slot", "dst", F.lit(False).alias("own"))
+    page = F.col("doc_id")
+    own = senders.select(page.alias("src"), F.lit(0).alias("slot"), page.alias("dst"), F.lit(True).alias("own"))
+    partitions = int(slotted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return inner.unionByName(own).repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def _push(state: DataFrame, ways: DataFrame, keys: list[str], damping: float, least: float, times: float = 1.0) -> DataFrame:
+    """One round: rests above the limit are taken over, so many times, and sent on. ``was`` is the rest before.
+
+    What a page keeps goes its own way, so that a round reads the state once. It lies by page after the
+    round, as the links do by source: the sums are the only shuffle, but for pages with several slots.
+    """
+    state = state.withColumnRenamed("doc_id", "src")
+    if "slot" in keys:
+        state = state.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    active, own = F.abs("rest") > least, F.col("own")
+    taken = F.when(active, F.lit(times) * F.col("rest")).otherwise(0.0)
+    return (
+        ways.hint("merge").join(state, keys).where(own | active)
+        .groupBy(F.col("dst").alias("doc_id"))
+        .agg(
+            F.max(F.when(own, F.col("links"))).alias("links"),
+            F.max(F.when(own, F.col("slots"))).alias("slots"),
+            F.sum(F.when(own, F.col("y") + taken).otherwise(0.0)).alias("y"),
+            F.sum(F.when(own, F.col("rest") - taken).otherwise(F.lit(damping) * taken / F.col("links"))).alias("rest"),
+            F.max(F.when(own, F.col("rest"))).alias("was"),
+        )
+    )
 
 
 def _received(senders: DataFrame, slotted: DataFrame, value: str) -> DataFrame:
