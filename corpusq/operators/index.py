@@ -178,6 +178,10 @@ class Index:
         hits = self.of_terms(self.postings.where(F.col("field") == field), [term])
         return hits.select("doc_id", "tf").orderBy("doc_id")
 
+    def stats_of_batches(self) -> DataFrame:
+        """``(batch, field, bucket, term, df, cf)``: what each batch adds to the statistics."""
+        return _stored_stats(self.all_stats.sparkSession, self.path, self.parts)
+
     def blocked_postings(self) -> DataFrame:
         """All postings with the ``batch`` and ``block`` that their bounds are filed under."""
         stored = _stored_postings(self.all_postings.sparkSession, self.path, self.parts)
@@ -509,9 +513,13 @@ def _merged_postings(spark: SparkSession, path: str, parts: Sequence[Part], fiel
     return rows.where(F.col("field") != ANCHOR).select(*columns).unionByName(links.select(*columns))
 
 
+def _stored_stats(spark: SparkSession, path: str, parts: Sequence[Part]) -> DataFrame:
+    return _live(spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"), parts)
+
+
 def _merged_stats(spark: SparkSession, path: str, parts: Sequence[Part]) -> DataFrame:
     """Statistics of all terms, also of those that ``min_df`` hides."""
-    rows = _live(spark.read.schema(TERM_STATS_SCHEMA).parquet(f"{path}/term_stats"), parts)
+    rows = _stored_stats(spark, path, parts)
     if len(parts) > 1:
         rows = rows.groupBy("field", "bucket", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
     return rows.select("term", "df", "cf", "field", "bucket")

@@ -3,21 +3,22 @@
 The squared norm of a document, the sum of ``(tf * ln(n / df))**2``, is
 ``ln(n)**2 * a - 2 * ln(n) * b + c`` with the sums ``a`` of ``tf**2``, ``b`` of ``tf**2 * ln(df)``
 and ``c`` of ``tf**2 * ln(df)**2``. An append changes ``n`` for all documents, which costs nothing
-here, and ``df`` for some terms: only the postings of those terms are read again.
+here, and ``df`` for some terms: only those terms change the sums of older documents.
+
+A term of one document adds nothing to ``b`` and ``c``, so its statistics are not looked up. The most frequent of
+the others are broadcast, so that most postings are not shuffled before they are added up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.functions.weights import IDF_EPSILON, ratio
+from corpusq.operators import joins
 from corpusq.operators.index import Index
-from corpusq.operators.joins import sized_join
 from corpusq.sources.storage import materialize
 
-_KEYS = ["bucket", "term"]
-
 
 def norm_sums(index: Index, field: str = "body") -> DataFrame:
     """``(doc_id, dl, a, b, c)`` of every document with a term in the field."""
@@ -28,32 +29,26 @@ def norm_sums_after_append(sums: DataFrame, before: Index, after: Index, field:
     """The sums of a grown index from those of the index before it.
 
     New documents are summed up; older ones change by what the new document frequencies of
-    their terms add, read from the postings of terms that the appended batches hold. ``after`` must be
+    their terms add, for the terms that the appended batches hold. ``after`` must be
     ``before`` with batches added.
     """
-    old = {p.no for p in before.parts}
-    if not old < {p.no for p in after.parts}:
+    old = sorted(p.no for p in before.parts)
+    if not set(old) < {p.no for p in after.parts}:
         raise ValueError("not an index with batches added")
-    stats = _of(after.all_stats, field).select(*_KEYS, "df")
-    known = _of(before.all_stats, field).select(*_KEYS, F.col("df").alias("was"))
-    added = _of(after.blocked_postings().where(~F.col("batch").isin(sorted(old))), field)
-    touched = materialize(added.select(*_KEYS).distinct(), "touched_terms")
-    changed = sized_join(known, touched, _KEYS, "left_semi", spread="term").join(stats, _KEYS).where("was <> df")
-    changed = materialize(changed, "changed_terms")
-    square = F.col("tf") * F.col("tf")
-    more = (
-        sized_join(_of(before.all_postings, field), changed, _KEYS, spread="doc_id", rows="was")
-        .groupBy("doc_id")
-        .agg(
-            F.sum(square * (F.log("df") - F.log("was"))).alias("more_b"),
-            F.sum(square * (F.log("df") * F.log("df") - F.log("was") * F.log("was"))).alias("more_c"),
-        )
-    )
+    of_old = F.col("batch").isin(old)
+    stats = _of(after.stats_of_batches(), field).groupBy("term")
+    stats = stats.agg(F.sum("df").alias("df"), F.sum(F.when(of_old, F.col("df"))).alias("was"), F.bool_or(~of_old).alias("touched"))
+    touched = materialize(stats.where("touched").drop("touched"), "touched_terms")
+    b, c = F.log("df") - F.log("was"), F.log("df") * F.log("df") - F.log("was") * F.log("was")
+    changed = touched.where("was <> df").select("term", b.alias("b"), c.alias("c"), F.col("was").alias("times"))
+    more = _added_up(_weighted(_of(before.all_postings, field), changed, "inner"))
+    more = more.select("doc_id", F.col("b").alias("more_b"), F.col("c").alias("more_c"))
     none = F.lit(0.0)
     grown = sums.join(more, "doc_id", "left").select(
         "doc_id", "dl", "a", (F.col("b") + F.coalesce("more_b", none)).alias("b"), (F.col("c") + F.coalesce("more_c", none)).alias("c")
     )
-    return grown.unionByName(_sums(added, sized_join(stats, touched, _KEYS, "left_semi", spread="term")))
+    added = _of(after.blocked_postings().where(~of_old), field)
+    return grown.unionByName(_sums(added, touched))
 
 
 def norms_of(sums: DataFrame, n: int) -> DataFrame:
@@ -76,11 +71,41 @@ def _of(table: DataFrame, field: str) -> DataFrame:
 
 
 def _sums(postings: DataFrame, stats: DataFrame) -> DataFrame:
-    square: Column = F.col("tf") * F.col("tf")
-    rows = sized_join(postings.select(*_KEYS, "doc_id", "tf", "dl"), stats.select(*_KEYS, "df"), _KEYS, spread="doc_id", rows="df")
+    log = F.log("df")
+    repeated = stats.where("df > 1").select("term", log.alias("b"), (log * log).alias("c"), F.col("df").alias("times"))
+    return _added_up(_weighted(postings, materialize(repeated, "repeated_terms"), "left"))
+
+
+def _weighted(postings: DataFrame, terms: DataFrame, how: str) -> DataFrame:
+    """``(doc_id, dl, a, b, c)`` of postings, with ``b`` and ``c`` of ``terms(term, b, c, times)``.
+
+    With ``left`` postings without a row in ``terms`` are there as well. ``times`` tells how often a term occurs:
+    where not all terms can be broadcast, the most frequent are, and only postings of the others are shuffled,
+    which add their ``b`` and ``c`` in rows of their own.
+    """
+    square = F.col("tf") * F.col("tf")
+    weights = [(square * F.coalesce(w, F.lit(0.0))).alias(w) for w in ("b", "c")]
+    least = _least_broadcast(terms)
+    often = F.broadcast(terms.where(F.col("times") >= least).drop("times"))
+    rows = postings.join(often, "term", how).select("doc_id", "dl", square.alias("a"), *weights)
+    if least <= 1:
+        return rows
+    seldom = postings.join(often.select("term"), "term", "left_anti").join(terms.where(F.col("times") < least), "term")
+    return rows.unionByName(seldom.select("doc_id", "dl", F.lit(0).cast("bigint").alias("a"), *weights))
+
+
+def _least_broadcast(terms: DataFrame) -> int:
+    """The least power of two such that all terms that occur so often can be broadcast; 1 for all terms."""
+    power = F.floor(F.log2("times")).cast("int")
+    counts = dict(terms.groupBy(power.alias("power")).agg(F.count("*")).collect())
+    least, kept = max(counts, default=0) + 1, 0
+    while least > 0 and kept + counts.get(least - 1, 0) <= joins.BROADCAST_ROWS:
+        least -= 1
+        kept += counts.get(least, 0)
+    return 2**least
+
+
+def _added_up(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(
-        F.max("dl").alias("dl"),
-        F.sum(square).cast("double").alias("a"),
-        F.sum(square * F.log("df")).alias("b"),
-        F.sum(square * F.log("df") * F.log("df")).alias("c"),
+        F.max("dl").alias("dl"), F.sum("a").cast("double").alias("a"), F.sum("b").alias("b"), F.sum("c").alias("c")
     )

@@ -85,6 +85,49 @@ def test_norms_of_documents_without_rare_terms(spark, tmp_path):
         assert r.weight_norm == pytest.approx(want[r.doc_id].weight_norm, rel=1e-6)
 
 
+def test_norms_look_up_repeated_terms_only(spark, tmp_path, monkeypatch):
+    """Terms of one document are too many to broadcast, the others are not: postings stay where they are."""
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df, limit=50: df.limit(limit + 1).count() <= limit)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 50)
+    words = [" ".join([f"own{i}x{k}" for k in range(20)] + ["tea"] * (i % 3 + 1) + ["hot"] * (i % 2)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id BIGINT, body STRING")
+    index = ix.write_index(docs, str(tmp_path / "own"), ["body"], num_buckets=2)
+    want = {r.doc_id: r for r in P.document_norms(index.postings, index.term_stats, index.n).collect()}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sums = N.norm_sums(index)
+        assert "SortMergeJoin" not in plan_of(sums) and plan_of(sums).count("Exchange hashpartitioning") == 1
+        got = {r.doc_id: r for r in N.norms_of(sums, index.n).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got.keys() == want.keys()
+    assert all(r.norm == pytest.approx(want[d].norm, rel=1e-9) for d, r in got.items())
+
+
+@pytest.mark.parametrize("limit", [0, 20, 300])
+def test_norms_with_more_repeated_terms_than_can_be_broadcast(grown, monkeypatch, limit):
+    before, after, whole = grown
+    want = {r.doc_id: r.norm for r in P.document_norms(whole.postings, whole.term_stats, whole.n).collect()}
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    assert whole.term_stats.where("df > 1").count() > limit
+    for sums in (N.norm_sums(whole), N.norm_sums_after_append(N.norm_sums(before), before, after)):
+        got = {r.doc_id: r.norm for r in N.norms_of(sums, whole.n).collect()}
+        assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d], rel=1e-9) for d in want)
+
+
+def test_norms_of_lemmas_and_link_texts(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "teas tea hot"), (2, "teas"), (3, "hot milk"), (4, None)], "doc_id BIGINT, body STRING")
+    links = spark.createDataFrame([(1, "hot tea"), (2, "hot"), (9, "tea tea")], "target_id BIGINT, text STRING")
+    lemmas = spark.createDataFrame([("teas", "tea")], "form STRING, lemma STRING")
+    index = ix.write_index(docs, str(tmp_path / "lemmas"), ["body"], anchors=links, lemmas=lemmas, num_buckets=2)
+    for field in ("body", "anchor"):
+        rows, stats = (t.where(F.col("field") == field) for t in (index.postings, index.term_stats))
+        want = {r.doc_id: r.norm for r in P.document_norms(rows, stats, index.n).collect()}
+        got = {r.doc_id: r.norm for r in N.norms_of(N.norm_sums(index, field), index.n).collect()}
+        assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d], rel=1e-9) for d in want)
+
+
 def test_lookups_of_hot_ids_are_not_shuffled(spark, monkeypatch):
     """Without adaptive execution: most requests are for one id, some for none."""
     rows = spark.range(5000).select(F.col("id").alias("pos"), F.when(F.col("id") % 10 < 8, 7).when(F.col("id") % 10 == 8, F.col("id")).alias("doc_id"))
